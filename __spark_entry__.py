@@ -13,6 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duotower.functions.hashing import sql_md5_u32
+from duotower.functions.vectors import checksum, concat_features, dense_layer, to_double_array
+from duotower.operators.lookup import bag_pooling, embedding_lookup
+from duotower.operators.metrics import auroc, avg_loss_compat, bce_mean, eval_summary
+from duotower.operators.retrieve import sample_rows, topk_exact
+from duotower.operators.towers import init_mlp, score_columns, tower_table
 from duotower.operators.buckets import bucket_collisions, sparse_features
 from duotower.operators.index import apply_index, fit_index
 from duotower.operators.profile import distinct_with_null, profile_counts, split_summary
@@ -32,6 +37,11 @@ N_SHARDS = 40               # export shard count
 SEED = 42                   # split / shuffle seed
 LIMIT_BATCHES = 10
 CHUNK = 4
+VEC_DIM = 64                # embeddings table width (= reference tower output size)
+TOWER_LAYERS = (16, 8)      # small towers so the oracle can run them in SQL
+LAYER_OUT = 16
+TOPK = 10
+N_SAMPLES = 5
 
 
 def _np(spark: SparkSession) -> int:
@@ -133,6 +143,113 @@ def q_random_split(spark, d):
     return random_split(_examples(spark, d).drop("split"), seed=SEED)
 
 
+# ---------------------------------------------------------------- model stage
+# The ``embeddings`` table is the embedding table (bucket = vec_id) and, for
+# scoring, stands in for tower outputs.
+
+def _vectors(spark, d):
+    return read_parquet_table(spark, d, "embeddings").select(
+        F.col("vec_id").alias("bucket"), to_double_array(F.col("embedding")).alias("vec"))
+
+
+def _bucketed(spark, d):
+    n = _n_vectors(spark, d)
+    ex = sparse_features(_examples(spark, d), ["userId", "movieId"], [n, n])
+    return ex.withColumnRenamed("userId_bucket", "user_bucket").withColumnRenamed("movieId_bucket", "item_bucket")
+
+
+def _looked_up(spark, d):
+    t = _vectors(spark, d)
+    x = embedding_lookup(_bucketed(spark, d), "user_bucket", t, "u_vec", VEC_DIM)
+    return embedding_lookup(x, "item_bucket", t, "i_vec", VEC_DIM)
+
+
+def q_embedding_lookup(spark, d):
+    return _looked_up(spark, d).select("userId", "movieId", "label", "split",
+                                       _r6(checksum("u_vec")).alias("u_check"), _r6(checksum("i_vec")).alias("i_check"))
+
+
+def q_bag_pooling(spark, d):
+    bags = read_parquet_table(spark, d, "lineitem").select("l_orderkey", "l_partkey")
+    pooled = bag_pooling(bags, ["l_orderkey"], "l_partkey", _vectors(spark, d), _n_vectors(spark, d), VEC_DIM)
+    return pooled.select("l_orderkey", "bag_size", _r6(checksum("pooled")).alias("pooled_check"))
+
+
+def q_feature_concat(spark, d):
+    x = _looked_up(spark, d).withColumn("feat", concat_features("u_vec", "i_vec"))
+    return x.select("userId", "movieId", "label", "split", F.size("feat").alias("n_feat"),
+                    _r6(checksum("feat")).alias("feat_check"))
+
+
+def q_mlp_layer(spark, d):
+    (w, b), = init_mlp(SEED, "mlp", VEC_DIM, [LAYER_OUT])
+    h = dense_layer(F.col("vec"), w.tolist(), b.tolist(), "relu")
+    return _vectors(spark, d).select(F.col("bucket").alias("vec_id"), _r6(checksum(h)).alias("h_check"))
+
+
+def q_tower_forward(spark, d):
+    layers = init_mlp(SEED, "query_proj", VEC_DIM, TOWER_LAYERS)
+    out = tower_table(_vectors(spark, d), layers, "q", VEC_DIM, "identity")
+    return out.select(F.col("bucket").alias("vec_id"), _r6(checksum("q")).alias("q_check"))
+
+
+def _scored(spark, d):
+    x = _looked_up(spark, d).withColumnRenamed("u_vec", "q").withColumnRenamed("i_vec", "c")
+    return score_columns(x, "q", "c").drop("q", "c")
+
+
+def q_pair_scores(spark, d):
+    return _scored(spark, d).select("userId", "movieId", "label", "split", _r6(F.col("logit")).alias("logit"),
+                                    _r6(F.col("prob")).alias("prob"), F.col("pred"))
+
+
+def q_bce_loss(spark, d):
+    return bce_mean(_scored(spark, d), ["split"]).withColumn("mean_bce", _r6(F.col("mean_bce")))
+
+
+def _scored_batched(spark, d):
+    return assign_batches(_scored(spark, d), ["userId", "movieId", "label"], BATCH_SIZE, N_SHARDS, SEED,
+                          partition_cols=["split"])
+
+
+def q_avg_loss_compat(spark, d):
+    return (avg_loss_compat(_scored_batched(spark, d), ["split"])
+            .withColumn("avg_loss_compat", _r6(F.col("avg_loss_compat"))))
+
+
+def q_auroc(spark, d):
+    return auroc(_scored(spark, d), ["split"]).withColumn("auroc", _r6(F.col("auroc")))
+
+
+def q_eval_summary(spark, d):
+    e = eval_summary(_scored_batched(spark, d), ["split"])
+    return e.select("split", "n_rows", _r6(F.col("mean_bce")).alias("mean_bce"),
+                    _r6(F.col("avg_loss_compat")).alias("avg_loss_compat"), "n_batches",
+                    _r6(F.col("auroc")).alias("auroc"))
+
+
+def q_topk_items(spark, d):
+    v = _vectors(spark, d)
+    top = topk_exact(v, v, TOPK, VEC_DIM, q_id="bucket", i_id="bucket")
+    return top.select(F.col("qid").alias("user_vec"), "rank", F.col("iid").alias("item_vec"),
+                      _r6(F.col("score")).alias("score"))
+
+
+def q_item_vectors(spark, d):
+    layers = init_mlp(SEED, "candidate_proj", VEC_DIM, TOWER_LAYERS)
+    items = _bucketed(spark, d).where(F.col("item_bucket").isNotNull()).select("item_bucket").distinct()
+    table = _vectors(spark, d).join(items, F.col("bucket") == F.col("item_bucket"), "left_semi")
+    out = tower_table(table, layers, "c", VEC_DIM, "identity")
+    return out.select(F.col("bucket").alias("item_bucket"), _r6(checksum("c")).alias("c_check"))
+
+
+def q_sample_predictions(spark, d):
+    test = _scored(spark, d).where(F.col("split") == "test")
+    b = assign_batches(test, ["userId", "movieId", "label"], 1, N_SHARDS, SEED)
+    return sample_rows(b, N_SAMPLES).select("userId", "movieId", "label", _r6(F.col("prob")).alias("prob"),
+                                            F.col("pred"))
+
+
 # ---------------------------------------------------------------- registry
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -152,6 +269,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "id_buckets": q_id_buckets,
         "bucket_collisions": q_bucket_collisions,
         "random_split": q_random_split,
+        "embedding_lookup": q_embedding_lookup,
+        "bag_pooling": q_bag_pooling,
+        "feature_concat": q_feature_concat,
+        "mlp_layer": q_mlp_layer,
+        "tower_forward": q_tower_forward,
+        "pair_scores": q_pair_scores,
+        "bce_loss": q_bce_loss,
+        "avg_loss_compat": q_avg_loss_compat,
+        "auroc": q_auroc,
+        "eval_summary": q_eval_summary,
+        "topk_items": q_topk_items,
+        "item_vectors": q_item_vectors,
+        "sample_predictions": q_sample_predictions,
     }
 
 
@@ -194,6 +324,75 @@ def _bucket_sql(col: str, n: str) -> str:
     return f"CASE WHEN {col} IS NULL OR {col} = 0 THEN NULL ELSE (({col} % {n}) + {n}) % {n} END"
 
 
+_ZEROS = f"list_resize([]::DOUBLE[], {VEC_DIM}, 0.0)"
+_CTE_VEC = """vec AS (SELECT vec_id AS bucket, list_transform(embedding, lambda e: CAST(e AS DOUBLE)) AS v
+                FROM embeddings),
+nv AS (SELECT count(*) AS n FROM embeddings)"""
+
+
+def _checksum_sql(v: str) -> str:
+    return f"list_sum(list_transform({v}, lambda x, i: x * i))"
+
+
+def _bce_sql(z: str, y: str) -> str:
+    return f"(greatest({z}, 0.0) - {z} * CAST({y} AS DOUBLE) + ln(1.0 + exp(-abs({z}))))"
+
+
+# examples -> batches -> buckets -> vectors -> logit, all columns kept
+_CTE_SCORED = f"""{_CTE_BATCHED}, {_CTE_VEC},
+bk AS (SELECT batched.*, {_bucket_sql('userId', 'nv.n')} AS user_bucket,
+              {_bucket_sql('movieId', 'nv.n')} AS item_bucket FROM batched CROSS JOIN nv),
+lk AS (SELECT bk.*, coalesce(u.v, {_ZEROS}) AS q, coalesce(i.v, {_ZEROS}) AS c
+       FROM bk LEFT JOIN vec u ON bk.user_bucket = u.bucket LEFT JOIN vec i ON bk.item_bucket = i.bucket),
+sc AS (SELECT *, list_dot_product(q, c) AS logit FROM lk)"""
+
+
+def _unit_sql(name: str, r: str, c: str) -> str:
+    h = sql_md5_u32(f"'{SEED}'", f"'{name}'", r, c)
+    return f"(CAST({h} AS DOUBLE) / 4294967296.0::DOUBLE)"
+
+
+def _layers_sql(src: str, name: str, fan_in: int, sizes, final_relu: bool, tag: str) -> tuple[str, str]:
+    """CTEs applying an MLP (md5 init rule) to long-form ``src(key, i, v)``; returns (ctes, last name)."""
+    ctes, cur = [], src
+    for k, out in enumerate(sizes):
+        bound = repr(1.0 / (fan_in ** 0.5))
+        w = f"(2.0::DOUBLE * {_unit_sql(f'{name}.{k}.weight', 'wj.range', 'wi.range')} - 1.0::DOUBLE) * {bound}::DOUBLE"
+        b = f"(2.0::DOUBLE * {_unit_sql(f'{name}.{k}.bias', '0', 'bj.range')} - 1.0::DOUBLE) * {bound}::DOUBLE"
+        relu = k < len(sizes) - 1 or final_relu
+        pre = f"sum({cur}.v * w{tag}{k}.w) + b{tag}{k}.b"
+        ctes.append(f"w{tag}{k} AS (SELECT wj.range AS j, wi.range AS i, {w} AS w FROM range({out}) wj, range({fan_in}) wi)")
+        ctes.append(f"b{tag}{k} AS (SELECT bj.range AS j, {b} AS b FROM range({out}) bj)")
+        ctes.append(f"h{tag}{k} AS (SELECT {cur}.key, w{tag}{k}.j AS i, {f'greatest({pre}, 0.0)' if relu else pre} AS v "
+                    f"FROM {cur} JOIN w{tag}{k} ON {cur}.i = w{tag}{k}.i JOIN b{tag}{k} ON b{tag}{k}.j = w{tag}{k}.j "
+                    f"GROUP BY {cur}.key, w{tag}{k}.j, b{tag}{k}.b)")
+        cur, fan_in = f"h{tag}{k}", out
+    return ",\n".join(ctes), cur
+
+
+_LONG_VEC = """xl AS (SELECT vec_id AS key, unnest(list_transform(embedding, lambda e: CAST(e AS DOUBLE))) AS v,
+                      unnest(generate_series(0, len(embedding) - 1)) AS i FROM embeddings{where})"""
+
+
+def _tower_sql(name: str, sizes, out_key: str, out_col: str, where: str = "", pre: str = "") -> str:
+    ctes, last = _layers_sql("xl", name, VEC_DIM, sizes, False, "t")
+    return (f"WITH {pre}{_LONG_VEC.format(where=where)},\n{ctes}\n"
+            f"SELECT key AS {out_key}, round(sum((i + 1) * v), 6) AS {out_col} FROM {last} GROUP BY key")
+
+
+_AUROC_SQL = """s AS (SELECT split, round(logit, 9) AS sc, sum(label) AS pos, sum(1 - label) AS neg
+       FROM sc WHERE label IS NOT NULL GROUP BY split, round(logit, 9)),
+c AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY split ORDER BY sc
+                                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM s),
+au AS (SELECT split, CASE WHEN sum(pos) > 0 AND sum(neg) > 0
+                          THEN CAST(sum(pos * (below + 0.5 * neg)) AS DOUBLE) / CAST(sum(pos) * sum(neg) AS DOUBLE)
+                     END AS auroc FROM c GROUP BY split)"""
+_BCE_SQL = f"""bc AS (SELECT split, count(*) AS n_rows, avg({_bce_sql('logit', 'label')}) AS mean_bce FROM sc GROUP BY split)"""
+_COMPAT_SQL = f"""pb AS (SELECT split, batch_seq, avg({_bce_sql('logit', 'label')}) AS bl, count(*) AS n
+       FROM sc GROUP BY split, batch_seq),
+cp AS (SELECT split, coalesce(sum(bl) / sum(n), 0.0) AS avg_loss_compat, count(*) AS n_batches FROM pb GROUP BY split)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "ratings_scan": f"WITH {_CTE_RATINGS} SELECT userId, movieId, rating FROM ratings",
@@ -241,4 +440,55 @@ def oracle_sql() -> dict[str, str]:
             b AS (SELECT movieId AS id, {_bucket_sql('movieId', 'nv.n')} AS bucket FROM ratings CROSS JOIN nv)
             SELECT bucket, count(DISTINCT id) AS n_ids FROM b WHERE bucket IS NOT NULL
             GROUP BY bucket HAVING count(DISTINCT id) > 1""",
+        "embedding_lookup": f"""WITH {_CTE_SCORED}
+            SELECT userId, movieId, label, split, round({_checksum_sql('q')}, 6) AS u_check,
+                   round({_checksum_sql('c')}, 6) AS i_check FROM lk""",
+        "bag_pooling": f"""WITH {_CTE_VEC},
+            b AS (SELECT l_orderkey, {_bucket_sql('l_partkey', 'nv.n')} AS bk FROM lineitem CROSS JOIN nv),
+            sizes AS (SELECT l_orderkey, count(bk) AS bag_size FROM b GROUP BY l_orderkey),
+            el AS (SELECT b.l_orderkey, unnest(vec.v) AS x, unnest(generate_series(1, len(vec.v))) AS pos
+                   FROM b JOIN vec ON b.bk = vec.bucket),
+            sums AS (SELECT l_orderkey, pos, sum(x) AS s FROM el GROUP BY l_orderkey, pos)
+            SELECT sizes.l_orderkey, sizes.bag_size, round(coalesce(sum(sums.pos * sums.s), 0.0), 6) AS pooled_check
+            FROM sizes LEFT JOIN sums ON sizes.l_orderkey = sums.l_orderkey
+            GROUP BY sizes.l_orderkey, sizes.bag_size""",
+        "feature_concat": f"""WITH {_CTE_SCORED}
+            SELECT userId, movieId, label, split, CAST(len(list_concat(q, c)) AS INTEGER) AS n_feat,
+                   round({_checksum_sql('list_concat(q, c)')}, 6) AS feat_check FROM lk""",
+        "mlp_layer": (lambda ctes_last: f"""WITH {_LONG_VEC.format(where='')},
+            {ctes_last[0]}
+            SELECT key AS vec_id, round(sum((i + 1) * v), 6) AS h_check FROM {ctes_last[1]} GROUP BY key""")(
+            _layers_sql("xl", "mlp", VEC_DIM, [LAYER_OUT], True, "m")),
+        "tower_forward": _tower_sql("query_proj", TOWER_LAYERS, "vec_id", "q_check"),
+        "pair_scores": f"""WITH {_CTE_SCORED}
+            SELECT userId, movieId, label, split, round(logit, 6) AS logit, round(1.0 / (1.0 + exp(-logit)), 6) AS prob,
+                   CASE WHEN 1.0 / (1.0 + exp(-logit)) > 0.5 THEN 1.0 ELSE 0.0 END AS pred FROM sc""",
+        "bce_loss": f"""WITH {_CTE_SCORED}, {_BCE_SQL}
+            SELECT split, n_rows, round(mean_bce, 6) AS mean_bce FROM bc""",
+        "avg_loss_compat": f"""WITH {_CTE_SCORED}, {_COMPAT_SQL}
+            SELECT split, round(avg_loss_compat, 6) AS avg_loss_compat, n_batches FROM cp""",
+        "auroc": f"""WITH {_CTE_SCORED}, {_AUROC_SQL}
+            SELECT split, round(auroc, 6) AS auroc FROM au""",
+        "eval_summary": f"""WITH {_CTE_SCORED}, {_BCE_SQL}, {_COMPAT_SQL}, {_AUROC_SQL}
+            SELECT bc.split, bc.n_rows, round(bc.mean_bce, 6) AS mean_bce,
+                   round(cp.avg_loss_compat, 6) AS avg_loss_compat, cp.n_batches, round(au.auroc, 6) AS auroc
+            FROM bc JOIN cp ON bc.split = cp.split JOIN au ON bc.split = au.split""",
+        "topk_items": f"""WITH {_CTE_VEC},
+            s AS (SELECT a.bucket AS user_vec, b.bucket AS item_vec, list_dot_product(a.v, b.v) AS score
+                  FROM vec a CROSS JOIN vec b),
+            r AS (SELECT *, row_number() OVER (PARTITION BY user_vec ORDER BY score DESC, item_vec) AS rank FROM s)
+            SELECT user_vec, CAST(rank AS INTEGER) AS rank, item_vec, round(score, 6) AS score
+            FROM r WHERE rank <= {TOPK}""",
+        "item_vectors": _tower_sql(
+            "candidate_proj", TOWER_LAYERS, "item_bucket", "c_check",
+            where=" WHERE vec_id IN (SELECT item_bucket FROM items)",
+            pre=f"""{_CTE_EXAMPLES}, nv AS (SELECT count(*) AS n FROM embeddings),
+            items AS (SELECT DISTINCT {_bucket_sql('movieId', 'nv.n')} AS item_bucket FROM ex CROSS JOIN nv), """),
+        "sample_predictions": f"""WITH {_CTE_SCORED},
+            t AS (SELECT *, {sql_md5_u32(f"'{SEED}'", "userId", "movieId", "label")} AS _h2 FROM sc WHERE split = 'test'),
+            tb AS (SELECT *, row_number() OVER (PARTITION BY _h2 % {N_SHARDS} ORDER BY _h2, userId, movieId, label) - 1
+                         AS bid, _h2 % {N_SHARDS} AS sh FROM t)
+            SELECT userId, movieId, label, round(1.0 / (1.0 + exp(-logit)), 6) AS prob,
+                   CASE WHEN 1.0 / (1.0 + exp(-logit)) > 0.5 THEN 1.0 ELSE 0.0 END AS pred
+            FROM tb WHERE bid * {N_SHARDS} + sh < {N_SAMPLES}""",
     }

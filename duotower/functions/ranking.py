@@ -45,24 +45,29 @@ def quantile_bucket(df: DataFrame, col: str, n_buckets: int, accuracy: int = 100
         return F.lit(0)
     fractions = F.array(*[F.lit(i / n_buckets) for i in range(1, n_buckets)])
     bounds = df.agg(F.percentile_approx(F.col(col), fractions, accuracy)).scalar()
-    return F.size(F.filter(bounds, lambda b: b < F.col(col)))
+    # Number of bounds strictly below x = first position of x among the sorted bounds + x, minus one.
+    # (No lambda: subqueries are not allowed inside higher-order functions.)
+    x = F.col(col).cast("double")
+    return F.array_position(F.sort_array(F.concat(bounds.cast("array<double>"), F.array(x))), x) - F.lit(1)
 
 
 def ordered_prefix_sum(df: DataFrame, order_col: str, value_cols: list[str], n_buckets: int,
-                       prefix: str = "before_") -> DataFrame:
-    """Add ``before_<v>`` = sum of ``v`` over rows with a strictly smaller ``order_col``.
+                       group_cols: list[str] | None = None, prefix: str = "before_") -> DataFrame:
+    """Add ``before_<v>`` = sum of ``v`` over rows of the same group with a strictly smaller ``order_col``.
 
-    ``order_col`` values must be distinct (aggregate first).
+    ``order_col`` values must be distinct within a group (aggregate first).
+    The number of groups must be small: the offset table has groups x buckets rows.
     """
+    groups = list(group_cols or [])
     b = df.withColumn("_bk", quantile_bucket(df, order_col, n_buckets))
-    w = Window.partitionBy("_bk").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
+    w = Window.partitionBy(*groups, "_bk").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
     inner = b.select("*", *[F.coalesce(F.sum(v).over(w), F.lit(0)).alias(f"_in_{v}") for v in value_cols])
-    totals = b.groupBy("_bk").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
-    # One row per bucket: bounded by n_buckets.
-    earlier = Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_bk", *[F.coalesce(F.sum(f"_t_{v}").over(earlier), F.lit(0)).alias(f"_o_{v}")
-                                     for v in value_cols])
-    out = inner.join(F.broadcast(offsets), "_bk")
+    totals = b.groupBy(*groups, "_bk").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
+    # groups x buckets rows: bounded, so this small window and the broadcast are safe.
+    earlier = Window.partitionBy(*groups).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*groups, "_bk", *[F.coalesce(F.sum(f"_t_{v}").over(earlier), F.lit(0)).alias(f"_o_{v}")
+                                              for v in value_cols])
+    out = inner.join(F.broadcast(offsets), [*groups, "_bk"])
     for v in value_cols:
         out = out.withColumn(f"{prefix}{v}", F.col(f"_o_{v}") + F.col(f"_in_{v}"))
     return out.drop("_bk", *[f"_in_{v}" for v in value_cols], *[f"_o_{v}" for v in value_cols])
