@@ -24,7 +24,7 @@ from duotower.operators.profile import distinct_with_null, profile_counts, split
 from duotower.operators.sort import sorted_head
 from duotower.operators.split import hash_split, random_split, sql_split_case
 from duotower.plans.prepare import prepare
-from duotower.session import default_parallelism
+from duotower.session import default_parallelism, ship_package
 from duotower.sources.ratings import PROXY_RATINGS_SQL, proxy_ratings, read_parquet_table
 from duotower.streaming.batches import assign_batches, chunk_batches, limit_batches
 
@@ -252,7 +252,20 @@ def q_sample_predictions(spark, d):
 
 # ---------------------------------------------------------------- registry
 
+def _shipped(fn):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return fn(spark, sf_dir)
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {name: _shipped(fn) for name, fn in _registry().items()}
+
+
+def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "ratings_scan": q_ratings_scan,
         "profile_counts": q_profile_counts,
@@ -287,6 +300,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: prepare the sf0.001 ratings and report per-split rows and positive rate."""
+    ship_package(spark)
     return q_split_summary(spark, SF0001)
 
 

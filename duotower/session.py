@@ -43,9 +43,33 @@ def get_session(master: str | None = None, app: str = "duotower", shuffle_partit
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     scratch_root(spark)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make ``duotower`` importable in the Python workers (once per SparkContext).
+
+    The package is zipped and added with ``addPyFile``; Spark serves the file to
+    every executor, as ``--py-files`` would.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_duotower_shipped", False):
+        return
+    import zipfile
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    zpath = os.path.join(tempfile.mkdtemp(prefix="duotower-pkg-"), "duotower.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(zpath)
+    sc._duotower_shipped = True
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for written tables and checkpoints.
 
