@@ -19,13 +19,18 @@ from duotower.operators.metrics import auroc, avg_loss_compat, bce_mean, eval_su
 from duotower.operators.retrieve import sample_rows, topk_exact
 from duotower.operators.towers import init_mlp, score_columns, tower_table
 from duotower.operators.buckets import bucket_collisions, sparse_features
-from duotower.operators.index import apply_index, fit_index
+from duotower.config import TrainArgs
+from duotower.operators.baseline import fit_fm, score_fm
+from duotower.operators.index import apply_index, fit_index, string_indexer_index
 from duotower.operators.profile import distinct_with_null, profile_counts, split_summary
 from duotower.operators.sort import sorted_head
 from duotower.operators.split import hash_split, random_split, sql_split_case
 from duotower.plans.prepare import prepare
-from duotower.session import default_parallelism, ship_package
-from duotower.sources.ratings import PROXY_RATINGS_SQL, proxy_ratings, read_parquet_table
+from duotower.plans import workflow
+from duotower.session import default_parallelism, scratch_path, ship_package
+from duotower.sources.ratings import (PROXY_RATINGS_SQL, proxy_ratings, read_parquet_table, read_ratings_csv,
+                                      read_table, write_table_once)
+from duotower.sources.runs import read_params
 from duotower.streaming.batches import assign_batches, chunk_batches, limit_batches
 
 SF0001 = "/root/testdata/sf0.001"
@@ -250,6 +255,90 @@ def q_sample_predictions(spark, d):
                                             F.col("pred"))
 
 
+# ---------------------------------------------------------------- sources, training, model store
+# These write to the shared scratch folder (spark.checkpoint.dir); results are
+# checked by row count and by the unit tests. One prepared export and one
+# training run per (session, sf) are shared by the queries below.
+
+TRAIN_ARGS = TrainArgs(epochs=1)   # reference sizes: dim 128, layers [128, 64], batch 1024, lr 0.01
+_RUNS: dict = {}
+
+
+def _key(spark, d, what):
+    return (id(spark.sparkContext), d.rstrip("/"), what)
+
+
+def _prepared(spark, d):
+    k = _key(spark, d, "prepared")
+    if k not in _RUNS:
+        _RUNS[k] = workflow.prepare_and_export(spark, _ratings(spark, d))
+    return _RUNS[k]
+
+
+def _trained(spark, d):
+    k = _key(spark, d, "trained")
+    if k not in _RUNS:
+        _RUNS[k] = workflow.run_training(spark, _prepared(spark, d), TRAIN_ARGS)
+    return _RUNS[k]
+
+
+def q_csv_scan(spark, d):
+    path = scratch_path(spark, "csv", d.strip("/").replace("/", "_"), "ratings_csv")
+    _ratings(spark, d).write.mode("overwrite").option("header", True).csv(path)
+    return read_ratings_csv(spark, path)
+
+
+def q_table_scan(spark, d):
+    name = "ratings_" + "".join(ch if ch.isalnum() else "_" for ch in d.strip("/"))
+    write_table_once(_ratings(spark, d), name, path=scratch_path(spark, "tables", name))
+    return read_table(spark, name)
+
+
+def q_export_manifest(spark, d):
+    return workflow.export_manifest(spark, _prepared(spark, d))
+
+
+def q_train_round(spark, d):
+    from duotower.plans.train import block_examples, choose_blocks, init_state, run_round, touched_rows
+
+    run = _prepared(spark, d)
+    args = TRAIN_ARGS
+    train = run.split(spark, "train")
+    n_blocks = choose_blocks(train, args)
+    blocked = block_examples(train, args, run.emb_counts, n_blocks).checkpoint()
+    keys = touched_rows(blocked).checkpoint()
+    out = f"{run.root}/single_round/step=0"
+    run_round(init_state(spark, args, run.emb_counts), blocked, keys, 0, n_blocks, out, None, args.seed)
+    return (spark.read.parquet(f"{out}/_round_output").groupBy("kind")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("touches").alias("touches"), F.sum("n_rows").alias("rows")))
+
+
+def q_train_loop_metrics(spark, d):
+    return _trained(spark, d)[1]
+
+
+def q_saved_model_scores(spark, d):
+    _trained(spark, d)
+    return workflow.score_saved_model(spark, _prepared(spark, d), "latest")
+
+
+def q_run_params(spark, d):
+    _trained(spark, d)
+    return read_params(spark, _prepared(spark, d).root)
+
+
+def q_fm_baseline(spark, d):
+    ex = _examples(spark, d)
+    model = fit_fm(ex.where(F.col("split") == "train"))
+    scored = score_fm(model, ex.where(F.col("split") == "test")).withColumn("split", F.lit("test"))
+    return auroc(scored, ["split"], score="prob")
+
+
+def q_user_index_ml(spark, d):
+    r = _ratings(spark, d)
+    return string_indexer_index(r, "userId").select("userId", "movieId", "rating")
+
+
 # ---------------------------------------------------------------- registry
 
 def _shipped(fn):
@@ -295,6 +384,15 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "topk_items": q_topk_items,
         "item_vectors": q_item_vectors,
         "sample_predictions": q_sample_predictions,
+        "user_index_ml": q_user_index_ml,
+        "csv_scan": q_csv_scan,
+        "table_scan": q_table_scan,
+        "export_manifest": q_export_manifest,
+        "train_round": q_train_round,
+        "train_loop_metrics": q_train_loop_metrics,
+        "saved_model_scores": q_saved_model_scores,
+        "run_params": q_run_params,
+        "fm_baseline": q_fm_baseline,
     }
 
 
@@ -498,6 +596,12 @@ def oracle_sql() -> dict[str, str]:
             where=" WHERE vec_id IN (SELECT item_bucket FROM items)",
             pre=f"""{_CTE_EXAMPLES}, nv AS (SELECT count(*) AS n FROM embeddings),
             items AS (SELECT DISTINCT {_bucket_sql('movieId', 'nv.n')} AS item_bucket FROM ex CROSS JOIN nv), """),
+        "user_index_ml": f"""WITH {_CTE_RATINGS},
+            ix AS (SELECT userId AS _key, row_number() OVER (ORDER BY count(*) DESC, userId) - 1 AS _idx
+                   FROM ratings GROUP BY userId)
+            SELECT ix._idx AS userId, ratings.movieId, ratings.rating FROM ratings JOIN ix ON ratings.userId = ix._key""",
+        "table_scan": f"WITH {_CTE_RATINGS} SELECT userId, movieId, rating FROM ratings",
+        "csv_scan": f"WITH {_CTE_RATINGS} SELECT userId, movieId, rating FROM ratings",
         "sample_predictions": f"""WITH {_CTE_SCORED},
             t AS (SELECT *, {sql_md5_u32(f"'{SEED}'", "userId", "movieId", "label")} AS _h2 FROM sc WHERE split = 'test'),
             tb AS (SELECT *, row_number() OVER (PARTITION BY _h2 % {N_SHARDS} ORDER BY _h2, userId, movieId, label) - 1
