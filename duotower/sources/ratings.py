@@ -23,7 +23,9 @@ def read_ratings_csv(spark: SparkSession, path: str, schema: T.StructType = RATI
 
     ``mode`` is Spark's: PERMISSIVE keeps malformed rows with nulls (and the raw
     line in ``corrupt_col`` if given), DROPMALFORMED drops them, FAILFAST raises.
-    Extra CSV columns are ignored because only the declared ones are projected.
+    Columns map by position: list the file's leading columns in the schema.
+    Extra trailing columns are ignored in PERMISSIVE mode (they make a row
+    malformed under DROPMALFORMED/FAILFAST).
     """
     reader = spark.read.option("header", True).option("mode", mode)
     if corrupt_col:
