@@ -37,20 +37,17 @@ def bag_pooling(bags: DataFrame, key_cols: list[str], id_col: str, table: DataFr
                 out: str = "pooled") -> DataFrame:
     """Sum-pool the table rows of every id in a bag.
 
-    ``bags`` is in long form, one row per (bag key, id). Pooling is an
-    element-wise sum done as ``groupBy(key, position).sum`` so it is
-    partially aggregated before the shuffle: a bag holding a third of all rows
-    does not end up as one giant list. The final regroup holds ``dim`` numbers
-    per bag. Output: key columns, ``bag_size`` (non-missing ids), ``out``.
+    ``bags`` is in long form, one row per (bag key, id). The element-wise sum
+    is ``dim`` ordinary ``sum`` aggregates (one per vector position), so Spark
+    combines map-side before the shuffle: a bag holding a third of all rows is
+    one partial row per task, never one giant list, and nothing is exploded.
+    Output: key columns, ``bag_size`` (non-missing ids), ``out``.
     """
     b = bags.select(*key_cols, to_bucket(F.col(id_col), num_embeddings, zero_is_missing).alias("_b"))
-    t = table.select(F.col(table_key).alias("_b"), to_double_array(F.col(table_vec)).alias("_v"))
-    present = b.where(F.col("_b").isNotNull()).join(t, "_b", "inner")
-    elems = present.select(*key_cols, F.posexplode("_v").alias("_pos", "_x"))
-    sums = elems.groupBy(*key_cols, "_pos").agg(F.sum("_x").alias("_s"))
-    sizes = b.groupBy(*key_cols).agg(F.count("_b").alias("bag_size"))
-    vecs = (sums.groupBy(*key_cols)
-            .agg(F.array_sort(F.collect_list(F.struct("_pos", "_s"))).alias("_ps"))
-            .select(*key_cols, F.transform("_ps", lambda p: p["_s"]).alias(out)))
-    return (sizes.join(vecs, key_cols, "left")
-            .withColumn(out, F.coalesce(F.col(out), zeros(dim))))
+    t = table.select(F.col(table_key).alias("_tb"), to_double_array(F.col(table_vec)).alias("_v"))
+    left = b.withColumn("_lk", _spread_null_key(b, "_b"))
+    joined = left.join(t, left["_lk"] == t["_tb"], "left")
+    sums = [F.sum(F.col("_v")[j]).alias(f"_s{j}") for j in range(dim)]
+    agg = joined.groupBy(*key_cols).agg(F.count("_b").alias("bag_size"), *sums)
+    pooled = F.array(*[F.coalesce(F.col(f"_s{j}"), F.lit(0.0)) for j in range(dim)])
+    return agg.select(*key_cols, "bag_size", pooled.alias(out))

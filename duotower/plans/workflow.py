@@ -43,8 +43,17 @@ def table_sizes(ratings: DataFrame) -> list:
 
 
 def prepare_and_export(spark: SparkSession, ratings: DataFrame, run_id: str | None = None, num_shards: int = 40,
-                       limit: int | None = None) -> PreparedRun:
+                       limit: int | None = None, materialize: bool = True) -> PreparedRun:
+    """Prepare and export in one partitioned write.
+
+    ``materialize`` checkpoints the projected ratings first: the mean, the user
+    index and the main flow all read them, and the source may be an expensive
+    join. The checkpoint goes to ``spark.checkpoint.dir``.
+    """
     root = scratch_path(spark, "runs", run_id or new_run_id())
+    ratings = ratings.select("userId", "movieId", "rating")
+    if materialize:
+        ratings = ratings.checkpoint()
     ex = prepare(ratings, default_parallelism(spark), limit=limit)
     export_splits(ex, f"{root}/export", num_shards=num_shards)
     return PreparedRun(root, f"{root}/export", table_sizes(ratings))
