@@ -308,7 +308,8 @@ def q_train_round(spark, d):
     blocked = block_examples(train, args, run.emb_counts, n_blocks).checkpoint()
     keys = touched_rows(blocked).checkpoint()
     out = f"{run.root}/single_round/step=0"
-    run_round(init_state(spark, args, run.emb_counts), blocked, keys, 0, n_blocks, out, None, args.seed)
+    state = init_state(spark, args, run.emb_counts, f"{run.root}/single_round")
+    run_round(state, blocked, keys, 0, n_blocks, out, None, args.seed)
     return (spark.read.parquet(f"{out}/_round_output").groupBy("kind")
             .agg(F.count(F.lit(1)).alias("n"), F.sum("touches").alias("touches"), F.sum("n_rows").alias("rows")))
 

@@ -58,13 +58,18 @@ def with_buckets(df: DataFrame, emb_counts, zero_is_missing: bool = True) -> Dat
     return out.withColumnRenamed("userId_bucket", "user_bucket").withColumnRenamed("movieId_bucket", "item_bucket")
 
 
-def init_state(spark: SparkSession, args: TrainArgs, emb_counts) -> ModelState:
-    """M1: fresh tables and towers."""
+def init_state(spark: SparkSession, args: TrainArgs, emb_counts, root: str | None = None) -> ModelState:
+    """M1: fresh tables and towers. With ``root``, the state is saved as ``step=base`` and read back,
+    so the hash-derived initial tables are computed once instead of in every later plan."""
     validate_model(CAT_COLS, emb_counts, [args.embedding_dim, args.embedding_dim])
     users = init_table(spark, f"t_{CAT_COLS[0]}", int(emb_counts[0]), args.embedding_dim, args.seed)
     items = init_table(spark, f"t_{CAT_COLS[1]}", int(emb_counts[1]), args.embedding_dim, args.seed)
     dense = DenseParams.init(args.seed, args.embedding_dim, args.layer_sizes, args.final_activation)
-    return ModelState(users, items, dense, None, None, 0, args, list(CAT_COLS), [int(c) for c in emb_counts])
+    state = ModelState(users, items, dense, None, None, 0, args, list(CAT_COLS), [int(c) for c in emb_counts])
+    if root is None:
+        return state
+    save_model(state, root, "base")
+    return load_model(spark, root, "base")
 
 
 def block_examples(train: DataFrame, args: TrainArgs, emb_counts, n_blocks: int) -> DataFrame:
@@ -264,9 +269,7 @@ def train_val_test(spark: SparkSession, train: DataFrame, val: DataFrame, test:
     ``train``/``val``/``test`` are exported splits read with ``read_shards`` (they carry ``row_id``).
     """
     model_root = f"{root}/model"
-    state = init_state(spark, args, emb_counts)
-    save_model(state, model_root, "base")
-    state = load_model(spark, model_root, "base")
+    state = init_state(spark, args, emb_counts, model_root)
     log_params(spark, root, run_id, relevant_fields(args, CAT_COLS, emb_counts))
     log_metrics(spark, root, run_id, "base", None, _named("val", evaluate(state, val, "val", args.limit_val_batches)))
 
