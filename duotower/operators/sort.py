@@ -24,8 +24,11 @@ def sorted_head(df: DataFrame, n: int, keys: list[str], n_partitions: int,
     order += [F.col(c).asc_nulls_first() for c in df.columns if c not in keys]
     if n <= single_task_max:
         return df.orderBy(*order).limit(n).repartition(n_partitions)
-    ranked = global_row_index(df, order, n_partitions, out="_rank")
-    return ranked.where(F.col("_rank") < n).drop("_rank")
+    # Identical copies of a row share every sort key; a scan-order id as the last key lets the range
+    # partitioner split a group of copies that holds a large share of the rows.
+    tagged = df.withColumn("_scan_id", F.monotonically_increasing_id())
+    ranked = global_row_index(tagged, order + [F.col("_scan_id")], n_partitions, out="_rank")
+    return ranked.where(F.col("_rank") < n).drop("_rank", "_scan_id")
 
 
 def first_row(df: DataFrame) -> DataFrame:

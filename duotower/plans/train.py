@@ -290,7 +290,8 @@ def train_val_test(spark: SparkSession, train: DataFrame, val: DataFrame, test:
             log_metrics(spark, root, run_id, "train", rounds,
                         {"train_loss": res.loss, "train_avg_loss_compat": res.avg_loss_compat,
                          "train_rows": res.n_rows, "train_batches": res.n_batches})
-            if args.validation_freq and rounds % args.validation_freq == 0 and not last:
+            # like the reference: validate whenever the running count divides evenly, also before the epoch's own
+            if args.validation_freq and rounds % args.validation_freq == 0:
                 log_metrics(spark, root, run_id, "val_step", rounds,
                             _named("val", evaluate(state, val, "val", args.limit_val_batches)))
         log_metrics(spark, root, run_id, "epoch", epoch,

@@ -124,3 +124,45 @@ def test_proxy_profile(spark):
 
     p = profile_counts(proxy_ratings(spark, SF0001)).first()
     assert p.n_rows == 6000 and p.n_null_user == 0 and not math.isnan(p.mean_rating)
+
+
+def test_sorted_head_copies_spread(spark):
+    rows = [("hot", 1, 1.0)] * 3000 + [("u%d" % i, i, 2.0) for i in range(3000)]
+    df = spark.createDataFrame(rows, RS)
+    head = sorted_head(df, 4000, ["userId", "movieId"], 6, single_task_max=0)
+    assert head.count() == 4000 and head.where(F.col("userId") == "hot").count() == 3000
+    ranked = global_row_index(df.withColumn("t", F.monotonically_increasing_id()),
+                              [F.col("userId"), F.col("movieId"), F.col("t")], 6, "r")
+    per_part = ranked.groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in per_part) < 3000
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.integers(-10**12, 10**12), min_size=1, max_size=40), st.integers(1, 1000))
+def test_pmod_always_in_range(spark, ids, n):
+    df = spark.createDataFrame([(i,) for i in ids], "x long")
+    got = [r.b for r in df.select(to_bucket(F.col("x"), n, zero_is_missing=False).alias("b")).collect()]
+    assert got == [i % n for i in ids]
+
+
+def test_prepare_plan_has_no_python(spark):
+    from tests.conftest import SF0001
+    from duotower.plans.prepare import prepare
+    from duotower.sources.ratings import proxy_ratings
+
+    df = prepare(proxy_ratings(spark, SF0001), 4)
+    df.write.format("noop").mode("overwrite").save()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_first_row_and_current_user(spark):
+    from duotower.operators.sort import first_row
+    from duotower.sources.ratings import current_user
+
+    assert first_row(spark.range(10)).count() == 1
+    assert current_user(spark).first()["current_user"]
