@@ -160,3 +160,26 @@ def test_training_learns_planted_signal(spark):
         state = run_round(state, blocked, keys, 0, 4, f"{root}/step={epoch}", None, order_seed=epoch).state
     after = evaluate(state, test, "test")["auroc"]
     assert after > 0.85 and after > before + 0.2, (before, after)
+
+
+def test_train_loop_phases_and_relu_compat(spark):
+    """M7 with validation_freq; the relu-final (library default) tower still trains without error."""
+    from duotower.plans.train import train_val_test
+
+    rng = np.random.default_rng(8)
+    rows = [(int(rng.integers(0, 40)), int(rng.integers(0, 30)), int(rng.integers(0, 2)), k) for k in range(3000)]
+    df = spark.createDataFrame(rows, EX)
+    split = F.pmod(F.xxhash64("row_id"), F.lit(10))
+    args = TrainArgs(epochs=2, embedding_dim=8, layer_sizes=(8, 4), batch_size=128, n_blocks=2,
+                     rounds_per_epoch=2, validation_freq=1, final_activation="relu", limit_val_batches=3)
+    root = tempfile.mkdtemp(prefix="dt-loop-")
+    state, m = train_val_test(spark, df.where(split < 7), df.where(split >= 8), df.where(split == 7), args,
+                              [40, 30], root, "run-x")
+    phases = {(r.phase, r.step) for r in m.select("phase", "step").distinct().collect()}
+    assert ("base", None) in phases and ("test", None) in phases
+    assert {("epoch", 0), ("epoch", 1)} <= phases
+    assert {("val_step", 1), ("val_step", 2), ("val_step", 3), ("val_step", 4)} <= phases
+    assert {("train", 1), ("train", 4)} <= phases
+    val_rows = [r.value for r in m.where("name = 'val_rows'").collect()]
+    assert max(val_rows) <= 3 * 128
+    assert load_model(spark, f"{root}/model", "latest").step == 1
