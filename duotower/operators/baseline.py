@@ -8,26 +8,28 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import FMClassifier
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _numeric(df: DataFrame) -> DataFrame:
+    # user ids are already dense indexes and item ids are non-negative integers, so they are the
+    # one-hot category indexes directly (no label table on the driver)
+    return df.select(F.col("userId").cast("double"), F.col("movieId").cast("double"), F.col("label").cast("double"))
+
+
 def fit_fm(train: DataFrame, factor_size: int = 8, max_iter: int = 20, step_size: float = 0.05, seed: int = 42):
-    idx = StringIndexer(inputCols=["userId", "movieId"], outputCols=["u_ix", "m_ix"], handleInvalid="keep")
-    ohe = OneHotEncoder(inputCols=["u_ix", "m_ix"], outputCols=["u_oh", "m_oh"], handleInvalid="keep")
+    ohe = OneHotEncoder(inputCols=["userId", "movieId"], outputCols=["u_oh", "m_oh"], handleInvalid="keep")
     vec = VectorAssembler(inputCols=["u_oh", "m_oh"], outputCol="features")
     fm = FMClassifier(labelCol="label", featuresCol="features", factorSize=factor_size, maxIter=max_iter,
                       stepSize=step_size, seed=seed)
-    data = train.select(F.col("userId").cast("string"), F.col("movieId").cast("string"),
-                        F.col("label").cast("double"))
-    return Pipeline(stages=[idx, ohe, vec, fm]).fit(data)
+    return Pipeline(stages=[ohe, vec, fm]).fit(_numeric(train.where(F.col("label").isNotNull())))
 
 
 def score_fm(model, df: DataFrame) -> DataFrame:
-    data = df.select(F.col("userId").cast("string"), F.col("movieId").cast("string"),
-                     F.col("label").cast("double"))
+    data = _numeric(df.where(F.col("label").isNotNull()))
     out = model.transform(data)
     return out.select(F.col("label").cast("int").alias("label"),
                       vector_to_array(F.col("probability")).getItem(1).alias("prob"))
