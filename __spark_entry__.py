@@ -17,7 +17,7 @@ from duotower.functions.vectors import checksum, concat_features, dense_layer, t
 from duotower.operators.lookup import bag_pooling, embedding_lookup
 from duotower.operators.metrics import auroc, avg_loss_compat, bce_mean, eval_summary
 from duotower.operators.retrieve import sample_rows, topk_exact
-from duotower.operators.towers import init_mlp, score_columns, tower_table
+from duotower.operators.towers import init_mlp, score_columns, score_pairs, tower_table
 from duotower.operators.buckets import bucket_collisions, sparse_features
 from duotower.config import TrainArgs
 from duotower.operators.baseline import fit_fm, score_fm
@@ -255,6 +255,36 @@ def q_sample_predictions(spark, d):
                                             F.col("pred"))
 
 
+# ---------------------------------------------------------------- the model at reference sizes
+# Initial parameters (hash rule, M1) at dim 128 and layers [128, 64]: both towers over the whole tables,
+# lookups with missing ids mapped to tower(zeros), dot-product scores, and the evaluation summary.
+
+MODEL_ARGS = TrainArgs()
+
+
+def _init_model_scored(spark, d):
+    from duotower.plans.train import init_state, with_buckets
+
+    counts = workflow.table_sizes(_ratings(spark, d))
+    state = init_state(spark, MODEL_ARGS, counts)
+    ex = with_buckets(_examples(spark, d), counts)
+    return score_pairs(ex, state.user_table, state.item_table, state.dense, MODEL_ARGS.embedding_dim)
+
+
+def q_init_model_scores(spark, d):
+    return _init_model_scored(spark, d).select("userId", "movieId", "label", "split",
+                                               _r6(F.col("logit")).alias("logit"), F.col("pred"))
+
+
+def q_init_model_eval(spark, d):
+    b = assign_batches(_init_model_scored(spark, d), ["userId", "movieId", "label"], BATCH_SIZE, N_SHARDS, SEED,
+                       partition_cols=["split"])
+    e = eval_summary(b, ["split"])
+    return e.select("split", "n_rows", _r6(F.col("mean_bce")).alias("mean_bce"),
+                    _r6(F.col("avg_loss_compat")).alias("avg_loss_compat"), "n_batches",
+                    _r6(F.col("auroc")).alias("auroc"))
+
+
 # ---------------------------------------------------------------- sources, training, model store
 # These write to the shared scratch folder (spark.checkpoint.dir); results are
 # checked by row count and by the unit tests. One prepared export and one
@@ -385,6 +415,8 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "topk_items": q_topk_items,
         "item_vectors": q_item_vectors,
         "sample_predictions": q_sample_predictions,
+        "init_model_scores": q_init_model_scores,
+        "init_model_eval": q_init_model_eval,
         "user_index_ml": q_user_index_ml,
         "csv_scan": q_csv_scan,
         "table_scan": q_table_scan,
@@ -506,6 +538,33 @@ _COMPAT_SQL = f"""pb AS (SELECT split, batch_seq, avg({_bce_sql('logit', 'label'
 cp AS (SELECT split, coalesce(sum(bl) / sum(n), 0.0) AS avg_loss_compat, count(*) AS n_batches FROM pb GROUP BY split)"""
 
 
+def _init_table_sql(name: str, count_col: str, tag: str) -> str:
+    """Long-form initial table (key, i, v) by the hash rule, plus key -1 = the zero vector (missing id)."""
+    dim = MODEL_ARGS.embedding_dim
+    u = _unit_sql(name, "r.r", "c.range")
+    return (f"t{tag} AS (SELECT r.r AS key, c.range AS i, "
+            f"(2.0::DOUBLE * {u} - 1.0::DOUBLE) * sqrt(1.0::DOUBLE / CAST(cnt.{count_col} AS DOUBLE)) AS v "
+            f"FROM cnt, (SELECT unnest(range({count_col})) AS r FROM cnt) r, range({dim}) c "
+            f"UNION ALL SELECT -1 AS key, z.range AS i, 0.0::DOUBLE AS v FROM range({dim}) z)")
+
+
+def _init_model_sql() -> str:
+    dim, sizes = MODEL_ARGS.embedding_dim, MODEL_ARGS.layer_sizes
+    uq, ulast = _layers_sql("tu", "query_proj", dim, sizes, False, "q")
+    ic, ilast = _layers_sql("ti", "candidate_proj", dim, sizes, False, "c")
+    return f"""{_CTE_BATCHED}, {_CTE_CNT},
+    {_init_table_sql("t_userId", "user_count", "u")},
+    {_init_table_sql("t_movieId", "movie_count", "i")},
+    {uq},
+    {ic},
+    qv AS (SELECT key, list(v ORDER BY i) AS q FROM {ulast} GROUP BY key),
+    cv AS (SELECT key, list(v ORDER BY i) AS c FROM {ilast} GROUP BY key),
+    bk AS (SELECT batched.*, coalesce({_bucket_sql('userId', 'cnt.user_count')}, -1) AS ub,
+                  coalesce({_bucket_sql('movieId', 'cnt.movie_count')}, -1) AS ib FROM batched CROSS JOIN cnt),
+    sc AS (SELECT bk.*, list_dot_product(qv.q, cv.c) AS logit FROM bk JOIN qv ON bk.ub = qv.key
+           JOIN cv ON bk.ib = cv.key)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "ratings_scan": f"WITH {_CTE_RATINGS} SELECT userId, movieId, rating FROM ratings",
@@ -597,6 +656,13 @@ def oracle_sql() -> dict[str, str]:
             where=" WHERE vec_id IN (SELECT item_bucket FROM items)",
             pre=f"""{_CTE_EXAMPLES}, nv AS (SELECT count(*) AS n FROM embeddings),
             items AS (SELECT DISTINCT {_bucket_sql('movieId', 'nv.n')} AS item_bucket FROM ex CROSS JOIN nv), """),
+        "init_model_scores": f"""WITH {_init_model_sql()}
+            SELECT userId, movieId, label, split, round(logit, 6) AS logit,
+                   CASE WHEN 1.0 / (1.0 + exp(-logit)) > 0.5 THEN 1.0 ELSE 0.0 END AS pred FROM sc""",
+        "init_model_eval": f"""WITH {_init_model_sql()}, {_BCE_SQL}, {_COMPAT_SQL}, {_AUROC_SQL}
+            SELECT bc.split, bc.n_rows, round(bc.mean_bce, 6) AS mean_bce,
+                   round(cp.avg_loss_compat, 6) AS avg_loss_compat, cp.n_batches, round(au.auroc, 6) AS auroc
+            FROM bc JOIN cp ON bc.split = cp.split JOIN au ON bc.split = au.split""",
         "user_index_ml": f"""WITH {_CTE_RATINGS},
             ix AS (SELECT userId AS _key, row_number() OVER (ORDER BY count(*) DESC, userId) - 1 AS _idx
                    FROM ratings GROUP BY userId)

@@ -24,6 +24,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.sql.parquet.compression.codec": "zstd",
+    # checkpoint files of DataFrames that are no longer referenced are removed by the context cleaner
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
