@@ -35,20 +35,29 @@ def global_row_index(df: DataFrame, order: list[Column], n_partitions: int, out:
             .drop("_mid", "_pid", "_loc", "_off"))
 
 
-def quantile_bucket(df: DataFrame, col: str, n_buckets: int, accuracy: int = 10000) -> Column:
-    """Monotone bucket number in [0, n_buckets) from approximate quantiles of ``col``.
+def quantile_splits(df: DataFrame, col: str, n_buckets: int, rel_error: float = 1e-3) -> list[float]:
+    """Strictly increasing split points (-inf, q_1, ..., q_k-1, +inf) from approximate quantiles.
+
+    One small action: ``approxQuantile`` returns n_buckets - 1 numbers to the driver.
+    """
+    qs = df.approxQuantile(col, [i / n_buckets for i in range(1, n_buckets)], rel_error) if n_buckets > 1 else []
+    inner = sorted({float(q) for q in qs if q == q and abs(q) != float("inf")})
+    return [float("-inf")] + inner + [float("inf")]
+
+
+def quantile_bucket(df: DataFrame, col: str, n_buckets: int, out: str = "_bk") -> DataFrame:
+    """Add ``out``: a monotone bucket number from approximate quantiles of ``col`` (binary search per row).
 
-    The quantiles are a scalar subquery (one array of n_buckets - 1 numbers).
     Equal values always share a bucket; balance only depends on the quantiles.
     """
-    if n_buckets <= 1:
-        return F.lit(0)
-    fractions = F.array(*[F.lit(i / n_buckets) for i in range(1, n_buckets)])
-    bounds = df.agg(F.percentile_approx(F.col(col), fractions, accuracy)).scalar()
-    # Number of bounds strictly below x = first position of x among the sorted bounds + x, minus one.
-    # (No lambda: subqueries are not allowed inside higher-order functions.)
-    x = F.col(col).cast("double")
-    return F.array_position(F.sort_array(F.concat(bounds.cast("array<double>"), F.array(x))), x) - F.lit(1)
+    from pyspark.ml.feature import Bucketizer
+
+    splits = quantile_splits(df, col, n_buckets)
+    if len(splits) < 3:          # one bucket (all values equal, or no rows)
+        return df.withColumn(out, F.lit(0))
+    src = df.withColumn("_qb_in", F.col(col).cast("double"))
+    b = Bucketizer(splits=splits, inputCol="_qb_in", outputCol="_qb_out", handleInvalid="keep")
+    return b.transform(src).withColumn(out, F.col("_qb_out").cast("int")).drop("_qb_in", "_qb_out")
 
 
 def ordered_prefix_sum(df: DataFrame, order_col: str, value_cols: list[str], n_buckets: int,
@@ -59,7 +68,7 @@ def ordered_prefix_sum(df: DataFrame, order_col: str, value_cols: list[str], n_b
     The number of groups must be small: the offset table has groups x buckets rows.
     """
     groups = list(group_cols or [])
-    b = df.withColumn("_bk", quantile_bucket(df, order_col, n_buckets))
+    b = quantile_bucket(df, order_col, n_buckets)
     w = Window.partitionBy(*groups, "_bk").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
     inner = b.select("*", *[F.coalesce(F.sum(v).over(w), F.lit(0)).alias(f"_in_{v}") for v in value_cols])
     totals = b.groupBy(*groups, "_bk").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])

@@ -236,9 +236,15 @@ def run_round(state: ModelState, blocked: DataFrame, keys: DataFrame, part: int,
 # ------------------------------------------------------------------ evaluation
 
 def score_split(state: ModelState, split_df: DataFrame, phase: str, limit: int | None = None,
-                n_shards: int = 40) -> DataFrame:
-    """R0 over an exported split: buckets, batch stream, tower outputs, logit/prob/pred."""
+                n_shards: int | None = None) -> DataFrame:
+    """R0 over an exported split: buckets, batch stream, tower outputs, logit/prob/pred.
+
+    The batch stream has ``n_shards`` shard windows (default: 40 or the shuffle
+    parallelism if larger), so no single window holds a large share of a big split.
+    """
     args = state.args
+    if n_shards is None:
+        n_shards = max(40, int(split_df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
     ex = with_buckets(split_df, state.emb_counts, args.zero_is_missing)
     b = limit_batches(assign_batches(ex, ["row_id"], args.batch_size, n_shards, args.seed), limit)
     return score_pairs(b, state.user_table, state.item_table, state.dense, args.embedding_dim).withColumn(

@@ -42,7 +42,8 @@ def table_sizes(ratings: DataFrame) -> list:
     return [int(r["user_count"]), int(r["movie_count"])]
 
 
-def prepare_and_export(spark: SparkSession, ratings: DataFrame, run_id: str | None = None, num_shards: int = 40,
+def prepare_and_export(spark: SparkSession, ratings: DataFrame, run_id: str | None = None,
+                       num_shards: int | None = None,
                        limit: int | None = None, materialize: bool = True) -> PreparedRun:
     """Prepare and export in one partitioned write.
 
