@@ -15,8 +15,9 @@ blocking as in stratified SGD, Gemulla et al. 2011):
    Adam on the tower weights, and emits per touched row (delta, touches) plus
    its final tower weights.
 4. Deltas of a row that several blocks touched are averaged weighted by
-   touches (a group of at most ``n_blocks`` entries); tower weights are
-   averaged weighted by rows with a distributed ``posexplode`` + ``groupBy``.
+   touches, with one ``sum`` per vector position (map-side combined); tower
+   weights are averaged weighted by rows with ``posexplode`` + ``groupBy(pos)``
+   (also map-side combined).
    The new tables are written to the shared folder and read back, which also
    cuts the lineage.
 
@@ -36,7 +37,6 @@ from pyspark.sql import functions as F
 
 from duotower.config import TrainArgs, relevant_fields, validate_model
 from duotower.functions.gradients import Adam, flatten_grads, rowwise_adagrad, two_tower_step
-from duotower.functions.vectors import zeros
 from duotower.operators.buckets import sparse_features
 from duotower.operators.metrics import eval_summary
 from duotower.operators.towers import DenseParams, init_table, score_pairs
@@ -164,13 +164,17 @@ def _block_fn(args: TrainArgs, template: DenseParams, theta: np.ndarray, m, v, t
 # ------------------------------------------------------------------ reduce
 
 def apply_deltas(table: DataFrame, deltas: DataFrame, dim: int) -> DataFrame:
-    """Step 4 for one table: touch-weighted mean delta per bucket (group size <= n_blocks)."""
-    agg = deltas.groupBy("bucket").agg(F.collect_list(F.struct("touches", "vec", "g2")).alias("_d"),
-                                       F.sum("touches").alias("_w"))
-    wsum = F.aggregate("_d", zeros(dim), lambda acc, d: F.zip_with(acc, d["vec"], lambda a, x: a + x * d["touches"]))
-    upd = agg.select("bucket", F.transform(wsum, lambda a: a / F.col("_w")).alias("_dv"),
-                     (F.aggregate("_d", F.lit(0.0), lambda acc, d: acc + d["g2"] * d["touches"]) / F.col("_w"))
-                     .alias("_dg"))
+    """Step 4 for one table: touch-weighted mean delta per bucket.
+
+    ``dim`` weighted ``sum`` aggregates (one per vector position) plus the
+    weight and g2 sums: partial aggregation before the shuffle, so a row that
+    every block touched (a hot item) costs one partial row per task, not a list.
+    """
+    w = F.col("touches").cast("double")
+    sums = [F.sum(w * F.col("vec")[j]).alias(f"_d{j}") for j in range(dim)]
+    agg = deltas.groupBy("bucket").agg(F.sum(w).alias("_w"), F.sum(w * F.col("g2")).alias("_g"), *sums)
+    upd = agg.select("bucket", F.array(*[F.col(f"_d{j}") / F.col("_w") for j in range(dim)]).alias("_dv"),
+                     (F.col("_g") / F.col("_w")).alias("_dg"))
     j = table.join(upd, "bucket", "left")
     return j.select("bucket",
                     F.when(F.col("_dv").isNull(), F.col("vec")).otherwise(
