@@ -52,23 +52,35 @@ def get_session(master: str | None = None, app: str = "duotower", shuffle_partit
 def ship_package(spark: SparkSession) -> None:
     """Make ``duotower`` importable in the Python workers (once per SparkContext).
 
-    The package is zipped and added with ``addPyFile``; Spark serves the file to
-    every executor, as ``--py-files`` would.
+    The package is zipped in memory, written to the shared scratch folder
+    through the Hadoop FileSystem API, and added with ``addPyFile`` (as
+    ``--py-files`` would); every executor fetches it from there.
     """
     sc = spark.sparkContext
     if getattr(sc, "_duotower_shipped", False):
         return
+    import hashlib
+    import io
     import zipfile
 
     pkg = os.path.dirname(os.path.abspath(__file__))
-    zpath = os.path.join(tempfile.mkdtemp(prefix="duotower-pkg-"), "duotower.zip")
-    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
-        for base, _, files in os.walk(pkg):
-            for f in files:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, files in sorted(os.walk(pkg)):
+            for f in sorted(files):
                 if f.endswith(".py"):
                     full = os.path.join(base, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
-    sc.addPyFile(zpath)
+    data = buf.getvalue()
+    target = scratch_path(spark, "pkg", hashlib.sha1(data).hexdigest()[:12], "duotower.zip")
+    jvm = sc._jvm
+    path = jvm.org.apache.hadoop.fs.Path(target)
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        out = fs.create(path, True)
+        out.write(bytearray(data))
+        out.close()
+    sc.addPyFile(target)
     sc._duotower_shipped = True
 
 
