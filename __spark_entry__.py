@@ -571,10 +571,10 @@ def oracle_sql() -> dict[str, str]:
         "profile_counts": f"""WITH {_CTE_RATINGS}
             SELECT count(*) AS n_rows, count(DISTINCT userId) AS n_users, count(DISTINCT movieId) AS n_items,
                    round(avg(CASE WHEN isnan(rating) THEN NULL ELSE rating END), 6) AS mean_rating,
-                   sum(CAST(userId IS NULL AS BIGINT)) AS n_null_user,
-                   sum(CAST(movieId IS NULL AS BIGINT)) AS n_null_item,
-                   sum(CAST(rating IS NULL AS BIGINT)) AS n_null_rating,
-                   sum(CAST(isnan(rating) AS BIGINT)) AS n_nan_rating
+                   CAST(sum(CAST(userId IS NULL AS BIGINT)) AS BIGINT) AS n_null_user,
+                   CAST(sum(CAST(movieId IS NULL AS BIGINT)) AS BIGINT) AS n_null_item,
+                   CAST(sum(CAST(rating IS NULL AS BIGINT)) AS BIGINT) AS n_null_rating,
+                   CAST(sum(CAST(isnan(rating) AS BIGINT)) AS BIGINT) AS n_nan_rating
             FROM ratings""",
         "distinct_with_null": f"""WITH {_CTE_RATINGS}
             SELECT (SELECT count(*) FROM (SELECT DISTINCT userId FROM ratings)) AS user_count,
@@ -634,7 +634,7 @@ def oracle_sql() -> dict[str, str]:
         "tower_forward": _tower_sql("query_proj", TOWER_LAYERS, "vec_id", "q_check"),
         "pair_scores": f"""WITH {_CTE_SCORED}
             SELECT userId, movieId, label, split, round(logit, 6) AS logit, round(1.0 / (1.0 + exp(-logit)), 6) AS prob,
-                   CASE WHEN 1.0 / (1.0 + exp(-logit)) > 0.5 THEN 1.0 ELSE 0.0 END AS pred FROM sc""",
+                   CAST(CASE WHEN 1.0 / (1.0 + exp(-logit)) > 0.5 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS pred FROM sc""",
         "bce_loss": f"""WITH {_CTE_SCORED}, {_BCE_SQL}
             SELECT split, n_rows, round(mean_bce, 6) AS mean_bce FROM bc""",
         "avg_loss_compat": f"""WITH {_CTE_SCORED}, {_COMPAT_SQL}
@@ -658,7 +658,7 @@ def oracle_sql() -> dict[str, str]:
             items AS (SELECT DISTINCT {_bucket_sql('movieId', 'nv.n')} AS item_bucket FROM ex CROSS JOIN nv), """),
         "init_model_scores": f"""WITH {_init_model_sql()}
             SELECT userId, movieId, label, split, round(logit, 6) AS logit,
-                   CASE WHEN 1.0 / (1.0 + exp(-logit)) > 0.5 THEN 1.0 ELSE 0.0 END AS pred FROM sc""",
+                   CAST(CASE WHEN 1.0 / (1.0 + exp(-logit)) > 0.5 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS pred FROM sc""",
         "init_model_eval": f"""WITH {_init_model_sql()}, {_BCE_SQL}, {_COMPAT_SQL}, {_AUROC_SQL}
             SELECT bc.split, bc.n_rows, round(bc.mean_bce, 6) AS mean_bce,
                    round(cp.avg_loss_compat, 6) AS avg_loss_compat, cp.n_batches, round(au.auroc, 6) AS auroc
@@ -674,6 +674,6 @@ def oracle_sql() -> dict[str, str]:
             tb AS (SELECT *, row_number() OVER (PARTITION BY _h2 % {N_SHARDS} ORDER BY _h2, userId, movieId, label) - 1
                          AS bid, _h2 % {N_SHARDS} AS sh FROM t)
             SELECT userId, movieId, label, round(1.0 / (1.0 + exp(-logit)), 6) AS prob,
-                   CASE WHEN 1.0 / (1.0 + exp(-logit)) > 0.5 THEN 1.0 ELSE 0.0 END AS pred
+                   CAST(CASE WHEN 1.0 / (1.0 + exp(-logit)) > 0.5 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS pred
             FROM tb WHERE bid * {N_SHARDS} + sh < {N_SAMPLES}""",
     }
