@@ -10,14 +10,16 @@ blocking as in stratified SGD, Gemulla et al. 2011):
    block holds a third of the data because of one user.
 2. Each block receives copies of exactly the table rows its examples touch:
    ``distinct(block, bucket) ⋈ table``. Tables are never broadcast whole.
-3. ``cogroup(examples, table rows).applyInPandas``: the task runs mini-batches of
-   ``batch_size`` in a seeded order, with row-wise Adagrad on table rows and
-   Adam on the tower weights, and emits per touched row (delta, touches) plus
-   its final tower weights.
+3. Examples and their table rows are unioned, hash-partitioned by block and
+   sorted by (block, table rows first, seeded order); ``mapInArrow`` streams
+   each partition. Per block only its table rows are held in memory; the
+   examples stream through mini-batches of ``batch_size`` with row-wise
+   Adagrad on table rows and Adam on the tower weights. The weights and Adam
+   state carry over between the blocks of one task, and each task emits per
+   touched row (delta, touches) plus one row with its final tower weights.
 4. Deltas of a row that several blocks touched are averaged weighted by
-   touches, with one ``sum`` per vector position (map-side combined); tower
-   weights are averaged weighted by rows with ``posexplode`` + ``groupBy(pos)``
-   (also map-side combined).
+   touches with ``Summarizer.mean`` (one vector buffer, map-side combined); tower
+   weights are averaged weighted by rows the same way.
    The new tables are written to the shared folder and read back, which also
    cuts the lineage.
 
@@ -32,6 +34,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,7 +42,7 @@ from duotower.config import TrainArgs, relevant_fields, validate_model
 from duotower.functions.gradients import Adam, flatten_grads, rowwise_adagrad, two_tower_step
 from duotower.operators.buckets import sparse_features
 from duotower.operators.metrics import eval_summary
-from duotower.operators.towers import DenseParams, init_table, score_pairs
+from duotower.operators.towers import DenseParams, _arrow_lists, init_table, score_pairs
 from duotower.sources.model_store import ModelState, load_model, save_model
 from duotower.sources.runs import log_metrics, log_params, read_metrics
 from duotower.streaming.batches import assign_batches, limit_batches
@@ -97,84 +100,196 @@ def touched_rows(blocked: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ the task
 
-def _block_fn(args: TrainArgs, template: DenseParams, theta: np.ndarray, m, v, t: int, n_blocks: int,
-              limit: int | None, order_seed: int):
+KIND_USER, KIND_ITEM, KIND_EXAMPLE = 0, 1, 2
+STREAM_COLS = ["block", "kind", "ord", "user_bucket", "item_bucket", "label", "bucket", "vec", "g2"]
+_OUT_COLS = [c.split()[0] for c in ROUND_SCHEMA.split(", ")]
+
+
+class _BlockState:
+    """One block inside a task: its table rows, then its examples streamed in mini-batches."""
+
+    def __init__(self, block: int, dim: int, batch: int, max_batches: int | None):
+        self.block, self.dim, self.batch, self.max_batches = block, dim, batch, max_batches
+        self.params = {KIND_USER: [], KIND_ITEM: []}
+        self.ready = False
+        self.pend_u = self.pend_i = np.empty(0, dtype=np.int64)
+        self.pend_y = np.empty(0)
+        self.batches = 0
+
+    def _build(self):
+        self.tables = {}
+        for kind, parts in self.params.items():
+            ids = np.concatenate([p[0] for p in parts]) if parts else np.empty(0, dtype=np.int64)
+            mat = np.concatenate([p[1] for p in parts]) if parts else np.zeros((0, self.dim))
+            g2 = np.concatenate([p[2] for p in parts]) if parts else np.empty(0)
+            tab = np.vstack([mat, np.zeros((1, self.dim))])        # last row: zeros for a missing id
+            self.tables[kind] = [pd.Index(ids), tab, g2.copy(), tab.copy(), g2.copy(),
+                                 np.zeros(len(ids), dtype=np.int64)]
+        self.params = None
+        self.ready = True
+
+    def feed(self, cols: dict, lo: int, hi: int, step):
+        kinds = cols["kind"][lo:hi]
+        for kind in (KIND_USER, KIND_ITEM):
+            sel = np.flatnonzero(kinds == kind)
+            if len(sel):
+                rows = sel + lo
+                self.params[kind].append((cols["bucket"][rows], cols["vecs"][cols["vec_row"][rows]],
+                                          cols["g2"][rows]))
+        ex = np.flatnonzero(kinds == KIND_EXAMPLE) + lo
+        if not len(ex):
+            return
+        if not self.ready:
+            self._build()
+        ui, ii = self.tables[KIND_USER][0], self.tables[KIND_ITEM][0]
+        self.pend_u = np.concatenate([self.pend_u, ui.get_indexer(cols["user_bucket"][ex])])
+        self.pend_i = np.concatenate([self.pend_i, ii.get_indexer(cols["item_bucket"][ex])])
+        self.pend_y = np.concatenate([self.pend_y, cols["label"][ex]])
+        while len(self.pend_y) >= self.batch and self._may_run():
+            self._run(self.batch, step)
+
+    def _may_run(self) -> bool:
+        return self.max_batches is None or self.batches < self.max_batches
+
+    def _run(self, n: int, step):
+        ru, ri, y = self.pend_u[:n], self.pend_i[:n], self.pend_y[:n]
+        self.pend_u, self.pend_i, self.pend_y = self.pend_u[n:], self.pend_i[n:], self.pend_y[n:]
+        tu, ti = self.tables[KIND_USER], self.tables[KIND_ITEM]
+        step(ru, ri, y, tu[1], tu[2], ti[1], ti[2])
+        for t, r in ((tu, ru), (ti, ri)):
+            t[5] += np.bincount(r[r >= 0], minlength=len(t[5]))
+        self.batches += 1
+
+    def finish(self, step):
+        if not self.ready:
+            self._build()
+        if len(self.pend_y) and self._may_run():
+            self._run(len(self.pend_y), step)
+        for kind, name in ((KIND_USER, "u"), (KIND_ITEM, "i")):
+            idx, tab, g2, tab0, g20, touches = self.tables[kind]
+            k = np.nonzero(touches)[0]
+            if len(k):
+                yield _out_batch(name, idx.values[k], tab[k] - tab0[k], g2[k] - g20[k], touches[k])
+
+
+def _out_batch(kind: str, buckets, deltas, g2, touches) -> pa.RecordBatch:
+    n = len(buckets)
+    none_d, none_l = pa.nulls(n, pa.float64()), pa.nulls(n, pa.int64())
+    return pa.RecordBatch.from_arrays(
+        [pa.array([kind] * n), pa.array(buckets, pa.int64()), _arrow_lists(np.asarray(deltas, dtype=np.float64)),
+         pa.nulls(n, pa.list_(pa.float64())), pa.array(g2, pa.float64()), pa.array(touches, pa.int64()),
+         none_d, none_l, none_d, none_l, none_l], names=_OUT_COLS)
+
+
+def _summary_batch(theta, aux, rows, batches, loss, mean) -> pa.RecordBatch:
+    d = np.asarray(theta, dtype=np.float64)
+    lists = pa.array([d.tolist(), None], pa.list_(pa.float64()))
+    auxl = pa.array([None if aux is None else np.asarray(aux).tolist(), None], pa.list_(pa.float64()))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(["d", "s"]), pa.nulls(2, pa.int64()), lists, auxl, pa.nulls(2, pa.float64()),
+         pa.array([rows, None], pa.int64()), pa.array([None, loss], pa.float64()), pa.array([None, rows], pa.int64()),
+         pa.array([None, mean], pa.float64()), pa.array([None, batches], pa.int64()),
+         pa.array([batches, None], pa.int64())], names=_OUT_COLS)
+
+
+def _batch_columns(batch: pa.RecordBatch, dim: int) -> dict:
+    def num(name, fill, dtype):
+        return batch.column(name).fill_null(fill).to_numpy(zero_copy_only=False).astype(dtype, copy=False)
+
+    vec = batch.column("vec")
+    present = vec.is_valid().to_numpy(zero_copy_only=False)
+    vecs = vec.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(-1, dim)
+    return {"block": num("block", -1, np.int64), "kind": num("kind", -1, np.int64),
+            "user_bucket": num("user_bucket", -1, np.int64), "item_bucket": num("item_bucket", -1, np.int64),
+            "label": num("label", 0, np.float64), "bucket": num("bucket", -1, np.int64),
+            "g2": num("g2", 0.0, np.float64), "vecs": vecs, "vec_row": np.cumsum(present) - 1}
+
+
+def _round_fn(args: TrainArgs, template: DenseParams, theta: np.ndarray, m, v, t: int, n_blocks: int,
+              limit: int | None):
+    """``mapInArrow`` body: blocks arrive contiguous, each as its table rows then its examples in order.
+
+    Vectors are read from the Arrow list buffers as NumPy matrices (no per-row
+    objects). Tower weights and Adam state carry over from block to block inside
+    the task; one row with them is emitted per task.
+    """
     dim, batch = args.embedding_dim, args.batch_size
     final_relu = args.final_activation == "relu"
-    b1, b2 = args.adam_betas
-
-    def local_table(p: pd.DataFrame):
-        mat = np.stack(p["vec"].values).astype(np.float64) if len(p) else np.zeros((0, dim))
-        return pd.Index(p["bucket"].values.astype(np.int64)), np.vstack([mat, np.zeros((1, dim))]), \
-            p["g2"].values.astype(np.float64).copy()
-
-    def rows_of(index: pd.Index, col: pd.Series) -> np.ndarray:
-        return index.get_indexer(col.fillna(-1).astype(np.int64).values)
-
-    def fn(key, ex: pd.DataFrame, par: pd.DataFrame) -> pd.DataFrame:
-        block = int(key[0])
-        if len(ex) == 0:
-            return pd.DataFrame(columns=[c.split()[0] for c in ROUND_SCHEMA.split(", ")])
-        order = (ex["row_id"].values.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-                 ^ np.uint64(order_seed & 0xFFFFFFFF))
-        ex = ex.iloc[np.lexsort((ex["row_id"].values, order))]
-        pu, pi = par[par["kind"] == "u"], par[par["kind"] == "i"]
-        uidx, U, gu = local_table(pu)
-        iidx, I, gi = local_table(pi)
-        U0, I0, gu0, gi0 = U.copy(), I.copy(), gu.copy(), gi.copy()
-        ur, ir = rows_of(uidx, ex["user_bucket"]), rows_of(iidx, ex["item_bucket"])
-        y = ex["label"].values.astype(np.float64)
-        n = len(ex)
-        n_batches = math.ceil(n / batch)
-        if limit is not None:
-            n_batches = min(n_batches, max(0, math.ceil((limit - block) / n_blocks)))
-        opt = Adam(args.learning_rate, (b1, b2), args.adam_eps, None if m is None else m.copy(),
+
+    def fn(batches):
+        opt = Adam(args.learning_rate, args.adam_betas, args.adam_eps, None if m is None else m.copy(),
                    None if v is None else v.copy(), t)
-        th = theta.copy()
-        dense = template.with_flat(th)
-        loss_sum = mean_sum = 0.0
-        done = 0
-        for bi in range(n_batches):
-            s = slice(bi * batch, min(n, (bi + 1) * batch))
-            ru, ri = ur[s], ir[s]
+        st = {"th": theta.copy(), "loss": 0.0, "mean": 0.0, "rows": 0, "batches": 0}
+        st["dense"] = template.with_flat(st["th"])
+
+        def step(ru, ri, y, U, gu, I, gi):
             eu, ei = U[np.where(ru >= 0, ru, len(U) - 1)], I[np.where(ri >= 0, ri, len(I) - 1)]
-            losses, gq, gc, deu, dei = two_tower_step(eu, ei, y[s], dense.query, dense.candidate, final_relu)
+            d = st["dense"]
+            losses, gq, gc, deu, dei = two_tower_step(eu, ei, y, d.query, d.candidate, final_relu)
             rowwise_adagrad(U, gu, ru, deu, args.table_lr, args.adagrad_eps)
             rowwise_adagrad(I, gi, ri, dei, args.table_lr, args.adagrad_eps)
-            th = opt.step(th, flatten_grads(gq, gc))
-            dense = template.with_flat(th)
-            loss_sum += float(losses.sum())
-            mean_sum += float(losses.mean())
-            done = s.stop
-        out = []
-        for kind, idx, tab, tab0, g, g0, rows in (("u", uidx, U, U0, gu, gu0, ur), ("i", iidx, I, I0, gi, gi0, ir)):
-            used = rows[:done]
-            touches = np.bincount(used[used >= 0], minlength=len(idx))
-            for k in np.nonzero(touches)[0]:
-                out.append((kind, int(idx[k]), tab[k] - tab0[k], None, float(g[k] - g0[k]), int(touches[k]),
-                            None, None, None, None, None))
+            st["th"] = opt.step(st["th"], flatten_grads(gq, gc))
+            st["dense"] = template.with_flat(st["th"])
+            st["loss"] += float(losses.sum())
+            st["mean"] += float(losses.mean())
+            st["rows"] += len(y)
+            st["batches"] += 1
+
+        cur = None
+        for rb in batches:
+            if rb.num_rows == 0:
+                continue
+            cols = _batch_columns(rb, dim)
+            blocks = cols["block"]
+            cuts = np.flatnonzero(np.diff(blocks)) + 1
+            for lo, hi in zip(np.r_[0, cuts], np.r_[cuts, len(blocks)]):
+                b = int(blocks[lo])
+                if cur is None or cur.block != b:
+                    if cur is not None:
+                        yield from cur.finish(step)
+                    cap = None if limit is None else max(0, math.ceil((limit - b) / n_blocks))
+                    cur = _BlockState(b, dim, batch, cap)
+                cur.feed(cols, int(lo), int(hi), step)
+        if cur is not None:
+            yield from cur.finish(step)
         aux = None if opt.m is None else np.concatenate([opt.m, opt.v])
-        out.append(("d", None, th, aux, None, int(done), None, None, None, None, int(n_batches)))
-        out.append(("s", None, None, None, None, None, loss_sum, int(done), mean_sum, int(n_batches), None))
-        return pd.DataFrame(out, columns=[c.split()[0] for c in ROUND_SCHEMA.split(", ")])
+        yield _summary_batch(st["th"], aux, st["rows"], st["batches"], st["loss"], st["mean"])
 
     return fn
 
 
+def round_input(blocked: DataFrame, params: DataFrame, order_seed: int) -> DataFrame:
+    """Examples and the table rows they touch in one frame: (block, kind, ord, ...)."""
+    null_long, null_vec = F.lit(None).cast("long"), F.lit(None).cast("array<double>")
+    ex = blocked.select("block", F.lit(KIND_EXAMPLE).alias("kind"),
+                        F.xxhash64(F.col("row_id"), F.lit(order_seed)).alias("ord"), "user_bucket", "item_bucket",
+                        "label", null_long.alias("bucket"), null_vec.alias("vec"),
+                        F.lit(None).cast("double").alias("g2"), "row_id")
+    pr = params.select(F.col("pblock").alias("block"),
+                       F.when(F.col("kind") == "u", F.lit(KIND_USER)).otherwise(F.lit(KIND_ITEM)).alias("kind"),
+                       F.lit(0).cast("long").alias("ord"), null_long.alias("user_bucket"),
+                       null_long.alias("item_bucket"), F.lit(None).cast("int").alias("label"), "bucket",
+                       "vec", "g2", F.col("bucket").alias("row_id"))
+    return ex.unionByName(pr)
+
+
 # ------------------------------------------------------------------ reduce
 
 def apply_deltas(table: DataFrame, deltas: DataFrame, dim: int) -> DataFrame:
     """Step 4 for one table: touch-weighted mean delta per bucket.
 
-    ``dim`` weighted ``sum`` aggregates (one per vector position) plus the
-    weight and g2 sums: partial aggregation before the shuffle, so a row that
-    every block touched (a hot item) costs one partial row per task, not a list.
+    Spark ML's ``Summarizer.mean`` with a weight column: an aggregate with one
+    vector buffer per bucket, combined map-side before the shuffle, so a row
+    that every block touched (a hot item) costs one partial buffer per task.
     """
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
     w = F.col("touches").cast("double")
-    sums = [F.sum(w * F.col("vec")[j]).alias(f"_d{j}") for j in range(dim)]
-    agg = deltas.groupBy("bucket").agg(F.sum(w).alias("_w"), F.sum(w * F.col("g2")).alias("_g"), *sums)
-    upd = agg.select("bucket", F.array(*[F.col(f"_d{j}") / F.col("_w") for j in range(dim)]).alias("_dv"),
-                     (F.col("_g") / F.col("_w")).alias("_dg"))
+    agg = (deltas.select("bucket", w.alias("_w"), array_to_vector("vec").alias("_v"), (w * F.col("g2")).alias("_wg"))
+           .groupBy("bucket").agg(Summarizer.mean(F.col("_v"), F.col("_w")).alias("_m"),
+                                  F.sum("_w").alias("_sw"), F.sum("_wg").alias("_sg")))
+    upd = agg.select("bucket", vector_to_array("_m").alias("_dv"), (F.col("_sg") / F.col("_sw")).alias("_dg"))
     j = table.join(upd, "bucket", "left")
     return j.select("bucket",
                     F.when(F.col("_dv").isNull(), F.col("vec")).otherwise(
@@ -183,12 +298,18 @@ def apply_deltas(table: DataFrame, deltas: DataFrame, dim: int) -> DataFrame:
 
 
 def average_dense(dense_rows: DataFrame):
-    """Row-weighted mean of the blocks' tower weights and Adam moments, computed by the executors."""
+    """Row-weighted mean of the tasks' tower weights and Adam moments (``Summarizer.mean``, map-side combined).
+
+    The result has the fixed size of the model config (weights + two moments) and is the one thing collected.
+    """
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.stat import Summarizer
+
     x = dense_rows.where(F.col("touches") > 0).select(
         F.col("touches").cast("double").alias("w"),
-        F.posexplode(F.concat("vec", F.coalesce("aux", F.array().cast("array<double>")))).alias("pos", "x"))
-    avg = x.groupBy("pos").agg((F.sum(F.col("w") * F.col("x")) / F.sum("w")).alias("x")).orderBy("pos")
-    return np.array([r["x"] for r in avg.collect()], dtype=np.float64)
+        array_to_vector(F.concat("vec", F.coalesce("aux", F.array().cast("array<double>")))).alias("v"))
+    row = x.agg(Summarizer.mean(F.col("v"), F.col("w")).alias("m")).first()
+    return np.array([]) if row is None or row["m"] is None else row["m"].toArray()
 
 
 @dataclass
@@ -210,8 +331,11 @@ def run_round(state: ModelState, blocked: DataFrame, keys: DataFrame, part: int,
               .unionByName(k.where(F.col("kind") == "i").join(state.item_table.select("bucket", "vec", "g2"), "bucket"))
               .select(F.col("block").alias("pblock"), "kind", "bucket", "vec", "g2"))
     theta = state.dense.flat()
-    fn = _block_fn(args, state.dense, theta, state.adam_m, state.adam_v, state.adam_t, n_blocks, limit, order_seed)
-    out = ex.groupBy("block").cogroup(params.groupBy("pblock")).applyInPandas(fn, ROUND_SCHEMA)
+    fn = _round_fn(args, state.dense, theta, state.adam_m, state.adam_v, state.adam_t, n_blocks, limit)
+    n_tasks = min(n_blocks, max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200"))))
+    rows = (round_input(ex, params, order_seed).repartition(n_tasks, "block")
+            .sortWithinPartitions("block", "kind", "ord", "row_id").select(*STREAM_COLS))
+    out = rows.mapInArrow(fn, ROUND_SCHEMA)
     out.write.mode("overwrite").parquet(f"{out_path}/_round_output")
     o = spark.read.parquet(f"{out_path}/_round_output")
     stats = o.where(F.col("kind") == "s").agg(F.sum("loss_sum").alias("l"), F.sum("n_rows").alias("n"),

@@ -75,7 +75,17 @@ def _tiny_examples(spark):
     return spark.createDataFrame(rows, EX), rows
 
 
-def test_one_block_round_equals_numpy_loop(spark):
+@pytest.mark.parametrize("arrow_batch", [10000, 5])
+def test_one_block_round_equals_numpy_loop(spark, arrow_batch):
+    """With one block the streamed round is plain sequential training, also when Arrow batches cut mini-batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(arrow_batch))
+    try:
+        _one_block_round(spark)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def _one_block_round(spark):
     args = TrainArgs(epochs=1, embedding_dim=4, layer_sizes=(4, 2), learning_rate=0.02, batch_size=4, n_blocks=1,
                      table_learning_rate=0.1, seed=9)
     counts = [5, 6]
@@ -92,8 +102,9 @@ def test_one_block_round_equals_numpy_loop(spark):
     gu, gi = np.zeros(5), np.zeros(6)
     dense = DenseParams.init(9, 4, (4, 2))
     rid = np.array([r[3] for r in rows], dtype=np.int64)
-    order = rid.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ np.uint64(123)
-    idx = np.lexsort((rid, order))
+    # the round streams each block in (xxhash64(row_id, seed), row_id) order
+    h = {r.row_id: r.h for r in df.select("row_id", F.xxhash64("row_id", F.lit(123)).alias("h")).collect()}
+    idx = np.lexsort((rid, np.array([h[x] for x in rid])))
     ub = np.array([r[0] if r[0] != 0 else -1 for r in rows])[idx]
     ib = np.array([r[1] if r[1] != 0 else -1 for r in rows])[idx]
     y = np.array([r[2] for r in rows], dtype=float)[idx]
