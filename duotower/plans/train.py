@@ -10,6 +10,10 @@ blocking as in stratified SGD, Gemulla et al. 2011):
    block holds a third of the data because of one user.
 2. Each block receives copies of exactly the table rows its examples touch:
    ``distinct(block, bucket) ⋈ table``. Tables are never broadcast whole.
+   With ``item_blocks = C > 1`` (item strata, DSGD), an epoch has C rounds and
+   in round s user block u only trains on items of block (u + s) mod C, so a
+   task holds at most ~1/C of the item table and, with ``n_blocks = C``, no
+   two tasks of a round share an item.
 3. Examples and their table rows are unioned, hash-partitioned by block and
    sorted by (block, table rows first, seeded order); ``mapInArrow`` streams
    each partition. Per block only its table rows are held in memory; the
@@ -84,7 +88,14 @@ def block_examples(train: DataFrame, args: TrainArgs, emb_counts, n_blocks: int)
     salted = F.pmod(F.xxhash64(F.col("row_id"), F.lit(args.seed)), F.lit(n_blocks))
     block = F.when(F.col("user_bucket").isNull() | F.col("_hot").isNotNull(), salted).otherwise(
         F.pmod(F.col("user_bucket"), F.lit(n_blocks)))
-    part = F.pmod(F.xxhash64(F.col("row_id"), F.lit(args.seed + 1)), F.lit(args.rounds_per_epoch))
+    if args.item_blocks > 1:
+        # item strata: round s of an epoch pairs user block u with item block (u + s) mod C
+        c = F.lit(args.item_blocks)
+        item_block = F.when(F.col("item_bucket").isNull(), F.pmod(F.xxhash64(F.col("row_id"), F.lit(args.seed + 2)), c)
+                            ).otherwise(F.pmod(F.xxhash64(F.col("item_bucket")), c))
+        part = F.pmod(item_block - F.pmod(block, c), c)
+    else:
+        part = F.pmod(F.xxhash64(F.col("row_id"), F.lit(args.seed + 1)), F.lit(args.rounds_per_epoch))
     return ex.select(block.cast("int").alias("block"), part.cast("int").alias("part"), "user_bucket", "item_bucket",
                      F.col("label").cast("int").alias("label"), "row_id")
 
@@ -392,8 +403,9 @@ def evaluate(state: ModelState, split_df: DataFrame, phase: str, limit: int | No
 # ------------------------------------------------------------------ the loop
 
 def choose_blocks(train: DataFrame, args: TrainArgs) -> int:
+    """User blocks: at least ``n_blocks`` and ``item_blocks``, and enough that a block has at most 2M rows."""
     n = train.count()
-    return max(1, args.n_blocks, math.ceil(n / MAX_BLOCK_ROWS))
+    return max(1, args.n_blocks, args.item_blocks, math.ceil(n / MAX_BLOCK_ROWS))
 
 
 def train_val_test(spark: SparkSession, train: DataFrame, val: DataFrame, test: DataFrame, args: TrainArgs,
@@ -411,11 +423,11 @@ def train_val_test(spark: SparkSession, train: DataFrame, val: DataFrame, test:
     blocked = block_examples(train, args, emb_counts, n_blocks).checkpoint()
     keys = touched_rows(blocked).checkpoint()
     limit = args.limit_train_batches
-    per_round = None if limit is None else math.ceil(limit / args.rounds_per_epoch)
+    per_round = None if limit is None else math.ceil(limit / args.rounds)
     rounds = 0
     for epoch in range(args.epochs):
-        for part in range(args.rounds_per_epoch):
-            last = part == args.rounds_per_epoch - 1
+        for part in range(args.rounds):
+            last = part == args.rounds - 1
             out = f"{model_root}/step={epoch}" if last else f"{root}/rounds/step=r{rounds}"
             res = run_round(state, blocked, keys, part, n_blocks, out, per_round,
                             order_seed=args.seed * 1000003 + epoch * 7919 + part)

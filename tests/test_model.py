@@ -194,3 +194,24 @@ def test_train_loop_phases_and_relu_compat(spark):
     val_rows = [r.value for r in m.where("name = 'val_rows'").collect()]
     assert max(val_rows) <= 3 * 128
     assert load_model(spark, f"{root}/model", "latest").step == 1
+
+
+def test_item_strata_give_disjoint_items_per_round(spark):
+    rng = np.random.default_rng(12)
+    rows = [(int(rng.integers(1, 60)), int(rng.integers(1, 80)), int(rng.integers(0, 2)), k) for k in range(4000)]
+    df = spark.createDataFrame(rows, EX)
+    args = TrainArgs(embedding_dim=4, layer_sizes=(4, 2), batch_size=64, n_blocks=3, item_blocks=3)
+    assert args.rounds == 3
+    blocked = block_examples(df, args, [60, 80], 3).checkpoint()
+    # every example lands in exactly one (block, round); per round, item sets of the blocks are disjoint
+    assert blocked.count() == 4000
+    per = blocked.where("item_bucket IS NOT NULL").groupBy("part", "item_bucket").agg(
+        F.count_distinct("block").alias("nb"))
+    assert per.agg(F.max("nb")).first()[0] == 1
+    keys = touched_rows(blocked).checkpoint()
+    state = init_state(spark, args, [60, 80])
+    root = tempfile.mkdtemp(prefix="dt-strata-")
+    res = run_round(state, blocked, keys, 1, 3, f"{root}/step=0", None, order_seed=5)
+    out = spark.read.parquet(f"{root}/step=0/_round_output").where("kind = 'i'")
+    assert out.groupBy("bucket").count().agg(F.max("count")).first()[0] == 1
+    assert res.n_rows == blocked.where("part = 1").count()
