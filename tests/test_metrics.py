@@ -88,3 +88,21 @@ def test_ordered_prefix_sum(spark):
         for a, b in items:
             assert got[(g, a)] == acc
             acc += b
+
+
+def test_pred_rounds_half_to_even(spark):
+    from duotower.operators.towers import score_columns
+
+    df = spark.createDataFrame([([0.0, 0.0], [1.0, 1.0]), ([1e-3, 0.0], [1.0, 0.0]), ([-1.0, 0.0], [1.0, 0.0])],
+                               "q array<double>, c array<double>")
+    got = [(r.prob, r.pred) for r in score_columns(df).collect()]
+    assert got[0] == (0.5, 0.0)          # exactly 0.5 -> 0 (half to even), not 1 as round() would give
+    assert got[1][1] == 1.0 and got[2][1] == 0.0
+
+
+def test_table_sizes_count_null_as_value(spark):
+    from duotower.plans.workflow import table_sizes
+
+    df = spark.createDataFrame([("a", 1, 1.0), (None, 1, 2.0), ("b", None, 3.0)],
+                               "userId string, movieId long, rating double")
+    assert table_sizes(df) == [3, 2]
