@@ -73,3 +73,17 @@ def test_entry_contract(spark):
     df = E.entry(spark)
     assert sorted(r.split for r in df.collect()) == ["test", "train", "validation"]
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_model_validity_checks():
+    import pytest
+
+    from duotower.config import validate_model
+
+    validate_model(["userId", "movieId"], [3, 4], [8, 8])
+    with pytest.raises(ValueError):
+        validate_model(["userId"], [3], [8])
+    with pytest.raises(ValueError):
+        validate_model(["userId", "movieId"], [3, 4], [8, 16])
+    with pytest.raises(ValueError):
+        TrainArgs(batch_size=0)
