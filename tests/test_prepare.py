@@ -166,3 +166,18 @@ def test_first_row_and_current_user(spark):
 
     assert first_row(spark.range(10)).count() == 1
     assert current_user(spark).first()["current_user"]
+
+
+def test_prepare_limit_and_random_split(spark):
+    from duotower.plans.prepare import prepare
+
+    rows = [("u%d" % (i % 13), i % 17, float(i % 5)) for i in range(500)]
+    df = spark.createDataFrame(rows, RS)
+    head = prepare(df, 3, limit=100)
+    assert head.count() == 100
+    # the head is the first 100 rows by (userId, movieId, rating)
+    firsts = sorted(rows, key=lambda r: (r[0], r[1], r[2]))[:100]
+    assert head.select("movieId").groupBy().sum().first()[0] == sum(r[1] for r in firsts)
+    rnd = prepare(df, 3, split_method="random")
+    assert rnd.count() == 500 and set(r.split for r in rnd.select("split").distinct().collect()) <= {
+        "train", "validation", "test"}
