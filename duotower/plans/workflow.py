@@ -10,6 +10,7 @@ Everything is written under one run folder in the shared scratch root
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,7 @@ from duotower.sources.export import export_splits, manifest, read_shards
 from duotower.sources.model_store import load_model
 
 SPLITS = ("train", "validation", "test")
+ROWS_PER_SHARD = 2_000_000
 
 
 @dataclass
@@ -55,6 +57,9 @@ def prepare_and_export(spark: SparkSession, ratings: DataFrame, run_id: str | No
     ratings = ratings.select("userId", "movieId", "rating")
     if materialize:
         ratings = ratings.checkpoint()
+    if num_shards is None:
+        # the reference's 40 shards, or one shard per ROWS_PER_SHARD rows when the data is larger
+        num_shards = max(40, math.ceil(ratings.count() / ROWS_PER_SHARD))
     ex = prepare(ratings, default_parallelism(spark), limit=limit)
     export_splits(ex, f"{root}/export", num_shards=num_shards)
     return PreparedRun(root, f"{root}/export", table_sizes(ratings))
