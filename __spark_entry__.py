@@ -21,7 +21,7 @@ from duotower.operators.index import apply_index, fit_index, string_indexer_inde
 from duotower.operators.lookup import bag_pooling, embedding_lookup
 from duotower.operators.metrics import auroc, avg_loss_compat, bce_mean, eval_summary
 from duotower.operators.profile import distinct_with_null, profile_counts, split_summary
-from duotower.operators.retrieve import sample_rows, topk_exact
+from duotower.operators.retrieve import sample_rows, topk_exact, topk_ivf
 from duotower.operators.sort import sorted_head
 from duotower.operators.split import hash_split, random_split, sql_split_case
 from duotower.operators.towers import init_mlp, score_columns, score_pairs, tower_table
@@ -240,6 +240,14 @@ def q_topk_items(spark, d):
                       _r6(F.col("score")).alias("score"))
 
 
+def q_topk_ivf(spark, d):
+    """R1 approximate: IVF index (16 k-means lists, 4 probes) over the whole embeddings table."""
+    v = _vectors(spark, d)
+    top = topk_ivf(v, v, TOPK, VEC_DIM, n_lists=16, n_probe=4, q_id="bucket", i_id="bucket", seed=SEED)
+    return top.select(F.col("qid").alias("user_vec"), "rank", F.col("iid").alias("item_vec"),
+                      _r6(F.col("score")).alias("score"))
+
+
 def q_item_vectors(spark, d):
     layers = init_mlp(SEED, "candidate_proj", VEC_DIM, TOWER_LAYERS)
     items = _bucketed(spark, d).where(F.col("item_bucket").isNotNull()).select("item_bucket").distinct()
@@ -413,6 +421,7 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "auroc": q_auroc,
         "eval_summary": q_eval_summary,
         "topk_items": q_topk_items,
+        "topk_ivf": q_topk_ivf,
         "item_vectors": q_item_vectors,
         "sample_predictions": q_sample_predictions,
         "init_model_scores": q_init_model_scores,

@@ -52,3 +52,20 @@ def test_hot_bag_pools_without_giant_group(spark):
     r = bag_pooling(bags, ["bag"], "id", t, 3, 3, zero_is_missing=False).first()
     assert r.bag_size == 30000 and r.pooled == [10000.0, 10000.0, 10000.0]
     assert spark.createDataFrame([([1.0, 2.0],)], "v array<double>").select(checksum("v")).first()[0] == 5.0
+
+
+def test_ivf_topk_exact_when_probing_all_lists_and_good_recall(spark):
+    from duotower.operators.retrieve import topk_ivf
+
+    rng = np.random.default_rng(21)
+    centers = rng.normal(size=(8, 6)) * 4
+    it = centers[rng.integers(0, 8, 400)] + rng.normal(size=(400, 6))
+    q = rng.normal(size=(60, 6)) * 2
+    qs, items = _table(spark, q), _table(spark, it)
+    exact = {(r.qid, r.iid) for r in topk_exact(qs, items, 5, 6, q_id="bucket", i_id="bucket").collect()}
+    full = {(r.qid, r.iid) for r in topk_ivf(qs, items, 5, 6, n_lists=8, n_probe=8, q_id="bucket",
+                                             i_id="bucket", budget_bytes=2000).collect()}
+    assert full == exact
+    some = {(r.qid, r.iid) for r in topk_ivf(qs, items, 5, 6, n_lists=8, n_probe=3, q_id="bucket",
+                                             i_id="bucket").collect()}
+    assert len(some & exact) / len(exact) > 0.8
