@@ -96,6 +96,13 @@ def q_index_unseen(spark, d):
     return apply_index(test, model, handle_invalid="keep")
 
 
+def q_index_skip(spark, d):
+    sp = hash_split(_ratings(spark, d), ["userId", "movieId"])
+    model = fit_index(sp.where(F.col("split") == "train"), "userId", _np(spark))
+    test = sp.where(F.col("split") == "test").select("userId", "movieId")
+    return apply_index(test, model, handle_invalid="skip")
+
+
 def q_labelled(spark, d):
     return _examples(spark, d).select("userId", "movieId", "label")
 
@@ -401,6 +408,7 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sorted_head": q_sorted_head,
         "user_index": q_user_index,
         "index_unseen": q_index_unseen,
+        "index_skip": q_index_skip,
         "labelled": q_labelled,
         "hash_split": q_hash_split,
         "split_summary": q_split_summary,
@@ -601,6 +609,11 @@ def oracle_sql() -> dict[str, str]:
                    FROM sp WHERE split = 'train' AND userId IS NOT NULL GROUP BY userId)
             SELECT CAST(coalesce(tr._idx, (SELECT count(*) FROM tr)) AS BIGINT) AS userId, sp.movieId
             FROM sp LEFT JOIN tr ON sp.userId = tr._key WHERE sp.split = 'test'""",
+        "index_skip": f"""WITH {_CTE_RATINGS},
+            sp AS (SELECT *, {_SPLIT} AS split FROM ratings),
+            tr AS (SELECT userId AS _key, row_number() OVER (ORDER BY count(*) DESC, userId) - 1 AS _idx
+                   FROM sp WHERE split = 'train' AND userId IS NOT NULL GROUP BY userId)
+            SELECT tr._idx AS userId, sp.movieId FROM sp JOIN tr ON sp.userId = tr._key WHERE sp.split = 'test'""",
         "labelled": f"WITH {_CTE_EXAMPLES} SELECT userId, movieId, label FROM ex",
         "hash_split": f"WITH {_CTE_RATINGS} SELECT userId, movieId, rating, {_SPLIT} AS split FROM ratings",
         "split_summary": f"""WITH {_CTE_EXAMPLES}
