@@ -144,16 +144,19 @@ def tower_forward(df: DataFrame, vec_col: str, layers, out: str, in_dim: int,
     """F6 / M2 (Arrow path): add ``out`` = MLP(``vec_col``) for every row.
 
     Runs as ``mapInArrow``: each Arrow batch becomes one (rows x in_dim) matrix
-    and one matmul per layer. ``vec_col`` must be non-null with ``in_dim`` entries.
+    and one matmul per layer. The weights (fixed size, from the config) are a
+    broadcast variable. ``vec_col`` must be non-null with ``in_dim`` entries.
     """
-    layers = [(np.asarray(w, dtype=np.float64), np.asarray(b, dtype=np.float64)) for w, b in layers]
+    bc = df.sparkSession.sparkContext.broadcast(
+        [(np.asarray(w, dtype=np.float64), np.asarray(b, dtype=np.float64)) for w, b in layers])
     fields = [f for f in df.schema.fields]
     out_schema = T.StructType(fields + [T.StructField(out, T.ArrayType(T.DoubleType()), False)])
 
     def run(batches):
+        weights = bc.value
         for batch in batches:
             x = _arrow_matrix(batch.column(vec_col), in_dim)
-            y = mlp_np(x, layers, final_activation)
+            y = mlp_np(x, weights, final_activation)
             yield pa.RecordBatch.from_arrays(list(batch.columns) + [_arrow_lists(y)],
                                              names=list(batch.schema.names) + [out])
 

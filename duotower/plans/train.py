@@ -216,18 +216,19 @@ def _batch_columns(batch: pa.RecordBatch, dim: int) -> dict:
             "g2": num("g2", 0.0, np.float64), "vecs": vecs, "vec_row": np.cumsum(present) - 1}
 
 
-def _round_fn(args: TrainArgs, template: DenseParams, theta: np.ndarray, m, v, t: int, n_blocks: int,
-              limit: int | None):
+def _round_fn(args: TrainArgs, template: DenseParams, start, t: int, n_blocks: int, limit: int | None):
     """``mapInArrow`` body: blocks arrive contiguous, each as its table rows then its examples in order.
 
     Vectors are read from the Arrow list buffers as NumPy matrices (no per-row
-    objects). Tower weights and Adam state carry over from block to block inside
-    the task; one row with them is emitted per task.
+    objects). ``start`` is a broadcast of (tower weights, Adam m, Adam v), shipped
+    once per executor. Weights and Adam state carry over from block to block
+    inside the task; one row with them is emitted per task.
     """
     dim, batch = args.embedding_dim, args.batch_size
     final_relu = args.final_activation == "relu"
 
     def fn(batches):
+        theta, m, v = start.value
         opt = Adam(args.learning_rate, args.adam_betas, args.adam_eps, None if m is None else m.copy(),
                    None if v is None else v.copy(), t)
         st = {"th": theta.copy(), "loss": 0.0, "mean": 0.0, "rows": 0, "batches": 0}
@@ -342,12 +343,14 @@ def run_round(state: ModelState, blocked: DataFrame, keys: DataFrame, part: int,
               .unionByName(k.where(F.col("kind") == "i").join(state.item_table.select("bucket", "vec", "g2"), "bucket"))
               .select(F.col("block").alias("pblock"), "kind", "bucket", "vec", "g2"))
     theta = state.dense.flat()
-    fn = _round_fn(args, state.dense, theta, state.adam_m, state.adam_v, state.adam_t, n_blocks, limit)
+    start = spark.sparkContext.broadcast((theta, state.adam_m, state.adam_v))
+    fn = _round_fn(args, state.dense, start, state.adam_t, n_blocks, limit)
     n_tasks = min(n_blocks, max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200"))))
     rows = (round_input(ex, params, order_seed).repartition(n_tasks, "block")
             .sortWithinPartitions("block", "kind", "ord", "row_id").select(*STREAM_COLS))
     out = rows.mapInArrow(fn, ROUND_SCHEMA)
     out.write.mode("overwrite").parquet(f"{out_path}/_round_output")
+    start.unpersist()
     o = spark.read.parquet(f"{out_path}/_round_output")
     stats = o.where(F.col("kind") == "s").agg(F.sum("loss_sum").alias("l"), F.sum("n_rows").alias("n"),
                                               F.sum("batch_mean_sum").alias("bm"),
