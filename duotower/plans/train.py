@@ -47,7 +47,7 @@ from duotower.functions.gradients import Adam, flatten_grads, rowwise_adagrad, t
 from duotower.operators.buckets import sparse_features
 from duotower.operators.metrics import eval_summary
 from duotower.operators.towers import DenseParams, _arrow_lists, init_table, score_pairs
-from duotower.sources.model_store import ModelState, load_model, save_model
+from duotower.sources.model_store import ModelState, list_steps, load_model, save_model
 from duotower.sources.runs import log_metrics, log_params, read_metrics
 from duotower.streaming.batches import assign_batches, limit_batches
 
@@ -412,23 +412,32 @@ def choose_blocks(train: DataFrame, args: TrainArgs) -> int:
 
 
 def train_val_test(spark: SparkSession, train: DataFrame, val: DataFrame, test: DataFrame, args: TrainArgs,
-                   emb_counts, root: str, run_id: str) -> tuple[ModelState, DataFrame]:
+                   emb_counts, root: str, run_id: str, resume: bool = False) -> tuple[ModelState, DataFrame]:
     """M7: base validation, epochs x (rounds, validation, save), then test. Returns (model, run_metrics).
 
     ``train``/``val``/``test`` are exported splits read with ``read_shards`` (they carry ``row_id``).
+    ``resume=True`` continues a run whose driver stopped: training restarts after the latest saved
+    epoch step under ``root/model`` (every epoch's state is a complete saved step).
     """
     model_root = f"{root}/model"
-    state = init_state(spark, args, emb_counts, model_root)
-    log_params(spark, root, run_id, relevant_fields(args, CAT_COLS, emb_counts))
-    log_metrics(spark, root, run_id, "base", None, _named("val", evaluate(state, val, "val", args.limit_val_batches)))
+    done_epochs = sorted(int(x) for x in list_steps(spark, model_root) if x.isdigit()) if resume else []
+    if done_epochs:
+        state = load_model(spark, model_root, done_epochs[-1])
+        first_epoch = done_epochs[-1] + 1
+    else:
+        state = init_state(spark, args, emb_counts, model_root)
+        first_epoch = 0
+        log_params(spark, root, run_id, relevant_fields(args, CAT_COLS, emb_counts))
+        log_metrics(spark, root, run_id, "base", None,
+                    _named("val", evaluate(state, val, "val", args.limit_val_batches)))
 
     n_blocks = choose_blocks(train, args)
     blocked = block_examples(train, args, emb_counts, n_blocks).checkpoint()
     keys = touched_rows(blocked).checkpoint()
     limit = args.limit_train_batches
     per_round = None if limit is None else math.ceil(limit / args.rounds)
-    rounds = 0
-    for epoch in range(args.epochs):
+    rounds = first_epoch * args.rounds
+    for epoch in range(first_epoch, args.epochs):
         for part in range(args.rounds):
             last = part == args.rounds - 1
             out = f"{model_root}/step={epoch}" if last else f"{root}/rounds/step=r{rounds}"

@@ -215,3 +215,21 @@ def test_item_strata_give_disjoint_items_per_round(spark):
     out = spark.read.parquet(f"{root}/step=0/_round_output").where("kind = 'i'")
     assert out.groupBy("bucket").count().agg(F.max("count")).first()[0] == 1
     assert res.n_rows == blocked.where("part = 1").count()
+
+
+def test_resume_continues_after_latest_epoch(spark):
+    from duotower.plans.train import train_val_test
+
+    rng = np.random.default_rng(9)
+    rows = [(int(rng.integers(1, 30)), int(rng.integers(1, 20)), int(rng.integers(0, 2)), k) for k in range(1500)]
+    df = spark.createDataFrame(rows, EX)
+    split = F.pmod(F.xxhash64("row_id"), F.lit(10))
+    tr, va, te = df.where(split < 7), df.where(split >= 8), df.where(split == 7)
+    root = tempfile.mkdtemp(prefix="dt-resume-")
+    a1 = TrainArgs(epochs=1, embedding_dim=4, layer_sizes=(4, 2), batch_size=64, n_blocks=2)
+    train_val_test(spark, tr, va, te, a1, [30, 20], root, "r")
+    a2 = TrainArgs(epochs=2, embedding_dim=4, layer_sizes=(4, 2), batch_size=64, n_blocks=2)
+    state, m = train_val_test(spark, tr, va, te, a2, [30, 20], root, "r", resume=True)
+    epochs = sorted(r.step for r in m.where("phase = 'epoch'").select("step").distinct().collect())
+    assert epochs == [0, 1] and m.where("phase = 'base'").select("name").distinct().count() == 4
+    assert m.where("phase = 'train'").select("step").distinct().count() == 2   # rounds 1 and 2, no repeat
