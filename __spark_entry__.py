@@ -368,6 +368,11 @@ def q_saved_model_scores(spark, d):
     return workflow.score_saved_model(spark, _prepared(spark, d), "latest")
 
 
+def q_saved_model_samples(spark, d):
+    _trained(spark, d)
+    return workflow.sample_saved_predictions(spark, _prepared(spark, d), "latest", N_SAMPLES)
+
+
 def q_run_params(spark, d):
     _trained(spark, d)
     return read_params(spark, _prepared(spark, d).root)
@@ -441,6 +446,7 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "train_round": q_train_round,
         "train_loop_metrics": q_train_loop_metrics,
         "saved_model_scores": q_saved_model_scores,
+        "saved_model_samples": q_saved_model_samples,
         "run_params": q_run_params,
         "fm_baseline": q_fm_baseline,
     }

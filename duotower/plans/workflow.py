@@ -79,6 +79,21 @@ def run_training(spark: SparkSession, run: PreparedRun, args: TrainArgs, run_id:
                           args, run.emb_counts, run.root, rid)
 
 
+def sample_saved_predictions(spark: SparkSession, run: PreparedRun, step="latest", n: int = 5) -> DataFrame:
+    """L4 + S9 + R0: the first ``n`` single-row batches of the test stream, scored by a saved step
+    (label next to logit, probability and rounded prediction, as the reference prints them)."""
+    from duotower.operators.retrieve import sample_rows
+    from duotower.operators.towers import score_pairs
+    from duotower.plans.train import with_buckets
+    from duotower.streaming.batches import assign_batches
+
+    state = load_model(spark, f"{run.root}/model", step)
+    ex = with_buckets(run.split(spark, "test"), state.emb_counts, state.args.zero_is_missing)
+    first = sample_rows(assign_batches(ex, ["row_id"], 1, 40, state.args.seed), n)
+    scored = score_pairs(first, state.user_table, state.item_table, state.dense, state.args.embedding_dim)
+    return scored.select("userId", "movieId", "label", "logit", "prob", "pred")
+
+
 def score_saved_model(spark: SparkSession, run: PreparedRun, step="latest") -> DataFrame:
     """S9 + R0: reload a saved step and score the test split."""
     state = load_model(spark, f"{run.root}/model", step)
