@@ -170,16 +170,20 @@ def tower_table(table: DataFrame, layers, out: str, in_dim: int, final_activatio
     return tower_forward(t, vec, layers, out, in_dim, final_activation).select(key, out)
 
 
-def attach_tower_outputs(df: DataFrame, bucket_col: str, table: DataFrame, layers, out: str, in_dim: int,
-                         final_activation: str = "identity") -> DataFrame:
-    """Per example: tower(table[bucket]) or, for a missing id, tower(zeros) (one vector, computed locally).
+def referenced_rows(table: DataFrame, df: DataFrame, bucket_col: str) -> DataFrame:
+    """Table rows that ``df`` references (left-semi join on its distinct buckets).
 
-    The tower runs only on table rows the examples reference (left-semi join on
-    the distinct buckets), so scoring a few batches does not run it over a whole
-    large table.
+    Worth it when ``df`` is small next to the table (a few evaluation batches);
+    on a whole split most rows are referenced and the extra pass is wasted.
     """
     used = df.select(F.col(bucket_col).alias("bucket")).where(F.col("bucket").isNotNull()).distinct()
-    outs = tower_table(table.join(used, "bucket", "left_semi"), layers, out, in_dim, final_activation)
+    return table.join(used, "bucket", "left_semi")
+
+
+def attach_tower_outputs(df: DataFrame, bucket_col: str, table: DataFrame, layers, out: str, in_dim: int,
+                         final_activation: str = "identity") -> DataFrame:
+    """Per example: tower(table[bucket]) or, for a missing id, tower(zeros) (one vector, computed locally)."""
+    outs = tower_table(table, layers, out, in_dim, final_activation)
     missing = mlp_np(np.zeros((1, in_dim)), layers, final_activation)[0]
     joined = embedding_lookup(df, bucket_col, outs.withColumnRenamed(out, "_tv"), out, len(missing),
                               table_vec="_tv")

@@ -46,7 +46,7 @@ from duotower.config import TrainArgs, relevant_fields, validate_model
 from duotower.functions.gradients import Adam, flatten_grads, rowwise_adagrad, two_tower_step
 from duotower.operators.buckets import sparse_features
 from duotower.operators.metrics import eval_summary
-from duotower.operators.towers import DenseParams, _arrow_lists, init_table, score_pairs
+from duotower.operators.towers import DenseParams, _arrow_lists, init_table, referenced_rows, score_pairs
 from duotower.sources.model_store import ModelState, list_steps, load_model, save_model
 from duotower.sources.runs import log_metrics, log_params, read_metrics
 from duotower.streaming.batches import assign_batches, limit_batches
@@ -383,14 +383,18 @@ def score_split(state: ModelState, split_df: DataFrame, phase: str, limit: int |
 
     The batch stream has ``n_shards`` shard windows (default: 40 or the shuffle
     parallelism if larger), so no single window holds a large share of a big split.
+    With a batch ``limit`` the towers only run on the table rows those batches use.
     """
     args = state.args
     if n_shards is None:
         n_shards = max(40, int(split_df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
     ex = with_buckets(split_df, state.emb_counts, args.zero_is_missing)
     b = limit_batches(assign_batches(ex, ["row_id"], args.batch_size, n_shards, args.seed), limit)
-    return score_pairs(b, state.user_table, state.item_table, state.dense, args.embedding_dim).withColumn(
-        "phase", F.lit(phase))
+    users, items = state.user_table, state.item_table
+    if limit is not None:
+        b = b.checkpoint()
+        users, items = referenced_rows(users, b, "user_bucket"), referenced_rows(items, b, "item_bucket")
+    return score_pairs(b, users, items, state.dense, args.embedding_dim).withColumn("phase", F.lit(phase))
 
 
 def evaluate(state: ModelState, split_df: DataFrame, phase: str, limit: int | None = None) -> dict:
