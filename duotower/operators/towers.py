@@ -4,7 +4,7 @@ Parameters:
   * two embedding tables as DataFrames ``(bucket long, vec array<double>, g2 double)``;
     they grow with the number of users/items and are never collected;
   * two small MLPs (one per side) as NumPy arrays, size fixed by the config
-    (49,536 numbers at the default sizes), shipped with the task closure.
+    (49,536 numbers at the default sizes), shipped to executors as a broadcast.
 
 A tower is applied to the *table* rows once (Arrow batches, NumPy matmul) and
 the results are joined onto the examples, instead of running the MLP once per
