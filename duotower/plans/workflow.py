@@ -10,7 +10,6 @@ Everything is written under one run folder in the shared scratch root
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +24,6 @@ from duotower.sources.export import export_splits, manifest, read_shards
 from duotower.sources.model_store import load_model
 
 SPLITS = ("train", "validation", "test")
-ROWS_PER_SHARD = 2_000_000
 
 
 @dataclass
@@ -47,7 +45,7 @@ def table_sizes(ratings: DataFrame) -> list:
 def prepare_and_export(spark: SparkSession, ratings: DataFrame, run_id: str | None = None,
                        num_shards: int | None = None,
                        limit: int | None = None, materialize: bool = True) -> PreparedRun:
-    """Prepare and export in one partitioned write.
+    """Prepare and export in one partitioned write (``num_shards=40`` for the reference's fixed sharding).
 
     ``materialize`` checkpoints the projected ratings first: the mean, the user
     index and the main flow all read them, and the source may be an expensive
@@ -57,9 +55,6 @@ def prepare_and_export(spark: SparkSession, ratings: DataFrame, run_id: str | No
     ratings = ratings.select("userId", "movieId", "rating")
     if materialize:
         ratings = ratings.checkpoint()
-    if num_shards is None:
-        # the reference's 40 shards, or one shard per ROWS_PER_SHARD rows when the data is larger
-        num_shards = max(40, math.ceil(ratings.count() / ROWS_PER_SHARD))
     ex = prepare(ratings, default_parallelism(spark), limit=limit)
     export_splits(ex, f"{root}/export", num_shards=num_shards)
     return PreparedRun(root, f"{root}/export", table_sizes(ratings))
