@@ -368,8 +368,12 @@ def run_round(state: ModelState, blocked: DataFrame, keys: DataFrame, part: int,
     new = ModelState(apply_deltas(state.user_table, o.where(F.col("kind") == "u"), dim),
                      apply_deltas(state.item_table, o.where(F.col("kind") == "i"), dim),
                      dense, m_new, v_new, state.adam_t + int(steps), args, state.cat_cols, state.emb_counts, state.step)
-    path = save_model(new, out_path.rsplit("/", 1)[0], out_path.rsplit("=", 1)[1])
-    reloaded = load_model(spark, path.rsplit("/", 1)[0], path.rsplit("=", 1)[1])
+    step = out_path.rsplit("=", 1)[1]
+    path = save_model(new, out_path.rsplit("/", 1)[0], step)
+    # read the tables back (cuts the lineage); the small parts are already in memory
+    reloaded = ModelState(spark.read.parquet(f"{path}/user_table"), spark.read.parquet(f"{path}/item_table"),
+                          new.dense, new.adam_m, new.adam_v, new.adam_t, args, state.cat_cols, state.emb_counts,
+                          int(step) if step.isdigit() else step)
     loss = (stats["l"] / n_rows) if n_rows else None
     compat = (stats["bm"] / n_rows) if n_rows else 0.0
     return RoundResult(reloaded, loss, compat, n_rows, int(stats["nb"] or 0))
