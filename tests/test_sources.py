@@ -87,3 +87,17 @@ def test_model_validity_checks():
         validate_model(["userId", "movieId"], [3, 4], [8, 16])
     with pytest.raises(ValueError):
         TrainArgs(batch_size=0)
+
+
+def test_export_splits_one_write(spark):
+    from duotower.sources.export import export_splits
+
+    root = tempfile.mkdtemp(prefix="dt-exps-") + "/export"
+    df = spark.range(3000).select((F.col("id") % 2).alias("label"), F.col("id").alias("userId"),
+                                  (F.col("id") % 97).alias("movieId"),
+                                  F.element_at(F.array(F.lit("train"), F.lit("validation"), F.lit("test")),
+                                               (F.col("id") % 3 + 1).cast("int")).alias("split"))
+    assert export_splits(df, root) is True and export_splits(df, root) is False
+    counts = {s: read_shards(spark, f"{root}/split={s}").count() for s in ("train", "validation", "test")}
+    assert counts == {"train": 1000, "validation": 1000, "test": 1000}
+    assert manifest(spark, f"{root}/split=train").agg(F.sum("rows")).first()[0] == 1000
