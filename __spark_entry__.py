@@ -359,6 +359,14 @@ def q_train_round(spark, d):
             .agg(F.count(F.lit(1)).alias("n"), F.sum("touches").alias("touches"), F.sum("n_rows").alias("rows")))
 
 
+def q_block_report(spark, d):
+    from duotower.plans.train import block_examples, block_report, choose_blocks
+
+    run = _prepared(spark, d)
+    train = run.split(spark, "train")
+    return block_report(block_examples(train, TRAIN_ARGS, run.emb_counts, choose_blocks(train, TRAIN_ARGS)))
+
+
 def q_train_loop_metrics(spark, d):
     return _trained(spark, d)[1]
 
@@ -444,6 +452,7 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "table_scan": q_table_scan,
         "export_manifest": q_export_manifest,
         "train_round": q_train_round,
+        "block_report": q_block_report,
         "train_loop_metrics": q_train_loop_metrics,
         "saved_model_scores": q_saved_model_scores,
         "saved_model_samples": q_saved_model_samples,

@@ -109,6 +109,18 @@ def touched_rows(blocked: DataFrame) -> DataFrame:
     return u.unionByName(i).distinct()
 
 
+def block_report(blocked: DataFrame) -> DataFrame:
+    """Where the work went (the Spark counterpart of printing a sharding plan), per (round part, block).
+
+    Rows, distinct users and items, and the hot (salted) share: a skew check before training.
+    """
+    return blocked.groupBy("part", "block").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_distinct("user_bucket").alias("users"),
+        F.count_distinct("item_bucket").alias("items"),
+        F.sum(F.col("user_bucket").isNull().cast("long")).alias("rows_without_user"))
+
+
 # ------------------------------------------------------------------ the task
 
 KIND_USER, KIND_ITEM, KIND_EXAMPLE = 0, 1, 2
