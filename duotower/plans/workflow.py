@@ -20,7 +20,7 @@ from duotower.operators.profile import distinct_with_null
 from duotower.plans.prepare import prepare
 from duotower.plans.train import score_split, train_val_test
 from duotower.session import default_parallelism, new_run_id, scratch_path
-from duotower.sources.export import export_splits, manifest, read_shards
+from duotower.sources.export import export_splits, read_manifest, read_shards
 from duotower.sources.model_store import load_model
 
 SPLITS = ("train", "validation", "test")
@@ -61,11 +61,8 @@ def prepare_and_export(spark: SparkSession, ratings: DataFrame, run_id: str | No
 
 
 def export_manifest(spark: SparkSession, run: PreparedRun) -> DataFrame:
-    parts = [manifest(spark, f"{run.export_root}/split={s}").withColumn("split", F.lit(s)) for s in SPLITS]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """The saved merged manifest of the export: (split, shard, rows, bytes)."""
+    return read_manifest(spark, run.export_root)
 
 
 def run_training(spark: SparkSession, run: PreparedRun, args: TrainArgs, run_id: str | None = None):

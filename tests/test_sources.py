@@ -6,7 +6,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from duotower.config import RunConfig, TrainArgs, args_from_json, args_to_json, relevant_fields
-from duotower.sources.export import export_split, manifest, read_shards
+from duotower.sources.export import export_split, manifest, read_manifest, read_shards
 from duotower.sources.ratings import read_ratings_csv, write_table_once
 from duotower.sources.runs import log_metrics, log_params, read_metrics, read_params
 
@@ -101,3 +101,6 @@ def test_export_splits_one_write(spark):
     counts = {s: read_shards(spark, f"{root}/split={s}").count() for s in ("train", "validation", "test")}
     assert counts == {"train": 1000, "validation": 1000, "test": 1000}
     assert manifest(spark, f"{root}/split=train").agg(F.sum("rows")).first()[0] == 1000
+    saved = read_manifest(spark, root)
+    assert {r.split: r.n for r in saved.groupBy("split").agg(F.sum("rows").alias("n")).collect()} == counts
+    assert spark.read.parquet(root).count() == 3000        # the manifest does not leak into the data
