@@ -49,12 +49,27 @@ TOPK = 10
 N_SAMPLES = 5
 
 
+_RUNS: dict = {}
+
+
+def _key(spark, d, what):
+    return (id(spark.sparkContext), d.rstrip("/"), what)
+
+
 def _np(spark: SparkSession) -> int:
     return default_parallelism(spark)
 
 
 def _ratings(spark, d):
-    return proxy_ratings(spark, d)
+    """The proxy ratings (a three-way join), checkpointed once per session and scale factor.
+
+    Every query that starts from ratings reads this materialized join instead of
+    re-running it in each branch of its plan (the mean, the index, the main flow).
+    """
+    k = _key(spark, d, "ratings")
+    if k not in _RUNS:
+        _RUNS[k] = proxy_ratings(spark, d).checkpoint()
+    return _RUNS[k]
 
 
 def _examples(spark, d):
@@ -306,11 +321,6 @@ def q_init_model_eval(spark, d):
 # training run per (session, sf) are shared by the queries below.
 
 TRAIN_ARGS = TrainArgs(epochs=1)   # reference sizes: dim 128, layers [128, 64], batch 1024, lr 0.01
-_RUNS: dict = {}
-
-
-def _key(spark, d, what):
-    return (id(spark.sparkContext), d.rstrip("/"), what)
 
 
 def _prepared(spark, d):
