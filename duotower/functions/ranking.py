@@ -3,8 +3,8 @@
 ``global_row_index``: 0-based position of every row in a total order. Rows are
 range-partitioned on the order, sorted within each partition, numbered by
 ``monotonically_increasing_id`` (partition id in the high bits, position in the
-low 33 bits), and shifted by the row count of all earlier partitions. The only
-un-partitioned step works on one row per partition.
+low 33 bits), checkpointed, and shifted by the row count of all earlier
+partitions. The only un-partitioned step works on one row per partition.
 
 ``ordered_prefix_sum``: for a numeric column, the sum over all rows that come
 strictly earlier in a total order. Rows are cut into contiguous ranges by
@@ -21,11 +21,18 @@ _LOW33 = (1 << 33) - 1
 
 
 def global_row_index(df: DataFrame, order: list[Column], n_partitions: int, out: str = "index") -> DataFrame:
-    """Add ``out`` = 0-based rank of each row under ``order`` (must be a total order)."""
+    """Add ``out`` = 0-based rank of each row under ``order`` (must be a total order).
+
+    The numbered rows are checkpointed (to ``spark.checkpoint.dir``) before the
+    partition sizes are taken from them: the range partitioner's bounds come
+    from a sample, so two separate computations of the range shuffle could
+    disagree. One snapshot serves both the sizes and the rows.
+    """
     ranged = (df.repartitionByRange(n_partitions, *order)
               .sortWithinPartitions(*order)
               .withColumn("_mid", F.monotonically_increasing_id()))
-    ranged = ranged.withColumn("_pid", F.shiftright("_mid", 33)).withColumn("_loc", F.col("_mid").bitwiseAND(_LOW33))
+    ranged = (ranged.withColumn("_pid", F.shiftright("_mid", 33)).withColumn("_loc", F.col("_mid").bitwiseAND(_LOW33))
+              .checkpoint())
     sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_sz"))
     # One row per range partition: bounded by n_partitions, so a global window and a broadcast are safe here.
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
