@@ -53,7 +53,8 @@ _RUNS: dict = {}
 
 
 def _key(spark, d, what):
-    return (id(spark.sparkContext), d.rstrip("/"), what)
+    # the application id is unique per SparkContext (an object id could be reused after a stop)
+    return (spark.sparkContext.applicationId, d.rstrip("/"), what)
 
 
 def _np(spark: SparkSession) -> int:
