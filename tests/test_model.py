@@ -233,3 +233,11 @@ def test_resume_continues_after_latest_epoch(spark):
     epochs = sorted(r.step for r in m.where("phase = 'epoch'").select("step").distinct().collect())
     assert epochs == [0, 1] and m.where("phase = 'base'").select("name").distinct().count() == 4
     assert m.where("phase = 'train'").select("step").distinct().count() == 2   # rounds 1 and 2, no repeat
+
+
+def test_evaluate_empty_split(spark):
+    args = TrainArgs(embedding_dim=4, layer_sizes=(4, 2), batch_size=8, n_blocks=2)
+    state = init_state(spark, args, [5, 6])
+    empty = spark.createDataFrame([], EX)
+    r = evaluate(state, empty, "x")
+    assert r["n_rows"] == 0 and r["auroc"] is None

@@ -181,3 +181,13 @@ def test_prepare_limit_and_random_split(spark):
     rnd = prepare(df, 3, split_method="random")
     assert rnd.count() == 500 and set(r.split for r in rnd.select("split").distinct().collect()) <= {
         "train", "validation", "test"}
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.integers(0, 20), min_size=1, max_size=80), st.integers(1, 9))
+def test_global_row_index_is_a_permutation(spark, vals, parts):
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(vals)], "a long, b long")
+    got = global_row_index(df, [F.desc("a"), F.asc("b")], parts).orderBy("index").collect()
+    want = sorted(((v, i) for i, v in enumerate(vals)), key=lambda t: (-t[0], t[1]))
+    assert [r["index"] for r in got] == list(range(len(vals)))
+    assert [(r.a, r.b) for r in got] == want

@@ -69,3 +69,10 @@ def test_ivf_topk_exact_when_probing_all_lists_and_good_recall(spark):
     some = {(r.qid, r.iid) for r in topk_ivf(qs, items, 5, 6, n_lists=8, n_probe=3, q_id="bucket",
                                              i_id="bucket").collect()}
     assert len(some & exact) / len(exact) > 0.8
+
+
+def test_topk_with_fewer_items_than_k(spark):
+    q = _table(spark, np.eye(3))
+    it = _table(spark, np.array([[1.0, 0, 0], [0, 2.0, 0]]))
+    got = sorted((r.qid, r["rank"], r.iid) for r in topk_exact(q, it, 5, 3, q_id="bucket", i_id="bucket").collect())
+    assert len(got) == 6 and (0, 1, 0) in got and (1, 1, 1) in got
