@@ -347,6 +347,13 @@ class RoundResult:
 
 def run_round(state: ModelState, blocked: DataFrame, keys: DataFrame, part: int, n_blocks: int, out_path: str,
               limit: int | None, order_seed: int) -> RoundResult:
+    """One training round over the examples of ``part`` (steps 2-4 of the module docstring).
+
+    ``out_path`` must end in ``step=<name>``: the new state is saved there
+    (``name`` numeric for epoch steps) and its tables are read back.
+    ``n_tasks = min(n_blocks, shuffle partitions)``; a task streams its blocks
+    one after the other. ``limit`` caps mini-batches per round, spread over blocks.
+    """
     spark = blocked.sparkSession
     args, dim = state.args, state.args.embedding_dim
     ex = blocked.where(F.col("part") == part).select("block", "user_bucket", "item_bucket", "label", "row_id")
