@@ -160,7 +160,7 @@ class _BlockState:
                 self.params[kind].append((cols["bucket"][rows], cols["vecs"][cols["vec_row"][rows]],
                                           cols["g2"][rows]))
         ex = np.flatnonzero(kinds == KIND_EXAMPLE) + lo
-        if not len(ex):
+        if not len(ex) or not self._may_run():       # past the batch limit: nothing more is kept in memory
             return
         if not self.ready:
             self._build()

@@ -241,3 +241,14 @@ def test_evaluate_empty_split(spark):
     empty = spark.createDataFrame([], EX)
     r = evaluate(state, empty, "x")
     assert r["n_rows"] == 0 and r["auroc"] is None
+
+
+def test_batch_limit_caps_rows_per_round(spark):
+    rows = [(int(u), int(i), int((u + i) % 2), k) for k, (u, i) in enumerate(zip(range(2000), range(2000)))]
+    df = spark.createDataFrame([(r[0] % 40 + 1, r[1] % 30 + 1, r[2], r[3]) for r in rows], EX)
+    args = TrainArgs(embedding_dim=4, layer_sizes=(4, 2), batch_size=50, n_blocks=2, limit_train_batches=6)
+    blocked = block_examples(df, args, [41, 31], 2)
+    keys = touched_rows(blocked)
+    state = init_state(spark, args, [41, 31])
+    res = run_round(state, blocked, keys, 0, 2, tempfile.mkdtemp(prefix="dt-lim-") + "/step=0", 6, order_seed=3)
+    assert res.n_batches == 6 and res.n_rows == 300
