@@ -76,3 +76,15 @@ def test_topk_with_fewer_items_than_k(spark):
     it = _table(spark, np.array([[1.0, 0, 0], [0, 2.0, 0]]))
     got = sorted((r.qid, r["rank"], r.iid) for r in topk_exact(q, it, 5, 3, q_id="bucket", i_id="bucket").collect())
     assert len(got) == 6 and (0, 1, 0) in got and (1, 1, 1) in got
+
+
+def test_blocked_topk_many_blocks_matches_brute_force(spark):
+    """Regression: group keys of both cogroup sides must have one type, or blocks silently miss their items."""
+    rng = np.random.default_rng(31)
+    q = rng.normal(size=(300, 4))
+    it = rng.normal(size=(250, 4))
+    got = topk_exact(_table(spark, q), _table(spark, it), 3, 4, q_id="bucket", i_id="bucket", budget_bytes=400)
+    rows = {(r.qid, r["rank"], r.iid) for r in got.collect()}
+    s = q @ it.T
+    want = {(i, k + 1, int(j)) for i in range(300) for k, j in enumerate(sorted(range(250), key=lambda j: (-s[i, j], j))[:3])}
+    assert rows == want
