@@ -252,3 +252,22 @@ def test_batch_limit_caps_rows_per_round(spark):
     state = init_state(spark, args, [41, 31])
     res = run_round(state, blocked, keys, 0, 2, tempfile.mkdtemp(prefix="dt-lim-") + "/step=0", 6, order_seed=3)
     assert res.n_batches == 6 and res.n_rows == 300
+
+
+def test_round_conserves_rows_with_several_blocks_per_task(spark):
+    rng = np.random.default_rng(14)
+    rows = [(int(rng.integers(0, 70)), int(rng.integers(0, 50)), int(rng.integers(0, 2)), k) for k in range(5000)]
+    df = spark.createDataFrame(rows, EX)
+    args = TrainArgs(embedding_dim=4, layer_sizes=(4, 2), batch_size=64, n_blocks=7)   # 7 blocks, 4 tasks
+    blocked = block_examples(df, args, [70, 50], 7).checkpoint()
+    keys = touched_rows(blocked).checkpoint()
+    root = tempfile.mkdtemp(prefix="dt-cons-")
+    res = run_round(init_state(spark, args, [70, 50]), blocked, keys, 0, 7, f"{root}/step=0", None, order_seed=2)
+    o = spark.read.parquet(f"{root}/step=0/_round_output")
+    t = {r.kind: (r.c, r.t) for r in o.groupBy("kind").agg(F.count(F.lit(1)).alias("c"),
+                                                           F.sum("touches").alias("t")).collect()}
+    assert res.n_rows == 5000
+    assert t["u"][1] == blocked.where("user_bucket IS NOT NULL").count()
+    assert t["i"][1] == blocked.where("item_bucket IS NOT NULL").count()
+    assert t["u"][0] == keys.where("kind = 'u'").count() and t["i"][0] == keys.where("kind = 'i'").count()
+    assert t["d"][0] == 4
