@@ -150,8 +150,9 @@ def q_batch_chunk(spark, d):
 
 
 def _emb_counts(spark, d):
-    counts = distinct_with_null(_ratings(spark, d))
-    return [counts.select("user_count").scalar(), counts.select("movie_count").scalar()]
+    # one scalar subquery returning both counts, so the distinct aggregate runs once
+    both = distinct_with_null(_ratings(spark, d)).select(F.struct("user_count", "movie_count")).scalar()
+    return [both.getField("user_count"), both.getField("movie_count")]
 
 
 def q_id_buckets(spark, d):
