@@ -10,7 +10,7 @@ from tests.conftest import SF0001
 
 TABLES = ["customer", "orders", "lineitem", "embeddings"]
 NAMES = ["profile_counts", "user_index", "labelled", "batch_assign", "id_buckets", "bag_pooling", "pair_scores",
-         "eval_summary", "topk_items", "init_model_scores"]
+         "eval_summary", "topk_items", "topk_blocked", "init_model_scores"]
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
 
 
