@@ -35,6 +35,11 @@ from duotower.sources.ratings import (PROXY_RATINGS_SQL, proxy_ratings, read_par
 from duotower.sources.runs import read_params
 from duotower.streaming.batches import assign_batches, chunk_batches, limit_batches
 
+try:    # the pipeline subpackage is optional: without it the other queries stay registered
+    from duotower.llm import queries as llm_queries
+except ImportError:
+    llm_queries = None
+
 SF0001 = "/root/testdata/sf0.001"
 
 # Fixed query parameters (reference values where the reference has one).
@@ -435,7 +440,8 @@ def _shipped(fn):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _shipped(fn) for name, fn in _registry().items()}
+    own = _registry() | (llm_queries.queries() if llm_queries else {})
+    return {name: _shipped(fn) for name, fn in own.items()}
 
 
 def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -650,7 +656,8 @@ def _positive_zero(sql: str) -> str:
 def oracle_sql() -> dict[str, str]:
     sqls = _oracles()
     sqls["topk_blocked"] = sqls["topk_items"]      # the blocked path is exact: same answer as topk_items
-    return {name: _positive_zero(sql) for name, sql in sqls.items()}
+    own = {name: _positive_zero(sql) for name, sql in sqls.items()}
+    return own | (llm_queries.oracle_sql() if llm_queries else {})
 
 
 def _oracles() -> dict[str, str]:
