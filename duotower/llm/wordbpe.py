@@ -14,6 +14,7 @@ import json
 import os
 import re
 import unicodedata
+from itertools import repeat
 
 import numpy as np
 
@@ -29,6 +30,12 @@ _LETTERS = re.escape("".join(c for c in _CHARS if unicodedata.category(c)[0] ==
 _DIGITS = re.escape("".join(c for c in _CHARS if unicodedata.category(c)[0] == "N"))
 _PRETOKEN = re.compile(rf"[{_LETTERS}]+|[{_DIGITS}]|'(?:s|t|re|ve|m|ll|d)|[^\s{_LETTERS}{_DIGITS}]+")
 
+_SLICE = 200_000        # characters that are looked up at a time
+
+# The byte-level alphabet: printable Latin-1 bytes stand for themselves, all others for characters from U+0100 on.
+_PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_BYTE_CHARS = {b: chr(0x100 + k) for k, b in enumerate(b for b in range(0x100) if b not in _PRINTABLE)}
+
 
 def plain(text: str) -> bool:
     return "<|" not in text and _PLAIN.match(text) is not None
@@ -37,7 +44,7 @@ def plain(text: str) -> bool:
 class WordBpe:
     """Pre-tokens, piece counts and ids of one tokenizer file; ``cache_words`` bounds the lookup table."""
 
-    def __init__(self, file: str, cache_words: int = 400_000):
+    def __init__(self, file: str, cache_words: int = 700_000):
         from tokenizers import Regex, Tokenizer, pre_tokenizers
 
         self.tok = Tokenizer.from_file(tokenizer_file(file))
@@ -56,9 +63,6 @@ class WordBpe:
         self.start = np.zeros(1 << 12, np.int64)
         self.size = np.zeros(1 << 12, np.int64)
 
-    def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tok.encode_batch(texts, add_special_tokens=False)]
-
     def pretokens(self, text: str) -> tuple[list[str], int]:
         """Pre-tokens of a text, and how many special tokens the library finds in it."""
         if plain(text):
@@ -71,23 +75,45 @@ class WordBpe:
         return out, len(parts) - 1
 
     def piece_counts(self, pretokens: list[str]) -> list[int]:
-        return [len(x) for x in self._ids(pretokens)]
+        pieces = self.tok.model.tokenize
+        return [len(pieces(p if p.isascii() else p.encode().decode("latin-1").translate(_BYTE_CHARS))) if plain(p)
+                else len(self.tok.encode(p, add_special_tokens=False).ids) for p in pretokens]
 
     def _learn(self, words: list[str]) -> None:
-        for word, ids in zip(words, self._ids(words)):
-            k, n = len(self.index), len(ids)
-            if k >= len(self.start):
-                self.start, self.size = (np.concatenate([a, np.zeros_like(a)]) for a in (self.start, self.size))
-            while self.used + n > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            self.flat[self.used:self.used + n] = ids
-            self.start[k], self.size[k] = self.used, n
-            self.index[word] = k
-            self.used += n
-            self.chars += len(word)
+        """Add lower-cased plain words: the ids of their pre-tokens, by the library's merges."""
+        pieces, ids, sizes = self.tok.model.tokenize, [], []
+        for word in words:
+            before = len(ids)
+            for p in _PRETOKEN.findall(word):
+                ids += [t.id for t in pieces(p if p.isascii() else p.encode().decode("latin-1").translate(_BYTE_CHARS))]
+            sizes.append(len(ids) - before)
+        k, n = len(self.index), len(words)
+        while k + n > len(self.start):
+            self.start, self.size = (np.concatenate([a, np.zeros_like(a)]) for a in (self.start, self.size))
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.flat[self.used:self.used + len(ids)] = ids
+        self.size[k:k + n] = sizes
+        self.start[k:k + n] = self.used + np.cumsum(sizes) - sizes
+        self.index.update(zip(words, range(k, k + n)))
+        self.used += len(ids)
+        self.chars += sum(map(len, words))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in one uint32 array, and the number of ids of each text."""
+        flats, lengths, at = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)], 0
+        while at < len(texts):      # few words at a time stay in the processor's cache
+            upto, size = at, 0
+            while upto < len(texts) and (size < _SLICE or upto == at):
+                size += len(texts[upto])
+                upto += 1
+            flat, n = self._encode(texts[at:upto])
+            flats.append(flat)
+            lengths.append(n)
+            at = upto
+        return np.concatenate(flats), np.concatenate(lengths)
+
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.index) > self.cache_words or self.chars > 64 << 20:
             self._clear()
         words: list[str] = []
@@ -100,10 +126,12 @@ class WordBpe:
                 words += own
             else:
                 whole[i] = self.tok.encode(text, add_special_tokens=False).ids
-        new = set(words).difference(self.index)
-        if new:
-            self._learn(sorted(new))
-        at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        at = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            new = [words[k] for k in missing.tolist()]
+            self._learn(list(dict.fromkeys(new)))
+            at[missing] = [self.index[w] for w in new]
         size = self.size[at]
         ends = np.concatenate([[0], np.cumsum(size)])
         flat = self.flat[np.repeat(self.start[at] - ends[:-1], size) + np.arange(ends[-1])]
