@@ -84,10 +84,13 @@ def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document."""
     found = secrets.find_secrets(read_table(spark, sf_dir, "documents"))
-    n = {k: F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in secrets.KINDS}
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     base = secrets.span_text(F.col("spans"), ("assign", "access", "hex"))
-    return found.select("doc_id", n["assign"], n["access"], n["hex"], F.sha2(base, 256).alias("base_sha256"),
-                        secrets.span_text(F.col("spans")).alias("spans"), n["random"])
+    return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(base, 256).alias("base_sha256"),
+                        secrets.span_text(F.col("spans")).alias("spans"), count("random"))
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
