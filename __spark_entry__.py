@@ -19,7 +19,7 @@ from duotower.functions.hashing import sql_md5_u32
 from duotower.functions.vectors import checksum, concat_features, dense_layer, to_double_array
 from duotower.operators.baseline import fit_fm, score_fm
 from duotower.operators.buckets import bucket_collisions, sparse_features
-from duotower.operators.index import apply_index, fit_index, string_indexer_index
+from duotower.operators.index import apply_index, fit_index
 from duotower.operators.lookup import bag_pooling, embedding_lookup
 from duotower.operators.metrics import auroc, avg_loss_compat, bce_mean, eval_summary
 from duotower.operators.profile import distinct_with_null, profile_counts, split_summary
@@ -30,6 +30,7 @@ from duotower.operators.towers import init_mlp, score_columns, score_pairs, towe
 from duotower.plans import workflow
 from duotower.plans.prepare import prepare
 from duotower.session import default_parallelism, scratch_path, ship_package
+from duotower.sources.export import with_row_id
 from duotower.sources.ratings import (PROXY_RATINGS_SQL, proxy_ratings, read_parquet_table, read_ratings_csv,
                                       read_table, write_table_once)
 from duotower.sources.runs import read_params
@@ -44,6 +45,8 @@ SF0001 = "/root/testdata/sf0.001"
 
 # Fixed query parameters (reference values where the reference has one).
 HEAD_LIMIT = 1_000_000      # orderBy(userId, movieId).limit(1_000_000)
+NULL_BELOW = 1.0            # ratings that the null-label query treats as unknown
+HEAD_CUT = 5_000            # a limit that the smallest tables exceed
 BATCH_SIZE = 1024           # Args.batch_size
 N_SHARDS = 40               # export shard count
 SEED = 42                   # split / shuffle seed
@@ -107,6 +110,11 @@ def q_sorted_head(spark, d):
     return sorted_head(_ratings(spark, d), HEAD_LIMIT, ["userId", "movieId"], _np(spark))
 
 
+def q_sorted_head_cut(spark, d):
+    """L1 with a limit below the number of rows."""
+    return sorted_head(_ratings(spark, d), HEAD_CUT, ["userId", "movieId"], _np(spark))
+
+
 def q_user_index(spark, d):
     return fit_index(_ratings(spark, d), "userId", _np(spark)).table.select(
         F.col("userId").alias("user_key"), F.col("index").alias("user_index"), F.col("freq"))
@@ -179,6 +187,12 @@ def q_random_split(spark, d):
     return random_split(_examples(spark, d).drop("split"), seed=SEED)
 
 
+def q_random_split_totals(spark, d):
+    """L2a keeps every row exactly once: rows and distinct row ids over all parts."""
+    parts = random_split(with_row_id(_examples(spark, d).drop("split")), seed=SEED)
+    return parts.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("row_id").alias("n_row_ids"))
+
+
 # ---------------------------------------------------------------- model stage
 # The ``embeddings`` table is the embedding table (bucket = vec_id) and, for
 # scoring, stands in for tower outputs.
@@ -264,6 +278,25 @@ def q_eval_summary(spark, d):
                     _r6(F.col("auroc")).alias("auroc"))
 
 
+def _null_ratings(spark, d):
+    """Ratings of which those below ``NULL_BELOW`` are unknown."""
+    return _ratings(spark, d).withColumn("rating", F.when(F.col("rating") >= NULL_BELOW, F.col("rating")))
+
+
+def q_eval_null_labels(spark, d):
+    """A9 where many rows have no label: they count nowhere."""
+    n = _n_vectors(spark, d)
+    ex = prepare(_null_ratings(spark, d), _np(spark))
+    ex = sparse_features(ex, ["userId", "movieId"], [n, n]).withColumnRenamed("userId_bucket", "user_bucket").withColumnRenamed(
+        "movieId_bucket", "item_bucket")
+    t = _vectors(spark, d)
+    x = embedding_lookup(embedding_lookup(ex, "user_bucket", t, "q", VEC_DIM), "item_bucket", t, "c", VEC_DIM)
+    scored = score_columns(x, "q", "c").drop("q", "c")
+    b = assign_batches(scored, ["userId", "movieId", "label"], BATCH_SIZE, N_SHARDS, SEED, partition_cols=["split"])
+    e = eval_summary(b, ["split"])
+    return e.select("split", "n_rows", _r6(F.col("mean_bce")).alias("mean_bce"), _r6(F.col("auroc")).alias("auroc"))
+
+
 def q_topk_items(spark, d):
     v = _vectors(spark, d)
     top = topk_exact(v, v, TOPK, VEC_DIM, q_id="bucket", i_id="bucket")
@@ -373,28 +406,62 @@ def q_export_manifest(spark, d):
     return workflow.export_manifest(spark, _prepared(spark, d))
 
 
-def q_train_round(spark, d):
+def q_export_totals(spark, d):
+    """Rows per split by the manifest, by reading the shards, and distinct row ids."""
+    run = _prepared(spark, d)
+    listed = workflow.export_manifest(spark, run).groupBy("split").agg(F.sum("rows").alias("manifest_rows"))
+    read = spark.read.parquet(run.export_root).groupBy("split").agg(F.count(F.lit(1)).alias("shard_rows"),
+                                                                    F.count_distinct("row_id").alias("n_row_ids"))
+    return listed.join(read, "split", "full")
+
+
+def _round_output(spark, d):
+    """The output of one training round over the exported train split (run once per session)."""
     from duotower.plans.train import block_examples, choose_blocks, init_state, run_round, touched_rows
 
+    k = _key(spark, d, "round")
+    if k in _RUNS:
+        return spark.read.parquet(_RUNS[k])
     run = _prepared(spark, d)
     args = TRAIN_ARGS
     train = run.split(spark, "train")
-    n_blocks = choose_blocks(train, args)
+    n_blocks = choose_blocks(args)
     blocked = block_examples(train, args, run.emb_counts, n_blocks).checkpoint()
     keys = touched_rows(blocked).checkpoint()
     out = f"{run.root}/single_round/step=0"
     state = init_state(spark, args, run.emb_counts, f"{run.root}/single_round")
     run_round(state, blocked, keys, 0, n_blocks, out, None, args.seed)
-    return (spark.read.parquet(f"{out}/_round_output").groupBy("kind")
+    _RUNS[k] = f"{out}/_round_output"
+    return spark.read.parquet(_RUNS[k])
+
+
+def q_train_round(spark, d):
+    return (_round_output(spark, d).groupBy("kind")
             .agg(F.count(F.lit(1)).alias("n"), F.sum("touches").alias("touches"), F.sum("n_rows").alias("rows")))
 
 
+def q_train_round_touches(spark, d):
+    """M4-M6: how often a round touched user rows and item rows, the distinct user rows, and the rows it trained."""
+    return _round_output(spark, d).agg(
+        F.sum(F.when(F.col("kind") == "u", F.col("touches"))).alias("user_touches"),
+        F.sum(F.when(F.col("kind") == "i", F.col("touches"))).alias("item_touches"),
+        F.count_distinct(F.when(F.col("kind") == "u", F.col("bucket"))).alias("users"),
+        F.count_distinct(F.when(F.col("kind") == "i", F.col("bucket"))).alias("items"),
+        F.sum("n_rows").alias("rows_trained"))
+
+
 def q_block_report(spark, d):
     from duotower.plans.train import block_examples, block_report, choose_blocks
 
     run = _prepared(spark, d)
     train = run.split(spark, "train")
-    return block_report(block_examples(train, TRAIN_ARGS, run.emb_counts, choose_blocks(train, TRAIN_ARGS)))
+    return block_report(block_examples(train, TRAIN_ARGS, run.emb_counts, choose_blocks(TRAIN_ARGS)))
+
+
+def q_block_totals(spark, d):
+    """The block report summed: every row in one block, every user but the spread ones in one block."""
+    return q_block_report(spark, d).agg(F.sum("rows").alias("n_rows"), F.sum("users").alias("n_users"),
+                                        F.sum("rows_without_user").alias("rows_without_user"))
 
 
 def q_train_loop_metrics(spark, d):
@@ -412,8 +479,10 @@ def q_saved_model_samples(spark, d):
 
 
 def q_run_params(spark, d):
+    """What the run logged, beside the table sizes measured from the ratings now."""
     _trained(spark, d)
-    return read_params(spark, _prepared(spark, d).root)
+    sizes = distinct_with_null(_ratings(spark, d)).select(F.col("user_count").alias("measured_users"), F.col("movie_count").alias("measured_items"))
+    return read_params(spark, _prepared(spark, d).root).crossJoin(F.broadcast(sizes))     # one row
 
 
 def q_fm_baseline(spark, d):
@@ -424,8 +493,9 @@ def q_fm_baseline(spark, d):
 
 
 def q_user_index_ml(spark, d):
+    """The fitted index applied to every rating (the numbering of Spark ML's frequency order)."""
     r = _ratings(spark, d)
-    return string_indexer_index(r, "userId").select("userId", "movieId", "rating")
+    return apply_index(r, fit_index(r, "userId", _np(spark))).select("userId", "movieId", "rating")
 
 
 # ---------------------------------------------------------------- registry
@@ -450,6 +520,7 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "profile_counts": q_profile_counts,
         "distinct_with_null": q_distinct_with_null,
         "sorted_head": q_sorted_head,
+        "sorted_head_cut": q_sorted_head_cut,
         "user_index": q_user_index,
         "index_unseen": q_index_unseen,
         "index_skip": q_index_skip,
@@ -462,6 +533,7 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "id_buckets": q_id_buckets,
         "bucket_collisions": q_bucket_collisions,
         "random_split": q_random_split,
+        "random_split_totals": q_random_split_totals,
         "embedding_lookup": q_embedding_lookup,
         "bag_pooling": q_bag_pooling,
         "feature_concat": q_feature_concat,
@@ -472,6 +544,7 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "avg_loss_compat": q_avg_loss_compat,
         "auroc": q_auroc,
         "eval_summary": q_eval_summary,
+        "eval_null_labels": q_eval_null_labels,
         "topk_items": q_topk_items,
         "topk_blocked": q_topk_blocked,
         "topk_ivf": q_topk_ivf,
@@ -483,8 +556,11 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "csv_scan": q_csv_scan,
         "table_scan": q_table_scan,
         "export_manifest": q_export_manifest,
+        "export_totals": q_export_totals,
         "train_round": q_train_round,
+        "train_round_touches": q_train_round_touches,
         "block_report": q_block_report,
+        "block_totals": q_block_totals,
         "train_loop_metrics": q_train_loop_metrics,
         "saved_model_scores": q_saved_model_scores,
         "saved_model_samples": q_saved_model_samples,
@@ -504,6 +580,8 @@ def entry(spark: SparkSession) -> DataFrame:
 _SPLIT = sql_split_case(["userId", "movieId"])
 
 _CTE_RATINGS = f"ratings AS ({PROXY_RATINGS_SQL})"
+_CTE_NULL_RATINGS = (f"ratings AS (SELECT userId, movieId, CASE WHEN rating >= {NULL_BELOW} THEN rating END AS rating "
+                     f"FROM ({PROXY_RATINGS_SQL}))")
 _CTE_EXAMPLES = f"""{_CTE_RATINGS},
 sp AS (SELECT *, {_SPLIT} AS split FROM ratings),
 uidx AS (SELECT userId AS _key, row_number() OVER (ORDER BY count(*) DESC, userId) - 1 AS _idx
@@ -589,16 +667,17 @@ def _tower_sql(name: str, sizes, out_key: str, out_col: str, where: str = "", pr
             f"SELECT key AS {out_key}, round(sum((i + 1) * v), 6) AS {out_col} FROM {last} GROUP BY key")
 
 
-_AUROC_SQL = """s AS (SELECT split, round(logit, 9) AS sc, sum(label) AS pos, sum(1 - label) AS neg
-       FROM sc WHERE label IS NOT NULL GROUP BY split, round(logit, 9)),
+_AUROC_SQL = """s AS (SELECT split, logit AS sc, sum(label) AS pos, sum(1 - label) AS neg
+       FROM sc WHERE label IS NOT NULL GROUP BY split, logit),
 c AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY split ORDER BY sc
                                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM s),
 au AS (SELECT split, CASE WHEN sum(pos) > 0 AND sum(neg) > 0
-                          THEN CAST(sum(pos * (below + 0.5 * neg)) AS DOUBLE) / CAST(sum(pos) * sum(neg) AS DOUBLE)
+                          THEN CAST(sum(pos * (below + 0.5 * neg)) AS DOUBLE) / (CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE))
                      END AS auroc FROM c GROUP BY split)"""
-_BCE_SQL = f"""bc AS (SELECT split, count(*) AS n_rows, avg({_bce_sql('logit', 'label')}) AS mean_bce FROM sc GROUP BY split)"""
+_BCE_SQL = f"""bc AS (SELECT split, count(*) AS n_rows, avg({_bce_sql('logit', 'label')}) AS mean_bce FROM sc
+       WHERE label IS NOT NULL GROUP BY split)"""
 _COMPAT_SQL = f"""pb AS (SELECT split, batch_seq, avg({_bce_sql('logit', 'label')}) AS bl, count(*) AS n
-       FROM sc GROUP BY split, batch_seq),
+       FROM sc WHERE label IS NOT NULL GROUP BY split, batch_seq),
 cp AS (SELECT split, coalesce(sum(bl) / sum(n), 0.0) AS avg_loss_compat, count(*) AS n_batches FROM pb GROUP BY split)"""
 
 
@@ -677,6 +756,9 @@ def _oracles() -> dict[str, str]:
         "sorted_head": f"""WITH {_CTE_RATINGS}
             SELECT userId, movieId, rating FROM ratings
             ORDER BY userId NULLS FIRST, movieId NULLS FIRST, rating NULLS FIRST LIMIT {HEAD_LIMIT}""",
+        "sorted_head_cut": f"""WITH {_CTE_RATINGS}
+            SELECT userId, movieId, rating FROM ratings
+            ORDER BY userId NULLS FIRST, movieId NULLS FIRST, rating NULLS FIRST LIMIT {HEAD_CUT}""",
         "user_index": f"""WITH {_CTE_RATINGS}
             SELECT userId AS user_key, row_number() OVER (ORDER BY count(*) DESC, userId) - 1 AS user_index,
                    count(*) AS freq
@@ -745,6 +827,20 @@ def _oracles() -> dict[str, str]:
             SELECT bc.split, bc.n_rows, round(bc.mean_bce, 6) AS mean_bce,
                    round(cp.avg_loss_compat, 6) AS avg_loss_compat, cp.n_batches, round(au.auroc, 6) AS auroc
             FROM bc JOIN cp ON bc.split = cp.split JOIN au ON bc.split = au.split""",
+        "eval_null_labels": f"""WITH {_CTE_SCORED.replace(_CTE_RATINGS, _CTE_NULL_RATINGS)}, {_BCE_SQL}, {_AUROC_SQL}
+            SELECT bc.split, bc.n_rows, round(bc.mean_bce, 6) AS mean_bce, round(au.auroc, 6) AS auroc
+            FROM bc JOIN au ON bc.split = au.split""",
+        "random_split_totals": f"WITH {_CTE_RATINGS} SELECT count(*) AS n_rows, count(*) AS n_row_ids FROM ratings",
+        "export_totals": f"""WITH {_CTE_EXAMPLES}
+            SELECT split, CAST(count(*) AS BIGINT) AS manifest_rows, count(*) AS shard_rows, count(*) AS n_row_ids FROM ex GROUP BY split""",
+        "train_round_touches": f"""WITH {_CTE_EXAMPLES}
+            SELECT CAST(count(*) FILTER (WHERE userId <> 0) AS BIGINT) AS user_touches,
+                   CAST(count(*) FILTER (WHERE movieId <> 0) AS BIGINT) AS item_touches, count(DISTINCT nullif(userId, 0)) AS users,
+                   count(DISTINCT nullif(movieId, 0) % (SELECT count(*) FROM (SELECT DISTINCT movieId FROM ratings))) AS items,
+                   count(*) AS rows_trained FROM ex WHERE split = 'train'""",
+        "block_totals": f"""WITH {_CTE_EXAMPLES}
+            SELECT count(*) AS n_rows, count(DISTINCT nullif(userId, 0)) AS n_users,
+                   CAST(count(*) FILTER (WHERE userId = 0) AS BIGINT) AS rows_without_user FROM ex WHERE split = 'train'""",
         "topk_items": f"""WITH {_CTE_VEC},
             s AS (SELECT a.bucket AS user_vec, b.bucket AS item_vec, list_dot_product(a.v, b.v) AS score
                   FROM vec a CROSS JOIN vec b),

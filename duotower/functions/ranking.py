@@ -42,11 +42,14 @@ def global_row_index(df: DataFrame, order: list[Column], n_partitions: int, out:
             .drop("_mid", "_pid", "_loc", "_off"))
 
 
-def quantile_splits(df: DataFrame, col: str, n_buckets: int, rel_error: float = 1e-3) -> list[float]:
+def quantile_splits(df: DataFrame, col: str, n_buckets: int, rel_error: float | None = None) -> list[float]:
     """Strictly increasing split points (-inf, q_1, ..., q_k-1, +inf) from approximate quantiles.
 
-    One small action: ``approxQuantile`` returns n_buckets - 1 numbers to the driver.
+    One small action: ``approxQuantile`` returns n_buckets - 1 numbers to the driver. The allowed rank error is a
+    quarter of a bucket unless given, so more buckets really are smaller.
     """
+    if rel_error is None:
+        rel_error = 0.25 / max(1, n_buckets)
     qs = df.approxQuantile(col, [i / n_buckets for i in range(1, n_buckets)], rel_error) if n_buckets > 1 else []
     inner = sorted({float(q) for q in qs if q == q and abs(q) != float("inf")})
     return [float("-inf")] + inner + [float("inf")]
@@ -72,18 +75,17 @@ def ordered_prefix_sum(df: DataFrame, order_col: str, value_cols: list[str], n_b
     """Add ``before_<v>`` = sum of ``v`` over rows of the same group with a strictly smaller ``order_col``.
 
     ``order_col`` values must be distinct within a group (aggregate first).
-    The number of groups must be small: the offset table has groups x buckets rows.
+    The offset table has groups x buckets rows; it is joined on the window's own partitioning, not broadcast.
     """
     groups = list(group_cols or [])
     b = quantile_bucket(df, order_col, n_buckets)
     w = Window.partitionBy(*groups, "_bk").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
     inner = b.select("*", *[F.coalesce(F.sum(v).over(w), F.lit(0)).alias(f"_in_{v}") for v in value_cols])
     totals = b.groupBy(*groups, "_bk").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
-    # groups x buckets rows: bounded, so this small window and the broadcast are safe.
     earlier = Window.partitionBy(*groups).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*groups, "_bk", *[F.coalesce(F.sum(f"_t_{v}").over(earlier), F.lit(0)).alias(f"_o_{v}")
                                               for v in value_cols])
-    out = inner.join(F.broadcast(offsets), [*groups, "_bk"])
+    out = inner.join(offsets, [*groups, "_bk"])
     for v in value_cols:
         out = out.withColumn(f"{prefix}{v}", F.col(f"_o_{v}") + F.col(f"_in_{v}"))
     return out.drop("_bk", *[f"_in_{v}" for v in value_cols], *[f"_o_{v}" for v in value_cols])

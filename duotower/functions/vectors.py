@@ -1,7 +1,9 @@
 """Native vector functions on ``array<double>`` columns.
 
 Everything here is a Catalyst expression (higher-order functions), so it runs
-in the JVM inside whole-stage code generation. No Python at run time.
+in the JVM without Python. Spark interprets higher-order functions (they are not
+part of whole-stage code generation), so wide vectors take the Arrow path of
+``operators.towers`` instead.
 """
 
 from __future__ import annotations

@@ -61,26 +61,3 @@ def apply_index(df: DataFrame, model: IndexModel, handle_invalid: str = "error",
     else:
         raise ValueError("handle_invalid must be error, skip or keep")
     return joined.withColumn(out, idx.cast("long")).drop("_key", "_idx")
-
-
-STRING_INDEXER_MAX_LABELS = 1_000_000
-
-
-def string_indexer_index(df: DataFrame, col: str, handle_invalid: str = "error",
-                         max_labels: int = STRING_INDEXER_MAX_LABELS) -> DataFrame:
-    """The reference's path: Spark ML ``StringIndexer``, whose fitted labels live on the driver.
-
-    Kept for parity checks and small inputs. The number of distinct ids is
-    checked first and must not exceed ``max_labels``; ``fit_index`` is the
-    scalable path with no such limit.
-    """
-    from pyspark.ml.feature import StringIndexer
-
-    n_labels = df.agg(F.count_distinct(F.col(col))).first()[0]
-    if n_labels > max_labels:
-        raise ValueError(f"{n_labels} distinct {col} values exceed max_labels={max_labels}; use fit_index")
-
-    si = StringIndexer(inputCol=col, outputCol=f"{col}_index", handleInvalid=handle_invalid)
-    out = si.fit(df).transform(df)
-    out = out.withColumn(f"{col}_index", out[f"{col}_index"].cast("long"))
-    return out.withColumn(col, out[f"{col}_index"]).drop(f"{col}_index")

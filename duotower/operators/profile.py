@@ -37,7 +37,7 @@ def profile_counts(df: DataFrame, user: str = "userId", item: str = "movieId", r
 
 def distinct_count_with_null(c: Column) -> Column:
     """A3: distinct values counting NULL as one value (``select(c).distinct().count()``)."""
-    return F.count_distinct(c) + F.max(c.isNull().cast("long"))
+    return F.count_distinct(c) + F.coalesce(F.max(c.isNull().cast("long")), F.lit(0))
 
 
 def distinct_with_null(df: DataFrame, user: str = "userId", item: str = "movieId") -> DataFrame:

@@ -7,23 +7,15 @@ from pyspark.sql import functions as F
 
 from duotower.functions.ranking import global_row_index
 
-# Up to this many rows the head is taken with Spark's TakeOrderedAndProject
-# (each task keeps a bounded top-n, one task merges them). Above it the head is
-# cut from a distributed global ranking, so no task ever holds more than its
-# own range partition.
-TOPN_SINGLE_TASK_MAX = 2_000_000
 
-
-def sorted_head(df: DataFrame, n: int, keys: list[str], n_partitions: int,
-                single_task_max: int = TOPN_SINGLE_TASK_MAX) -> DataFrame:
+def sorted_head(df: DataFrame, n: int, keys: list[str], n_partitions: int) -> DataFrame:
     """L1: first ``n`` rows ordered by ``keys`` and then by every other column.
 
-    The extra tie-break makes the cut-off deterministic when key values repeat.
+    The extra tie-break makes the cut-off deterministic when key values repeat. The head is cut from a distributed
+    global ranking, so no task holds more than its own range of the order, whatever ``n`` is.
     """
     order = [F.col(k).asc_nulls_first() for k in keys]
     order += [F.col(c).asc_nulls_first() for c in df.columns if c not in keys]
-    if n <= single_task_max:
-        return df.orderBy(*order).limit(n).repartition(n_partitions)
     # Identical copies of a row share every sort key; a scan-order id as the last key lets the range
     # partitioner split a group of copies that holds a large share of the rows.
     tagged = df.withColumn("_scan_id", F.monotonically_increasing_id())

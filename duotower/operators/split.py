@@ -52,7 +52,12 @@ def sql_split_case(key_sql: list[str], weights=(0.7, 0.2, 0.1), names=SPLIT_NAME
 
 
 def random_split(df: DataFrame, weights=(0.7, 0.2, 0.1), seed: int = 42, out: str = "split") -> DataFrame:
-    """The reference's ``randomSplit``, returned as one frame with a split column."""
+    """The reference's ``randomSplit``, returned as one frame with a split column.
+
+    ``randomSplit`` runs its input once per part, so the rows are checkpointed first: all parts see one snapshot and
+    no row is lost or repeated.
+    """
+    df = df.checkpoint()
     parts = df.randomSplit(list(weights), seed=seed)
     tagged = [p.withColumn(out, F.lit(name)) for p, name in zip(parts, SPLIT_NAMES)]
     res = tagged[0]

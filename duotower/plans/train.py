@@ -18,17 +18,19 @@ blocking as in stratified SGD, Gemulla et al. 2011):
    sorted by (block, table rows first, seeded order); ``mapInArrow`` streams
    each partition. Per block only its table rows are held in memory; the
    examples stream through mini-batches of ``batch_size`` with row-wise
-   Adagrad on table rows and Adam on the tower weights. The weights and Adam
-   state carry over between the blocks of one task, and each task emits per
-   touched row (delta, touches) plus one row with its final tower weights.
+   Adagrad on table rows and Adam on the tower weights. Every block starts from
+   the round's weights and Adam state and has a task of its own, so the result
+   does not depend on tasks or cluster settings. A block emits per touched row
+   (delta, touches) plus one row with its final tower weights.
 4. Deltas of a row that several blocks touched are averaged weighted by
    touches with ``Summarizer.mean`` (one vector buffer, map-side combined); tower
    weights are averaged weighted by rows the same way.
    The new tables are written to the shared folder and read back, which also
    cuts the lineage.
 
-With ``n_blocks = 1`` a round is exactly sequential mini-batch training.
-``validation_freq`` counts rounds (the reference counts mini-batches).
+With ``n_blocks = 1`` a round is exactly sequential mini-batch training. The number of blocks comes from the
+arguments alone. Rows without a label are not trained. ``validation_freq`` counts mini-batches and is looked at after
+every round.
 """
 
 from __future__ import annotations
@@ -52,7 +54,6 @@ from duotower.sources.runs import log_metrics, log_params, read_metrics
 from duotower.streaming.batches import assign_batches, limit_batches
 
 CAT_COLS = ["userId", "movieId"]
-MAX_BLOCK_ROWS = 2_000_000
 ROUND_SCHEMA = ("kind string, bucket long, vec array<double>, aux array<double>, g2 double, touches long, "
                 "loss_sum double, n_rows long, batch_mean_sum double, n_batches long, steps long")
 
@@ -80,11 +81,14 @@ def init_state(spark: SparkSession, args: TrainArgs, emb_counts, root: str | Non
 
 
 def block_examples(train: DataFrame, args: TrainArgs, emb_counts, n_blocks: int) -> DataFrame:
-    """Step 1: (block, part, user_bucket, item_bucket, label, row_id)."""
+    """Step 1: (block, part, user_bucket, item_bucket, label, row_id) of the rows that have a label."""
+    train = train.where(F.col("label").isNotNull())
     ex = with_buckets(train, emb_counts, args.zero_is_missing).select("user_bucket", "item_bucket", "label", "row_id")
     hot = (ex.where(F.col("user_bucket").isNotNull()).groupBy("user_bucket").agg(F.count(F.lit(1)).alias("_n"))
            .where(F.col("_n") > args.hot_user_rows).select("user_bucket", F.lit(True).alias("_hot")))
-    ex = ex.join(hot, "user_bucket", "left")
+    # rows without a user meet no hot user: a spread negative key keeps them out of one partition
+    key = F.coalesce("user_bucket", -1 - F.pmod(F.xxhash64("row_id"), F.lit(4096)))
+    ex = ex.withColumn("_key", key).join(hot.withColumnRenamed("user_bucket", "_key"), "_key", "left")
     salted = F.pmod(F.xxhash64(F.col("row_id"), F.lit(args.seed)), F.lit(n_blocks))
     block = F.when(F.col("user_bucket").isNull() | F.col("_hot").isNotNull(), salted).otherwise(
         F.pmod(F.col("user_bucket"), F.lit(n_blocks)))
@@ -228,23 +232,56 @@ def _batch_columns(batch: pa.RecordBatch, dim: int) -> dict:
             "g2": num("g2", 0.0, np.float64), "vecs": vecs, "vec_row": np.cumsum(present) - 1}
 
 
-def _round_fn(args: TrainArgs, template: DenseParams, start, t: int, n_blocks: int, limit: int | None):
+def batch_caps(limit: int, batches: dict[int, int]) -> dict[int, int]:
+    """Mini-batches each block may run so that all together run ``limit`` (or all they have): equal shares first."""
+    caps = dict.fromkeys(batches, 0)
+    left = limit
+    open_blocks = sorted(b for b, n in batches.items() if n)
+    while left and open_blocks:
+        share = max(1, left // len(open_blocks))
+        for b in open_blocks:
+            more = min(share, batches[b] - caps[b], left)
+            caps[b] += more
+            left -= more
+        open_blocks = [b for b in open_blocks if caps[b] < batches[b]]
+    return caps
+
+
+def task_keys(spark: SparkSession, n: int) -> list[int]:
+    """n numbers, the k-th of which Spark's hash partitioner sends to partition k of n."""
+    if n == 1:
+        return [0]
+    tries, found = 16 * n, {}
+    while len(found) < n:
+        rows = spark.range(tries).groupBy(F.pmod(F.hash("id"), F.lit(n)).alias("p")).agg(F.min("id").alias("id")).collect()
+        found, tries = {r["p"]: r["id"] for r in rows}, tries * 4
+    return [found[k] for k in range(n)]
+
+
+def _round_fn(args: TrainArgs, template: DenseParams, start, t: int, caps: dict | None):
     """``mapInArrow`` body: blocks arrive contiguous, each as its table rows then its examples in order.
 
     Vectors are read from the Arrow list buffers as NumPy matrices (no per-row
     objects). ``start`` is a broadcast of (tower weights, Adam m, Adam v), shipped
-    once per executor. Weights and Adam state carry over from block to block
-    inside the task; one row with them is emitted per task.
+    once per executor. Every block starts from them and emits one row with its own.
     """
     dim, batch = args.embedding_dim, args.batch_size
     final_relu = args.final_activation == "relu"
 
     def fn(batches):
         theta, m, v = start.value
-        opt = Adam(args.learning_rate, args.adam_betas, args.adam_eps, None if m is None else m.copy(),
-                   None if v is None else v.copy(), t)
-        st = {"th": theta.copy(), "loss": 0.0, "mean": 0.0, "rows": 0, "batches": 0}
-        st["dense"] = template.with_flat(st["th"])
+        st = {}
+
+        def begin():
+            st.update(th=theta.copy(), loss=0.0, mean=0.0, rows=0, batches=0, opt=Adam(
+                args.learning_rate, args.adam_betas, args.adam_eps, None if m is None else m.copy(), None if v is None else v.copy(), t))
+            st["dense"] = template.with_flat(st["th"])
+
+        def end(block):
+            yield from block.finish(step)
+            opt = st["opt"]
+            aux = None if opt.m is None else np.concatenate([opt.m, opt.v])
+            yield _summary_batch(st["th"], aux, st["rows"], st["batches"], st["loss"], st["mean"])
 
         def step(ru, ri, y, U, gu, I, gi):
             eu, ei = U[np.where(ru >= 0, ru, len(U) - 1)], I[np.where(ri >= 0, ri, len(I) - 1)]
@@ -252,7 +289,7 @@ def _round_fn(args: TrainArgs, template: DenseParams, start, t: int, n_blocks: i
             losses, gq, gc, deu, dei = two_tower_step(eu, ei, y, d.query, d.candidate, final_relu)
             rowwise_adagrad(U, gu, ru, deu, args.table_lr, args.adagrad_eps)
             rowwise_adagrad(I, gi, ri, dei, args.table_lr, args.adagrad_eps)
-            st["th"] = opt.step(st["th"], flatten_grads(gq, gc))
+            st["th"] = st["opt"].step(st["th"], flatten_grads(gq, gc))
             st["dense"] = template.with_flat(st["th"])
             st["loss"] += float(losses.sum())
             st["mean"] += float(losses.mean())
@@ -270,14 +307,12 @@ def _round_fn(args: TrainArgs, template: DenseParams, start, t: int, n_blocks: i
                 b = int(blocks[lo])
                 if cur is None or cur.block != b:
                     if cur is not None:
-                        yield from cur.finish(step)
-                    cap = None if limit is None else max(0, math.ceil((limit - b) / n_blocks))
-                    cur = _BlockState(b, dim, batch, cap)
+                        yield from end(cur)
+                    begin()
+                    cur = _BlockState(b, dim, batch, None if caps is None else caps.get(b, 0))
                 cur.feed(cols, int(lo), int(hi), step)
         if cur is not None:
-            yield from cur.finish(step)
-        aux = None if opt.m is None else np.concatenate([opt.m, opt.v])
-        yield _summary_batch(st["th"], aux, st["rows"], st["batches"], st["loss"], st["mean"])
+            yield from end(cur)
 
     return fn
 
@@ -322,7 +357,7 @@ def apply_deltas(table: DataFrame, deltas: DataFrame, dim: int) -> DataFrame:
 
 
 def average_dense(dense_rows: DataFrame):
-    """Row-weighted mean of the tasks' tower weights and Adam moments (``Summarizer.mean``, map-side combined).
+    """Row-weighted mean of the blocks' tower weights and Adam moments (``Summarizer.mean``, map-side combined).
 
     The result has the fixed size of the model config (weights + two moments) and is the one thing collected.
     """
@@ -351,8 +386,8 @@ def run_round(state: ModelState, blocked: DataFrame, keys: DataFrame, part: int,
 
     ``out_path`` must end in ``step=<name>``: the new state is saved there
     (``name`` numeric for epoch steps) and its tables are read back.
-    ``n_tasks = min(n_blocks, shuffle partitions)``; a task streams its blocks
-    one after the other. ``limit`` caps mini-batches per round, spread over blocks.
+    Every block has a task of its own. ``limit`` is the number of mini-batches of the round, handed out to the
+    blocks by their measured sizes.
     """
     spark = blocked.sparkSession
     args, dim = state.args, state.args.embedding_dim
@@ -363,12 +398,16 @@ def run_round(state: ModelState, blocked: DataFrame, keys: DataFrame, part: int,
               .select(F.col("block").alias("pblock"), "kind", "bucket", "vec", "g2"))
     theta = state.dense.flat()
     start = spark.sparkContext.broadcast((theta, state.adam_m, state.adam_v))
-    fn = _round_fn(args, state.dense, start, state.adam_t, n_blocks, limit)
-    n_tasks = min(n_blocks, max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200"))))
-    rows = (round_input(ex, params, order_seed).repartition(n_tasks, "block")
+    caps = None
+    if limit is not None:       # one row per block
+        sizes = {r["block"]: math.ceil(r["count"] / args.batch_size) for r in ex.groupBy("block").count().collect()}
+        caps = batch_caps(limit, sizes)
+    fn = _round_fn(args, state.dense, start, state.adam_t, caps)
+    task = F.array(*[F.lit(k).cast("long") for k in task_keys(spark, n_blocks)])[F.col("block")]
+    rows = (round_input(ex, params, order_seed).withColumn("_task", task).repartition(n_blocks, "_task")
             .sortWithinPartitions("block", "kind", "ord", "row_id").select(*STREAM_COLS))
     out = rows.mapInArrow(fn, ROUND_SCHEMA)
-    out.write.mode("overwrite").parquet(f"{out_path}/_round_output")
+    out.write.mode("overwrite").partitionBy("kind").parquet(f"{out_path}/_round_output")
     start.unpersist()
     o = spark.read.parquet(f"{out_path}/_round_output")
     stats = o.where(F.col("kind") == "s").agg(F.sum("loss_sum").alias("l"), F.sum("n_rows").alias("n"),
@@ -404,13 +443,13 @@ def score_split(state: ModelState, split_df: DataFrame, phase: str, limit: int |
                 n_shards: int | None = None) -> DataFrame:
     """R0 over an exported split: buckets, batch stream, tower outputs, logit/prob/pred.
 
-    The batch stream has ``n_shards`` shard windows (default: 40 or the shuffle
-    parallelism if larger), so no single window holds a large share of a big split.
+    The batch stream has ``n_shards`` shard windows (default: ``eval_shards`` of the run's arguments), so which rows a
+    batch limit keeps does not depend on the cluster. Use more shards for a larger split.
     With a batch ``limit`` the towers only run on the table rows those batches use.
     """
     args = state.args
     if n_shards is None:
-        n_shards = max(40, int(split_df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+        n_shards = args.eval_shards
     ex = with_buckets(split_df, state.emb_counts, args.zero_is_missing)
     b = limit_batches(assign_batches(ex, ["row_id"], args.batch_size, n_shards, args.seed), limit)
     users, items = state.user_table, state.item_table
@@ -432,10 +471,12 @@ def evaluate(state: ModelState, split_df: DataFrame, phase: str, limit: int | No
 
 # ------------------------------------------------------------------ the loop
 
-def choose_blocks(train: DataFrame, args: TrainArgs) -> int:
-    """User blocks: at least ``n_blocks`` and ``item_blocks``, and enough that a block has at most 2M rows."""
-    n = train.count()
-    return max(1, args.n_blocks, args.item_blocks, math.ceil(n / MAX_BLOCK_ROWS))
+def choose_blocks(args: TrainArgs) -> int:
+    """User blocks, from the arguments alone: ``n_blocks``, and one per item block at least.
+
+    ``block_report`` shows the rows and table rows of each block before a long run.
+    """
+    return max(1, args.n_blocks, args.item_blocks)
 
 
 def train_val_test(spark: SparkSession, train: DataFrame, val: DataFrame, test: DataFrame, args: TrainArgs,
@@ -444,13 +485,18 @@ def train_val_test(spark: SparkSession, train: DataFrame, val: DataFrame, test:
 
     ``train``/``val``/``test`` are exported splits read with ``read_shards`` (they carry ``row_id``).
     ``resume=True`` continues a run whose driver stopped: training restarts after the latest saved
-    epoch step under ``root/model`` (every epoch's state is a complete saved step).
+    complete epoch step under ``root/model`` (a step that was cut off half-way is not counted and is written anew).
+    An epoch whose validation was not logged any more is validated again first.
     """
     model_root = f"{root}/model"
     done_epochs = sorted(int(x) for x in list_steps(spark, model_root) if x.isdigit()) if resume else []
     if done_epochs:
         state = load_model(spark, model_root, done_epochs[-1])
         first_epoch = done_epochs[-1] + 1
+        logged = read_metrics(spark, root).where((F.col("run_id") == run_id) & (F.col("phase") == "epoch")
+                                                 & (F.col("step") == done_epochs[-1]))
+        if logged.limit(1).count() == 0:
+            log_metrics(spark, root, run_id, "epoch", done_epochs[-1], _named("val", evaluate(state, val, "val", args.limit_val_batches)))
     else:
         state = init_state(spark, args, emb_counts, model_root)
         first_epoch = 0
@@ -458,25 +504,27 @@ def train_val_test(spark: SparkSession, train: DataFrame, val: DataFrame, test:
         log_metrics(spark, root, run_id, "base", None,
                     _named("val", evaluate(state, val, "val", args.limit_val_batches)))
 
-    n_blocks = choose_blocks(train, args)
+    n_blocks = choose_blocks(args)
     blocked = block_examples(train, args, emb_counts, n_blocks).checkpoint()
     keys = touched_rows(blocked).checkpoint()
-    limit = args.limit_train_batches
-    per_round = None if limit is None else math.ceil(limit / args.rounds)
-    rounds = first_epoch * args.rounds
+    rounds, batches = first_epoch * args.rounds, 0
     for epoch in range(first_epoch, args.epochs):
+        left = args.limit_train_batches     # mini-batches that the epoch may still run
         for part in range(args.rounds):
+            per_round = None if left is None else math.ceil(left / (args.rounds - part))
             last = part == args.rounds - 1
             out = f"{model_root}/step={epoch}" if last else f"{root}/rounds/step=r{rounds}"
             res = run_round(state, blocked, keys, part, n_blocks, out, per_round,
                             order_seed=args.seed * 1000003 + epoch * 7919 + part)
             state = res.state
             rounds += 1
+            left = None if left is None else left - res.n_batches
+            before, batches = batches, batches + res.n_batches
             log_metrics(spark, root, run_id, "train", rounds,
                         {"train_loss": res.loss, "train_avg_loss_compat": res.avg_loss_compat,
                          "train_rows": res.n_rows, "train_batches": res.n_batches})
-            # like the reference: validate whenever the running count divides evenly, also before the epoch's own
-            if args.validation_freq and rounds % args.validation_freq == 0:
+            # whenever the running count of mini-batches has passed a multiple, also before the epoch's own
+            if args.validation_freq and batches // args.validation_freq > before // args.validation_freq:
                 log_metrics(spark, root, run_id, "val_step", rounds,
                             _named("val", evaluate(state, val, "val", args.limit_val_batches)))
         log_metrics(spark, root, run_id, "epoch", epoch,

@@ -87,12 +87,14 @@ def ship_package(spark: SparkSession) -> None:
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for written tables and checkpoints.
 
-    Reads ``spark.checkpoint.dir`` from the session. Only when it is unset (local
-    tests) a fresh folder is created and registered as the checkpoint dir.
+    Reads ``spark.checkpoint.dir`` from the session. It must be set on a cluster; on a
+    local master (tests) a fresh folder is created and registered as the checkpoint dir.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="duotower-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if sc._jsc.sc().getCheckpointDir().isEmpty():

@@ -23,15 +23,22 @@ def read_ratings_csv(spark: SparkSession, path: str, schema: T.StructType = RATI
 
     ``mode`` is Spark's: PERMISSIVE keeps malformed rows with nulls (and the raw
     line in ``corrupt_col`` if given), DROPMALFORMED drops them, FAILFAST raises.
-    Columns map by position: list the file's leading columns in the schema.
-    Extra trailing columns are ignored in PERMISSIVE mode (they make a row
-    malformed under DROPMALFORMED/FAILFAST).
+    Columns are found by name in the header, in any order; other columns are read past, and a declared column that
+    the header lacks raises an error.
     """
     reader = spark.read.option("header", True).option("mode", mode)
+    header = reader.csv(path).columns      # reads the first line only
+    missing = [f.name for f in schema.fields if f.name not in header]
+    if missing:
+        raise ValueError(f"columns missing in the header of {path}: {missing}")
+    types = {f.name: f.dataType for f in schema.fields}
+    full = [T.StructField(name, types.get(name, T.StringType()), True) for name in header]
+    names = [f.name for f in schema.fields]
     if corrupt_col:
-        schema = T.StructType(list(schema.fields) + [T.StructField(corrupt_col, T.StringType(), True)])
+        full.append(T.StructField(corrupt_col, T.StringType(), True))
+        names.append(corrupt_col)
         reader = reader.option("columnNameOfCorruptRecord", corrupt_col)
-    return reader.schema(schema).csv(path)
+    return reader.schema(T.StructType(full)).csv(path).select(*names)
 
 
 def write_table_once(df: DataFrame, name: str, path: str | None = None) -> bool:

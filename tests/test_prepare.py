@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from duotower.functions.ranking import global_row_index
 from duotower.operators.buckets import bucket_collisions, sparse_features, to_bucket
-from duotower.operators.index import apply_index, fit_index, string_indexer_index
+from duotower.operators.index import apply_index, fit_index
 from duotower.operators.label import binarize_at_mean
 from duotower.operators.profile import distinct_with_null, profile_counts
 from duotower.operators.sort import sorted_head
@@ -47,8 +47,10 @@ def test_index_matches_stringindexer(spark, parts):
     ours = {r.userId: r["index"] for r in fit_index(df, "userId", parts).table.collect()}
     # frequency desc, then id asc
     assert ours == {"u2": 0, "u1": 1, "u3": 2, "u9": 3, "u0": 4}
-    ml = string_indexer_index(df.withColumn("key", F.col("userId")), "userId").select("key", "userId").distinct()
-    assert {r.key: r.userId for r in ml.collect()} == ours
+    from pyspark.ml.feature import StringIndexer
+
+    ml = StringIndexer(inputCol="userId", outputCol="ix").fit(df).transform(df).select("userId", "ix").distinct()
+    assert {r.userId: int(r.ix) for r in ml.collect()} == ours
 
 
 def test_global_row_index_equals_window(spark):
@@ -82,15 +84,20 @@ def test_hash_split_disjoint_complete_stable(spark):
     assert a.groupBy("userId", "movieId").agg(F.count_distinct("split").alias("k")).where("k > 1").count() == 0
 
 
-def test_sorted_head_paths_agree(spark):
+def test_sorted_head(spark):
     rows = [("u%d" % (i % 5), i % 3, float(i % 4)) for i in range(200)]
     df = spark.createDataFrame(rows, RS)
-    small = sorted_head(df, 37, ["userId", "movieId"], 3)
-    large = sorted_head(df, 37, ["userId", "movieId"], 3, single_task_max=0)
-    assert small.count() == 37 and small.exceptAll(large).count() == 0
+    head = sorted_head(df, 37, ["userId", "movieId"], 3)
+    assert sorted(tuple(r) for r in head.collect()) == sorted(rows)[:37]
     assert sorted_head(df, 10_000, ["userId", "movieId"], 3).count() == 200
 
 
+def test_distinct_with_null_of_no_rows(spark):
+    from duotower.operators.profile import distinct_with_null
+
+    assert tuple(distinct_with_null(spark.createDataFrame([], RS)).first()) == (0, 0)
+
+
 def test_batches(spark):
     df = spark.range(2049).select(F.col("id").alias("rid"))
     b = assign_batches(df, ["rid"], 1024, n_shards=1)
@@ -129,7 +136,7 @@ def test_proxy_profile(spark):
 def test_sorted_head_copies_spread(spark):
     rows = [("hot", 1, 1.0)] * 3000 + [("u%d" % i, i, 2.0) for i in range(3000)]
     df = spark.createDataFrame(rows, RS)
-    head = sorted_head(df, 4000, ["userId", "movieId"], 6, single_task_max=0)
+    head = sorted_head(df, 4000, ["userId", "movieId"], 6)
     assert head.count() == 4000 and head.where(F.col("userId") == "hot").count() == 3000
     ranked = global_row_index(df.withColumn("t", F.monotonically_increasing_id()),
                               [F.col("userId"), F.col("movieId"), F.col("t")], 6, "r")

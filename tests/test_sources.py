@@ -1,5 +1,6 @@
 """Sources and sinks: CSV modes, write-once table, export + manifest, run tables, entry contract."""
 
+import pytest
 import os
 import tempfile
 
@@ -20,7 +21,17 @@ def test_csv_modes(spark):
     assert len(read_ratings_csv(spark, p, mode="DROPMALFORMED").collect()) == 2
     bad = [r for r in read_ratings_csv(spark, p, corrupt_col="_bad").collect() if r["_bad"] is not None]
     assert len(bad) == 1 and bad[0].userId == "b"
-    # extra trailing columns are ignored in the default PERMISSIVE mode
+    # columns are found by name, in any order, and a missing one is an error
+    p3 = os.path.join(d, "r3.csv")
+    with open(p3, "w") as f:
+        f.write("movieId,timestamp,userId,rating\n77,5,10,4.5\n")
+    assert [tuple(r) for r in read_ratings_csv(spark, p3).collect()] == [("10", 77, 4.5)]
+    p4 = os.path.join(d, "r4.csv")
+    with open(p4, "w") as f:
+        f.write("movieId,userId\n77,10\n")
+    with pytest.raises(ValueError):
+        read_ratings_csv(spark, p4)
+    # other columns are read past
     p2 = os.path.join(d, "r2.csv")
     with open(p2, "w") as f:
         f.write("userId,movieId,rating,timestamp\na,1,4.5,100\n")
