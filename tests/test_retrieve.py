@@ -88,3 +88,56 @@ def test_blocked_topk_many_blocks_matches_brute_force(spark):
     s = q @ it.T
     want = {(i, k + 1, int(j)) for i in range(300) for k, j in enumerate(sorted(range(250), key=lambda j: (-s[i, j], j))[:3])}
     assert rows == want
+
+
+def test_best_takes_ties_in_column_order_and_tiles_agree():
+    from duotower.operators.retrieve import _best, _scored_topk
+
+    rng = np.random.default_rng(31)
+    s = np.round(rng.normal(size=(40, 60)), 1)
+    for k in (1, 7, 60, 80):
+        want = [sorted(range(60), key=lambda j: (-s[r, j], j))[:k] for r in range(40)]
+        assert _best(s, k).tolist() == want
+    q, it = rng.integers(-2, 3, (9, 4)).astype(float), rng.integers(-2, 3, (300, 4)).astype(float)
+    ids = rng.permutation(1000)[:300]
+    whole = _scored_topk(np.arange(9), q, ids, it, 20, 4, item_tile=1000)
+    tiled = _scored_topk(np.arange(9), q, ids, it, 20, 4, item_tile=7)
+    sc = q @ it.T
+    want = [ids[j] for r in range(9) for j in sorted(range(300), key=lambda j: (-sc[r, j], ids[j]))[:20]]
+    assert whole[2].tolist() == tiled[2].tolist() == want
+
+
+def test_tile_memory_is_bounded():
+    import tracemalloc
+
+    from duotower.operators.retrieve import _scored_topk
+
+    rng = np.random.default_rng(32)
+    q, it = rng.normal(size=(512, 16)), rng.normal(size=(100_000, 16))
+    tracemalloc.start()
+    _scored_topk(np.arange(512), q, np.arange(100_000), it, 10, 512)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 250 << 20, peak
+
+
+def test_recommend_lists_movies_of_a_shared_row_and_missing_ids(spark):
+    from duotower.config import TrainArgs
+    from duotower.operators.retrieve import recommend
+    from duotower.operators.towers import mlp_np
+    from duotower.plans.train import init_state
+
+    args = TrainArgs(embedding_dim=4, layer_sizes=(4, 3), n_blocks=1)
+    state = init_state(spark, args, [5, 3])
+    users = spark.createDataFrame([(0,), (1,), (1,), (4,), (None,)], "userId long")
+    movies = spark.createDataFrame([(m,) for m in (0, 1, 2, 4, 7, None)], "movieId long")     # 1, 4 and 7 share a row
+    ut = {r.bucket: np.array(r.vec) for r in state.user_table.collect()}
+    it = {r.bucket: np.array(r.vec) for r in state.item_table.collect()}
+    zero = np.zeros(4)
+    u = {x: mlp_np((ut[x] if x else zero)[None], state.dense.query)[0] for x in (0, 1, 4)}
+    c = {x: mlp_np((it[x % 3] if x else zero)[None], state.dense.candidate)[0] for x in (0, 1, 2, 4, 7)}
+    got = {}
+    for r in recommend(users, movies, state, 4).collect():
+        got.setdefault(r.userId, []).append((r["rank"], r.movieId))
+    want = {x: list(enumerate(sorted(c, key=lambda m: (-round(float(u[x] @ c[m]), 12), m))[:4], 1)) for x in u}
+    assert {x: sorted(v) for x, v in got.items()} == want
