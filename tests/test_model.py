@@ -167,7 +167,7 @@ def test_training_learns_planted_signal(spark):
     keys = touched_rows(blocked).checkpoint()
     root = tempfile.mkdtemp(prefix="dt-learn-")
     before = evaluate(state, test, "test")["auroc"]
-    for epoch in range(6):
+    for epoch in range(8):
         state = run_round(state, blocked, keys, 0, 4, f"{root}/step={epoch}", None, order_seed=epoch).state
     after = evaluate(state, test, "test")["auroc"]
     assert after > 0.85 and after > before + 0.2, (before, after)
