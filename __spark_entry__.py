@@ -30,6 +30,7 @@ from duotower.operators.towers import init_mlp, score_columns, score_pairs, towe
 from duotower.plans import workflow
 from duotower.plans.prepare import prepare
 from duotower.session import default_parallelism, new_run_id, scratch_path, ship_package
+from duotower.snapshot import snapshot
 from duotower.sources.export import with_row_id
 from duotower.sources.ratings import (PROXY_RATINGS_SQL, proxy_ratings, read_parquet_table, read_ratings_csv,
                                       read_table, write_table_once)
@@ -72,14 +73,14 @@ def _np(spark: SparkSession) -> int:
 
 
 def _ratings(spark, d):
-    """The proxy ratings (a three-way join), checkpointed once per session and scale factor.
+    """The proxy ratings (a three-way join), written once per session and scale factor.
 
     Every query that starts from ratings reads this materialized join instead of
     re-running it in each branch of its plan (the mean, the index, the main flow).
     """
     k = _key(spark, d, "ratings")
     if k not in _RUNS:
-        _RUNS[k] = proxy_ratings(spark, d).checkpoint()
+        _RUNS[k] = snapshot(proxy_ratings(spark, d), "ratings")
     return _RUNS[k]
 
 
@@ -399,7 +400,7 @@ TRAIN_ARGS = TrainArgs(epochs=1)   # reference sizes: dim 128, layers [128, 64],
 def _prepared(spark, d):
     k = _key(spark, d, "prepared")
     if k not in _RUNS:
-        _RUNS[k] = workflow.prepare_and_export(spark, _ratings(spark, d))
+        _RUNS[k] = workflow.prepare_and_export(spark, _ratings(spark, d), materialize=False)
     return _RUNS[k]
 
 
@@ -446,7 +447,7 @@ def _round_output(spark, d):
     args = TRAIN_ARGS
     train = run.split(spark, "train")
     n_blocks = choose_blocks(args)
-    blocked = block_examples(train, args, run.emb_counts, n_blocks).checkpoint()
+    blocked = snapshot(block_examples(train, args, run.emb_counts, n_blocks), "blocked")
     keys = touched_rows(blocked).checkpoint()
     out = f"{run.root}/single_round/step=0"
     state = init_state(spark, args, run.emb_counts, f"{run.root}/single_round")

@@ -50,6 +50,7 @@ from duotower.operators.buckets import sparse_features
 from duotower.operators.metrics import eval_summary
 from duotower.operators.towers import DenseParams, _arrow_lists, init_table, referenced_rows, score_pairs
 from duotower.sources.model_store import ModelState, list_steps, load_model, save_model
+from duotower.snapshot import snapshot
 from duotower.sources.runs import log_metrics, log_params, read_metrics
 from duotower.streaming.batches import assign_batches, limit_batches
 
@@ -412,7 +413,7 @@ def run_round(state: ModelState, blocked: DataFrame, keys: DataFrame, part: int,
     o = spark.read.parquet(f"{out_path}/_round_output")
     stats = o.where(F.col("kind") == "s").agg(F.sum("loss_sum").alias("l"), F.sum("n_rows").alias("n"),
                                               F.sum("batch_mean_sum").alias("bm"),
-                                              F.sum("n_batches").alias("nb")).first()
+                                              F.sum("n_batches").alias("nb"), F.max("n_batches").alias("steps")).first()
     n_rows = int(stats["n"] or 0)
     flat = average_dense(o.where(F.col("kind") == "d"))
     n_theta = theta.size
@@ -420,7 +421,7 @@ def run_round(state: ModelState, blocked: DataFrame, keys: DataFrame, part: int,
         dense = state.dense.with_flat(flat[:n_theta])
         m_new = flat[n_theta:2 * n_theta] if flat.size >= 3 * n_theta else state.adam_m
         v_new = flat[2 * n_theta:3 * n_theta] if flat.size >= 3 * n_theta else state.adam_v
-        steps = o.where(F.col("kind") == "d").agg(F.max("steps")).first()[0] or 0
+        steps = stats["steps"] or 0
     else:
         dense, m_new, v_new, steps = state.dense, state.adam_m, state.adam_v, 0
     new = ModelState(apply_deltas(state.user_table, o.where(F.col("kind") == "u"), dim),
@@ -461,8 +462,8 @@ def score_split(state: ModelState, split_df: DataFrame, phase: str, limit: int |
 
 def evaluate(state: ModelState, split_df: DataFrame, phase: str, limit: int | None = None) -> dict:
     """{n_rows, mean_bce, avg_loss_compat, n_batches, auroc} for one split."""
-    # Score once into a narrow checkpoint; the three metrics then read it instead of re-running the joins.
-    scored = score_split(state, split_df, phase, limit).select("phase", "label", "logit", "batch_seq").checkpoint()
+    # Score once into a narrow snapshot; the three metrics then read it instead of re-running the joins.
+    scored = snapshot(score_split(state, split_df, phase, limit).select("phase", "label", "logit", "batch_seq"), "scored")
     r = eval_summary(scored, ["phase"]).first()
     if r is None:
         return {"n_rows": 0, "mean_bce": None, "avg_loss_compat": 0.0, "n_batches": 0, "auroc": None}
@@ -505,7 +506,7 @@ def train_val_test(spark: SparkSession, train: DataFrame, val: DataFrame, test:
                     _named("val", evaluate(state, val, "val", args.limit_val_batches)))
 
     n_blocks = choose_blocks(args)
-    blocked = block_examples(train, args, emb_counts, n_blocks).checkpoint()
+    blocked = snapshot(block_examples(train, args, emb_counts, n_blocks), "blocked")
     keys = touched_rows(blocked).checkpoint()
     rounds, batches = first_epoch * args.rounds, 0
     for epoch in range(first_epoch, args.epochs):

@@ -20,6 +20,7 @@ from duotower.operators.profile import distinct_with_null
 from duotower.plans.prepare import prepare
 from duotower.plans.train import score_split, train_val_test
 from duotower.session import default_parallelism, new_run_id, scratch_path
+from duotower.snapshot import snapshot
 from duotower.sources.export import export_splits, read_manifest, read_shards
 from duotower.sources.model_store import load_model
 
@@ -47,14 +48,14 @@ def prepare_and_export(spark: SparkSession, ratings: DataFrame, run_id: str | No
                        limit: int | None = None, materialize: bool = True) -> PreparedRun:
     """Prepare and export in one partitioned write (``num_shards=40`` for the reference's fixed sharding).
 
-    ``materialize`` checkpoints the projected ratings first: the mean, the user
+    ``materialize`` snapshots the projected ratings first: the mean, the user
     index and the main flow all read them, and the source may be an expensive
-    join. The checkpoint goes to ``spark.checkpoint.dir``.
+    join. Turn it off when the ratings are a plain table or already a snapshot.
     """
     root = scratch_path(spark, "runs", run_id or new_run_id())
     ratings = ratings.select("userId", "movieId", "rating")
     if materialize:
-        ratings = ratings.checkpoint()
+        ratings = snapshot(ratings, "ratings")
     ex = prepare(ratings, default_parallelism(spark), limit=limit)
     export_splits(ex, f"{root}/export", num_shards=num_shards)
     return PreparedRun(root, f"{root}/export", table_sizes(ratings))
