@@ -13,7 +13,7 @@ _LINKS = '<li><a href="/a">Home</a></li><li><a href="/b">Latest news</a></li><li
 
 # a news page with semantic elements
 _SEMANTIC = [
-    (0, f"<html><body><nav><ul>{_LINKS}</ul></nav>"), (0, '<div class="ad">Buy one lamp today and get a second one for half of the price.</div>'),
+    (0, f"<html><body><nav><ul>{_LINKS}</ul></nav>"), (0, f"<div><p>{_LONG}</p></div><p>{_SHORT}</p>"), (0, '<div class="ad">Buy one lamp today and get a second one for half of the price.</div>'),
     (1, f"<article><h1>Flood in the valley</h1><p>{_LONG}</p><p>{_SHORT}</p><p>{_TINY}</p><p>{_LONG} {_MID}</p>"),
     (1, f"<ul><li>{_SHORT}</li><li>Two carts and a dog</li></ul><p>{_MID}</p>"), (0, f'<div class="share"><a href="/s">Share this</a></div><aside><p>{_MID}</p></aside>'),
     (1, f"<p>{_MID}</p>"), (0, f'</article><section class="comments"><p>{_MID}</p><p>{_SHORT}</p><p>First!</p></section>'),
@@ -25,7 +25,8 @@ _MAIN = [
     (1, f"<main><h2>A second flood</h2><p>{_LONG}</p><blockquote>{_MID}</blockquote><p>{_TINY}</p><p>{_SHORT}</p><h3>What came after</h3><p>{_LONG}</p>"),
     (0, "<form><label>Your mail</label><p>Get a letter from us every week, free of charge, and stop it at any time.</p><button>Send</button></form>"),
     (1, f"<p>{_SHORT}</p><table><tr><td>Carts</td><td>12</td></tr><tr><td>Dogs</td><td>3</td></tr></table>"),
-    (0, f'</main><div id="sidebar"><h3>Most read</h3><p>{_MID}</p><ul>{_LINKS}</ul></div><div id="footer">Made in the valley.</div></body>'),
+    (0, f"</main><div class=\"box-7\"><p>{_LONG} {_MID}</p><p>{_MID}</p><div>{_SHORT}</div></div>"),
+    (0, f'<div id="sidebar"><h3>Most read</h3><p>{_MID}</p><ul>{_LINKS}</ul></div><div id="footer">Made in the valley.</div></body>'),
 ]
 # plain divisions, named by class only
 _NAMED = [
@@ -49,7 +50,7 @@ _BARE_LONG = [
 _TERSE = [
     (0, f'<body><nav>{_LINKS}</nav><div class="notice">Our office is closed on Monday and on the day after it.</div>'),
     (1, f'<article><h1>Short notes</h1><p>{_TINY}</p><p>{_SHORT}</p><p>See <a href="/x">the list</a>.</p><p><a href="/y">All of the notes of last year</a></p><p>{_TINY}</p></article>'),
-    (0, f"<aside><ul>{_LINKS}</ul><p>{_LONG}</p></aside><footer>Made in the valley.</footer></body>"),
+    (0, f"<div class=\"b2\">{_MID}</div><div>{_LONG}</div>"), (0, f"<aside><ul>{_LINKS}</ul><p>{_LONG}</p></aside><footer>Made in the valley.</footer></body>"),
 ]
 
 LABELLED_PAGES = [_SEMANTIC, _MAIN, _NAMED, _BARE, _BARE_LONG, _TERSE]
