@@ -5,9 +5,9 @@ number of copies. Two representatives are linked if their Jaccard similarity is
 
 1. Every task sketches its documents: set fingerprint, 128 MinHash values. Banding (32 bands of 4 values) finds the
    candidates; a pair at the threshold is missed by all bands with probability 5e-8.
-2. Each representative belongs to one chunk: its largest bucket, split into parts of about ``CHUNK`` documents. A bucket
-   makes candidates of the pairs of chunks that its members lie in, so a large group becomes many small chunk pairs,
-   each of them once, whatever the number of bands its members share.
+2. Each representative belongs to one chunk: the home that most members of its largest bucket have, split into parts
+   of about ``CHUNK`` documents. A bucket makes candidates of the pairs of chunks that its members lie in, so a large
+   group becomes many small chunk pairs, each of them once, whatever the number of bands its members share.
 3. A chunk pair is one group: MinHash values are compared ``STEP`` at a time, a pair is dropped as soon as the posterior
    probability (uniform prior) of reaching the threshold falls below ``TOLERANCE``, and the rest is verified exactly on
    the shingle sets. The group returns a link count per document and a spanning forest of its links, not the pairs.
@@ -273,7 +273,11 @@ def near_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
     sizes = bands.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = written(bands.join(sizes, "key"), "near_members")
 
-    homes = members.groupBy("rid").agg(F.max(F.struct("size", "key"))["key"].alias("home")).join(reps.select("rid", "n", "copies"), "rid")
+    # first the largest bucket; then what most members of that bucket chose, so that one group is not cut into many homes
+    first_home = members.groupBy("rid").agg(F.max(F.struct("size", "key"))["key"].alias("key"))
+    votes = members.select("key", "rid").join(first_home.withColumnRenamed("key", "home"), "rid").groupBy("key", "home").count()
+    chosen = votes.groupBy("key").agg(F.max(F.struct("count", "home"))["home"].alias("home"))
+    homes = first_home.join(chosen, "key").select("rid", "home").join(reps.select("rid", "n", "copies"), "rid")
     parts = homes.groupBy("home").agg(F.greatest(F.ceil(F.count(F.lit(1)) / chunk), F.ceil(F.sum("n") / CHUNK_SHINGLES)).alias("parts"))
     chunks = written(homes.join(parts, "home").select("rid", "copies", F.xxhash64("home", F.pmod(F.xxhash64("rid"), "parts")).alias("chunk")), "near_chunks")
 
