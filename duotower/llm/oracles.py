@@ -67,5 +67,20 @@ SELECT d.doc_id, len(d.ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_i
 FROM d LEFT JOIN words USING (uid) LEFT JOIN items USING (uid)"""
 
 
+def _near_join_sql() -> str:
+    return rf"""WITH RECURSIVE d AS (SELECT row_number() OVER () AS uid, doc_id, {_WORDS} AS ws FROM documents),
+s AS (SELECT DISTINCT uid, array_to_string(ws[i:i + 4], ' ') AS sh
+      FROM (SELECT uid, ws, unnest(range(1, greatest(2, len(ws) - 3))) AS i FROM d WHERE len(ws) > 0)),
+n AS (SELECT uid, count(*) AS n FROM s GROUP BY uid),
+p AS (SELECT a.uid AS u, b.uid AS v, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.uid < b.uid GROUP BY a.uid, b.uid),
+e AS (SELECT u, v FROM p JOIN n x ON p.u = x.uid JOIN n y ON p.v = y.uid WHERE 5 * c >= 4 * (x.n + y.n - c)),
+both_ways AS (SELECT u, v FROM e UNION ALL SELECT v, u FROM e),
+links AS (SELECT u AS uid, count(*) AS k FROM both_ways GROUP BY u),
+r(uid, node) AS (SELECT uid, uid FROM d UNION SELECT r.uid, w.v FROM r JOIN both_ways w ON r.node = w.u),
+class AS (SELECT r.uid, min(d.doc_id) AS class_id FROM r JOIN d ON r.node = d.uid GROUP BY r.uid)
+SELECT d.doc_id, class.class_id, coalesce(links.k, 0) AS n_links
+FROM d JOIN class ON d.uid = class.uid LEFT JOIN links ON d.uid = links.uid"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_quality_rules": _quality_sql(), "op4_url_filters": rules_sql(), "op7_decontamination": _decontaminate_sql()}
+    return {"op2_quality_rules": _quality_sql(), "op5_ngram_jaccard": _near_join_sql(), "op4_url_filters": rules_sql(), "op7_decontamination": _decontaminate_sql()}
