@@ -30,6 +30,7 @@ WINDOW = 4096
 GRAIN = 128
 QUEUES = 64         # the sources with most ids have a queue each; all others share the last queue
 _UNIT = 1 << 16     # resolution of the target shares
+_SLOTS = 1024       # parts of a queue's list of sources
 
 
 class RoundRobin:
@@ -126,10 +127,16 @@ def queue_offsets(ids: DataFrame, queues: int) -> DataFrame:
     per_part = per_part.select("part", "source", F.coalesce(F.sum("n").over(inside), F.lit(0)).alias("earlier"))
     per_source = ids.groupBy("source").agg(F.sum("n").alias("total"))
     largest = per_source.orderBy(F.desc("total"), "source").limit(queues - 1).select("source").withColumn("own", F.lit(True))
-    lane = F.when(F.col("own"), F.col("source")).otherwise(F.lit(None))
-    per_source = per_source.join(F.broadcast(largest), "source", "left").withColumn("lane", lane)
-    order = Window.partitionBy("lane").orderBy("source").rowsBetween(Window.unboundedPreceding, -1)
-    per_source = per_source.select("source", "lane", "total", F.coalesce(F.sum("total").over(order), F.lit(0)).alias("ahead"))
+    per_source = (per_source.join(F.broadcast(largest), "source", "left").withColumn("lane", F.when(F.col("own"), F.col("source")))
+                  .withColumn("lane_key", F.coalesce(F.concat(F.lit("own "), F.col("lane")), F.lit("rest")))
+                  .withColumn("slot", F.pmod(F.xxhash64("source"), F.lit(_SLOTS))))
+    # the shared queue may hold very many sources: they are ordered by slot, and only slot totals meet in one place
+    order = Window.partitionBy("lane_key", "slot").orderBy("source").rowsBetween(Window.unboundedPreceding, -1)
+    slots = per_source.groupBy("lane_key", "slot").agg(F.sum("total").alias("n"))
+    earlier = Window.partitionBy("lane_key").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    slots = slots.select("lane_key", "slot", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    per_source = per_source.withColumn("inside", F.coalesce(F.sum("total").over(order), F.lit(0))).join(slots, ["lane_key", "slot"])
+    per_source = per_source.select("source", "lane", "total", (F.col("before") + F.col("inside")).alias("ahead"))
     return per_part.join(per_source, "source").select("part", "source", "lane", "total", (F.col("ahead") + F.col("earlier")).alias("base"))
 
 
