@@ -253,6 +253,11 @@ def verify(rows: pa.Table, tolerance: float = TOLERANCE) -> pa.Table:
     return pa.table({"rid": rid[on], "links": links[on], "root": root[on]})
 
 
+def _join(left: DataFrame, right: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """A join whose both sides grow with the data: always by a shuffle, so the plan is the same at every size."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def near_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tolerance: float = TOLERANCE, chunk: int = CHUNK) -> DataFrame:
     """One row per document: id, class_id, n_links.
 
@@ -268,28 +273,28 @@ def near_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id")))
     reps = written(base.where("n > 0").groupBy("fp").agg(F.min("uid").alias("rid"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"),
                                                           first.alias("first")), "near_reps")
-    sigs = base.select(F.col("uid").alias("rid"), "sig").join(reps.select("rid"), "rid", "left_semi")
+    sigs = _join(base.select(F.col("uid").alias("rid"), "sig"), reps.select("rid"), "rid", "left_semi")
     bands = written(band_rows(sigs), "near_bands")
     sizes = bands.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = written(bands.join(sizes, "key"), "near_members")
+    members = written(_join(bands, sizes, "key"), "near_members")
 
     # first the largest bucket; then what most members of that bucket chose, so that one group is not cut into many homes
     first_home = members.groupBy("rid").agg(F.max(F.struct("size", "key"))["key"].alias("key"))
-    votes = members.select("key", "rid").join(first_home.withColumnRenamed("key", "home"), "rid").groupBy("key", "home").count()
+    votes = _join(members.select("key", "rid"), first_home.withColumnRenamed("key", "home"), "rid").groupBy("key", "home").count()
     chosen = votes.groupBy("key").agg(F.max(F.struct("count", "home"))["home"].alias("home"))
-    homes = first_home.join(chosen, "key").select("rid", "home").join(reps.select("rid", "n", "copies"), "rid")
+    homes = _join(_join(first_home, chosen, "key").select("rid", "home"), reps.select("rid", "n", "copies"), "rid")
     parts = homes.groupBy("home").agg(F.greatest(F.ceil(F.count(F.lit(1)) / chunk), F.ceil(F.sum("n") / CHUNK_SHINGLES)).alias("parts"))
-    chunks = written(homes.join(parts, "home").select("rid", "copies", F.xxhash64("home", F.pmod(F.xxhash64("rid"), "parts")).alias("chunk")), "near_chunks")
+    chunks = written(_join(homes, parts, "home").select("rid", "copies", F.xxhash64("home", F.pmod(F.xxhash64("rid"), "parts")).alias("chunk")), "near_chunks")
 
-    met = members.join(chunks, "rid").select("key", "chunk").distinct()
-    pairs = (met.select("key", F.col("chunk").alias("a")).join(met.select("key", F.col("chunk").alias("b")), "key").where("a <= b")
+    met = _join(members, chunks, "rid").select("key", "chunk").distinct()
+    pairs = (_join(met.select("key", F.col("chunk").alias("a")), met.select("key", F.col("chunk").alias("b")), "key").where("a <= b")
              .select("a", "b").distinct())
     sides = pairs.select("a", "b", F.explode(F.when(F.col("a") == F.col("b"), F.array(F.struct(F.col("a").alias("chunk"), F.lit(0).alias("side"))))
                                              .otherwise(F.array(F.struct(F.col("a").alias("chunk"), F.lit(0).alias("side")),
                                                                 F.struct(F.col("b").alias("chunk"), F.lit(1).alias("side"))))).alias("s"))
     sides = sides.select("a", "b", "s.chunk", "s.side")
-    payload = base.select(F.col("uid").alias("rid"), "text", "sig").join(chunks, "rid")
-    checked = (sides.join(payload, "chunk").groupBy("a", "b")
+    payload = _join(base.select(F.col("uid").alias("rid"), "text", "sig"), chunks, "rid")
+    checked = (_join(sides, payload, "chunk").groupBy("a", "b")
                .applyInArrow(lambda t: verify(t.select(["rid", "side", "copies", "sig", "text"]), tolerance), "rid long, links long, root long"))
     checked = written(checked, "near_links")
 
@@ -301,6 +306,6 @@ def near_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
                                                   F.lit(True).alias("found"))
     # a wordless document has no fingerprint: its row number spreads such rows, and it meets nothing
     key = F.coalesce("fp", F.col("uid").cast("string").cast("binary"))
-    out = base.select("doc_id", key.alias("fp")).join(info, "fp", "left")
+    out = _join(base.select("doc_id", key.alias("fp")), info, "fp", "left")
     return out.select("doc_id", F.when(F.col("found"), F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
                       F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
