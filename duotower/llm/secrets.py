@@ -1,8 +1,10 @@
 """Operator 10, secret scans: three pattern kinds, and random strings by token efficiency.
 
 Ordinary words need few tokens under a public vocabulary; random strings need many, so their characters per token are
-low. A run of at least ``min_chars`` characters of ``[A-Za-z0-9+/_=-]`` that holds a digit and a letter, and that is no
-known digest or identifier, is reported as ``random`` if it has fewer than ``max_ratio`` characters per token.
+low. A run of at least ``min_chars`` characters of ``[A-Za-z0-9+/_=-]`` that holds a letter, and that is no known digest
+or identifier of token-efficient words, is reported as ``random`` if it has fewer than ``max_ratio`` characters per
+token. If the words around a random string lift the run's ratio (a path before a token), its segments between ``/=+_-``
+are tested by themselves: neighbouring segments that are no words form a group, reported by the same rule.
 
 Everything is a function of one text, so the scan is one pass without a shuffle.
 """
@@ -27,12 +29,18 @@ _NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")      # maximal runs of 24 and more
 _CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
-# Not secrets although they look random: digests by their length in hex digits, UUIDs, and plain numbers or dates.
+# Not secrets although they look random: digests by their length in hex digits, UUIDs, DNA, and plain numbers or dates.
 _KNOWN = re.compile(r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128}"
                     r"|[0-9A-F]{32}|[0-9A-F]{40}|[0-9A-F]{56}|[0-9A-F]{64}|[0-9A-F]{96}|[0-9A-F]{128}"
-                    r"|[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}|sha(?:1|256|384|512)-[A-Za-z0-9+/]+=*|[0-9_+/=-]+)")
-# snake_case, kebab-case, paths and camelCase: parts that are words or short numbers (possessive, so linear time)
+                    r"|[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}|sha(?:1|256|384|512)-[A-Za-z0-9+/]+=*"
+                    r"|[ACGTNacgtn]+|[0-9_+/=-]+)")
+# snake_case, kebab-case, paths and camelCase: parts of three or more letters or short numbers (possessive, so linear time)
 _IDENTIFIER = re.compile(r"(?:[_/=+-]*+(?:[A-Z]?+[a-z]{3,}+|[A-Z]{3,}+|[0-9]{1,4}+(?![0-9])))*+[_/=+-]*+")
+# the same with parts of any length, if every segment is a short number or letters of one case (clarinet-lh-d-key)
+_ONE_CASE = re.compile(r"(?:[_/=+-]*+(?:[A-Z]?+[a-z]++|[A-Z]++|[0-9]{1,4}+)(?![A-Za-z0-9]))*+[_/=+-]*+")
+_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[A-Z]+")
+_SEGMENT = re.compile(r"(?<![A-Za-z0-9])[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}(?![A-Za-z0-9])|[A-Za-z0-9]+")    # a UUID is one
+_BRIDGE = 4         # word-like segments of fewer characters may stand inside a group (x and 7 in x9K/x/q7+7/Zr)
 
 _ENCODINGS: dict[str, object] = {}
 
@@ -51,9 +59,14 @@ def encoding(vocabulary: str):
     return _ENCODINGS[vocabulary]
 
 
-def word_parts(s: str) -> bool:
-    """True if the run is an identifier: all its parts are words of three or more letters or short numbers."""
-    return _IDENTIFIER.fullmatch(s) is not None
+def word_parts(s: str, enc, max_ratio: float) -> bool:
+    """True if the run is an identifier: its parts are words or short numbers, and the words are token-efficient."""
+    if not (_IDENTIFIER.fullmatch(s) or _ONE_CASE.fullmatch(s)):
+        return False
+    words = _WORD.findall(s)
+    # the vocabulary has few words in capitals, so those count by the better of both cases
+    tokens = sum(min(len(enc.encode_ordinary(x)) for x in ({w, w.lower()} if w.isupper() else {w})) for w in words)
+    return sum(map(len, words)) >= max_ratio * tokens
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -70,19 +83,39 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def random_spans(text: str, base: list[tuple[int, int, int]], enc, min_chars: int, max_ratio: float) -> list[tuple[int, int, int]]:
-    """Runs with few characters per token that no base span covers."""
+    """Runs, or else groups of their segments, with few characters per token that no base span covers."""
     out = []
+
+    def is_random(start: int, end: int) -> bool:
+        s = text[start:end]
+        if len(s) < min_chars or not re.search("[A-Za-z]", s) or any(a <= start and end <= b for a, _, b in base):
+            return False
+        return len(s) < max_ratio * len(enc.encode_ordinary(s)) and not _KNOWN.fullmatch(s) and not word_parts(s, enc, max_ratio)
+
     for m in _CANDIDATE.finditer(text):
-        s = m[0]
-        if len(s) < min_chars or not (re.search("[0-9]", s) and re.search("[A-Za-z]", s)):
-            continue
-        if any(a <= m.start() and m.end() <= b for a, _, b in base) or _KNOWN.fullmatch(s) or word_parts(s):
-            continue
-        if len(s) < max_ratio * len(enc.encode_ordinary(s)):
+        if is_random(*m.span()):
             out.append((m.start(), 3, m.end()))
+        elif len(m[0]) > min_chars and not _KNOWN.fullmatch(m[0]) and not any(a <= m.start() and m.end() <= b for a, _, b in base):
+            out += [(a, 3, b) for a, b in odd_groups(text, m.start(), m.end(), enc, max_ratio) if is_random(a, b)]
     return out
 
 
+def odd_groups(text: str, start: int, end: int, enc, max_ratio: float) -> list[tuple[int, int]]:
+    """Spans of neighbouring segments of a run that are no words; short words between two such segments count to them."""
+    groups: list[list[int]] = []
+    joined = False      # only short words since the last group
+    for m in _SEGMENT.finditer(text, start, end):
+        s = m[0]
+        if _KNOWN.fullmatch(s) or word_parts(s, enc, max_ratio):
+            joined = joined and len(s) < _BRIDGE
+        elif joined:
+            groups[-1][1] = m.end()
+        else:
+            groups.append([m.start(), m.end()])
+            joined = True
+    return [(a, b) for a, b in groups]
+
+
 def scan_text(text: str | None, enc, min_chars: int = MIN_CHARS, max_ratio: float = MAX_RATIO) -> list[tuple[int, int, int]]:
     """All spans of a text, by start and then kind."""
     if not text:

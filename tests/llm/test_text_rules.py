@@ -228,3 +228,26 @@ def test_find_secrets(spark, make_docs):
     clean = secrets.redact_documents(make_docs(rows))
     assert clean.columns == ["doc_id", "text", "lang", "source", "n_chars"] and clean.where("text like '%AKIAVH7%'").count() == 0
     assert hashlib.sha256(SECRETS[6].encode()).digest() == hashlib.sha256(clean.where("doc_id = 6").first().text.encode()).digest()
+
+
+def test_random_strings_beside_words_and_without_digits():
+    import random
+    import string
+    rng = random.Random(5)
+    enc = secrets.encoding(secrets.VOCABULARY)
+    path = "/account/settings/security/confirmation/"
+
+    def found(alphabet, n, before=""):
+        tokens = ["".join(rng.choices(alphabet, k=n)) for _ in range(300)]
+        at = 4 + len(before)
+        return sum((at, 3, at + n) in secrets.scan_text(f"see {before}{t} now", enc) for t in tokens) / len(tokens)
+
+    assert found(string.ascii_letters + string.digits, 24, path) > 0.99
+    assert found(string.ascii_letters, 20) > 0.98 and found(string.ascii_letters, 40) > 0.98
+    assert found(string.ascii_uppercase + "234567", 20) > 0.95 and found(string.ascii_uppercase + "234567", 32) > 0.95
+    plain = ["docs/2023/05/some-long-title-of-a-page", "clarinet-lh-d-key-stencil", "TLS_RSA_WITH_AES_256_CBC_SHA256", "getInternationalizationSettings", path,
+             path + "123e4567-e89b-12d3-a456-426614174000", path + "D41D8CD98F00B204E9800998ECF8427E", "GGAAAACACTGGTCTCAGTCTCGTCCCCG", "OPTIMIZED_BYTECODE_SUFFIXES"]
+    assert [x for x in plain if secrets.scan_text(x, enc)] == []
+    # a group keeps its inner separators, and the path before it stays
+    token = path + path + "x9Kq2LmZ7vRt4+s/Y8bNc1Jd"
+    assert secrets.redact(token, secrets.scan_text(token, enc), "[SECRET]") == path + path + "[SECRET]"
