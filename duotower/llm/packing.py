@@ -11,8 +11,13 @@ place in the stream follows from its place in its queue alone. No task simulates
 carry across windows and partitions without any message. Three passes:
 
 1. every task encodes its documents and writes them with their place among the documents of their source there;
-2. totals per (partition, source) become the queue offset of each (partition, source);
+2. totals per (partition, source) become the offset of each (partition, source) in its source;
 3. every task turns its documents into pieces.
+
+Sources that are neither among the largest nor named in ``target`` share one queue, in which they are dealt by grains
+too: grain k of a source with n grains stands at (k + phase) / n of the queue, the phase being a hash of the source. So at any point
+of the queue each of its sources has given its proportion to one grain, however many there are. A grain's place is the
+number of ids before it, summed in ranges of the queue.
 """
 
 from __future__ import annotations
@@ -28,9 +33,10 @@ from duotower.llm.wordbpe import word_bpe
 
 WINDOW = 4096
 GRAIN = 128
-QUEUES = 64         # the sources with most ids have a queue each; all others share the last queue
+QUEUES = 64         # the sources with most ids, and those with a target, have a queue each; all others share the last queue
 _UNIT = 1 << 16     # resolution of the target shares
-_SLOTS = 1024       # parts of a queue's list of sources
+_RANGE = 4096       # grains in a range of the shared queue
+_PLACED = ("doc_id", "source", "lane", "place", "first", "n", "doc_tokens", "ids")
 
 
 class RoundRobin:
@@ -120,24 +126,48 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int | None) -> DataFrame:
     return written(docs.mapInArrow(encode, f"part int, source string, local long, doc_id {id_type}, n long, ids binary"), "packing_ids")
 
 
-def queue_offsets(ids: DataFrame, queues: int) -> DataFrame:
-    """(part, source, queue, base): queue of each source, and the ids of that queue before this partition's."""
+def queue_offsets(ids: DataFrame, queues: int, named: list[str]) -> DataFrame:
+    """(part, source, lane, total, base): queue of each source (null: the shared one), its ids, and those before this partition's."""
     per_part = ids.groupBy("part", "source").agg(F.sum("n").alias("n"))
     inside = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    per_part = per_part.select("part", "source", F.coalesce(F.sum("n").over(inside), F.lit(0)).alias("earlier"))
+    per_part = per_part.select("part", "source", F.coalesce(F.sum("n").over(inside), F.lit(0)).alias("base"))
     per_source = ids.groupBy("source").agg(F.sum("n").alias("total"))
-    largest = per_source.orderBy(F.desc("total"), "source").limit(queues - 1).select("source").withColumn("own", F.lit(True))
-    per_source = (per_source.join(F.broadcast(largest), "source", "left").withColumn("lane", F.when(F.col("own"), F.col("source")))
-                  .withColumn("lane_key", F.coalesce(F.concat(F.lit("own "), F.col("lane")), F.lit("rest")))
-                  .withColumn("slot", F.pmod(F.xxhash64("source"), F.lit(_SLOTS))))
-    # the shared queue may hold very many sources: they are ordered by slot, and only slot totals meet in one place
-    order = Window.partitionBy("lane_key", "slot").orderBy("source").rowsBetween(Window.unboundedPreceding, -1)
-    slots = per_source.groupBy("lane_key", "slot").agg(F.sum("total").alias("n"))
-    earlier = Window.partitionBy("lane_key").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-    slots = slots.select("lane_key", "slot", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    per_source = per_source.withColumn("inside", F.coalesce(F.sum("total").over(order), F.lit(0))).join(slots, ["lane_key", "slot"])
-    per_source = per_source.select("source", "lane", "total", (F.col("before") + F.col("inside")).alias("ahead"))
-    return per_part.join(per_source, "source").select("part", "source", "lane", "total", (F.col("ahead") + F.col("earlier")).alias("base"))
+    has_target = F.col("source").isin(named)
+    largest = per_source.where(~has_target).orderBy(F.desc("total"), "source").limit(queues - 1).select("source").withColumn("own", F.lit(True))
+    per_source = per_source.join(F.broadcast(largest), "source", "left").select("source", "total", F.when(F.col("own") | has_target, F.col("source")).alias("lane"))
+    return per_part.join(per_source, "source").select("part", "source", "lane", "total", "base")
+
+
+def shared_pieces(docs: DataFrame, total: int, grain: int) -> DataFrame:
+    """The documents of the shared queue (``total`` ids) cut into its grains, with their place in it."""
+    ranges = max(1, -(-total // (grain * _RANGE)))
+    n_grains = F.ceil(F.col("total") / grain)
+    phase = F.pmod(F.xxhash64("source"), F.lit(1 << 30)) / float(1 << 30)
+    docs = docs.where("n > 0").withColumn("in_source", F.col("place"))
+
+    def cut(with_ids: bool) -> DataFrame:
+        def piece(k):
+            a = F.greatest(F.col("in_source"), k * grain)
+            length = F.least(F.col("in_source") + F.col("n"), (k + 1) * grain) - a
+            at = (k + phase) / n_grains
+            fields = [at.alias("at"), F.least(F.floor(at * ranges), F.lit(ranges - 1)).alias("range"), a.alias("a"), length.alias("length")]
+            if with_ids:
+                start = a - F.col("in_source")
+                fields += [start.alias("first"), F.col("ids").substr((start * 4 + 1).cast("int"), (length * 4).cast("int")).alias("piece")]
+            return F.struct(*fields)
+
+        grains = F.sequence(F.floor(F.col("in_source") / grain), F.floor((F.col("in_source") + F.col("n") - 1) / grain))
+        kept = ["doc_id", "source", "lane", "doc_tokens"] if with_ids else []
+        return docs.select(*kept, F.inline(F.transform(grains, piece)))
+
+    # one row per range of the queue, without the ids
+    sums = cut(False).groupBy("range").agg(F.sum("length").alias("sum"))
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    before = sums.select("range", F.coalesce(F.sum("sum").over(earlier), F.lit(0)).alias("before"))
+    inside = Window.partitionBy("range").orderBy("at", "source", "a").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = cut(True).withColumn("inside", F.coalesce(F.sum("length").over(inside), F.lit(0)))
+    return pieces.join(before, "range").select("doc_id", "source", "lane", (F.col("before") + F.col("inside")).alias("place"), "first", F.col("length").alias("n"),
+                                               "doc_tokens", F.col("piece").alias("ids"))
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int | None = 2, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -145,8 +175,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int | None = 2, id_col: str =
     """Pieces of all documents in windows of ``window`` ids: doc_id, source, start, length, doc_tokens, sequence_id, offset, ids.
 
     ``target`` gives the weight of each source in a window; sources that it does not name share the weight under the
-    key None (default 1). Without ``target`` the shares are those of the whole corpus, so every window down to the
-    last has the corpus' mixture. ``ids`` is little-endian uint32 binary.
+    key None (default 1) by their numbers of ids. ``queues`` bounds the queues of sources without a target. Without
+    ``target`` the shares are those of the whole corpus, so every window down to the last has the corpus' mixture. ``ids`` is little-endian uint32 binary.
 
     Defined results: a null text is empty and is just its end id (without end id it has no piece); a null source is
     the source ''; repeated rows are packed each; an empty table gives no rows; other columns are ignored.
@@ -154,12 +184,13 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int | None = 2, id_col: str =
     docs = columns(docs, doc_id=id_col, text=text_col, source=source_col)
     docs = docs.withColumn("source", F.coalesce(F.col("source").cast("string"), F.lit("")))
     ids = encoded(docs, tokenizer, end_id)
-    offsets = written(queue_offsets(ids, queues), "packing_offsets")
-    # at most ``queues`` rows
+    offsets = written(queue_offsets(ids, queues, [x for x in target or {} if x is not None]), "packing_offsets")
+    # at most ``queues`` rows and those of ``target``
     lanes = offsets.select("lane", "source", "total").distinct().groupBy("lane").agg(F.sum("total").alias("total")).collect()
     lanes = sorted(((r["lane"], r["total"]) for r in lanes if r["total"]), key=lambda x: (x[0] is None, x[0] or ""))
-    total = max(1, sum(t for _, t in lanes))
-    share = [t / total if target is None else float(target.get(name, target.get(None, 1.0))) for name, t in lanes]
+    target = {None: 1.0} if target is None else target
+    unnamed = max(1, sum(t for name, t in lanes if name is None or name not in target))
+    share = [float(target.get(None, 1.0)) * t / unnamed if name is None or name not in target else float(target[name]) for name, t in lanes]
     scale = _UNIT / (sum(share) or 1.0)
     robin = RoundRobin([t for _, t in lanes], [max(1, round(s * scale)) for s in share], window, grain)
     number = {name: k for k, (name, _) in enumerate(lanes)}
@@ -171,17 +202,21 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int | None = 2, id_col: str =
             size = col["n"].to_numpy()
             if not (size > 0).any():
                 continue
-            place = col["local"].to_numpy() + col["base"].to_numpy()
+            place, first = col["place"].to_numpy(), col["first"].to_numpy()
             queue = np.array([number.get(x, 0) for x in col["lane"].to_pylist()], np.int64)
             full = np.flatnonzero(size)
             doc, start, length, at = robin.pieces(queue[full], place[full], size[full])
             doc = full[doc]
             flat, _ = flat_numbers(col["ids"], "<u4")
             take = pa.array(doc)
-            yield pa.RecordBatch.from_arrays([col["doc_id"].take(take), col["source"].take(take), pa.array(start), pa.array(length), pa.array(size[doc]),
+            yield pa.RecordBatch.from_arrays([col["doc_id"].take(take), col["source"].take(take), pa.array(start + first[doc]), pa.array(length), col["doc_tokens"].take(take),
                                               pa.array(at // window), pa.array(at % window), binary_pieces(flat, length)],
                                              ["doc_id", "source", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
 
     # the offsets were written, so Spark knows their size and broadcasts them only below its own threshold
-    placed = ids.join(offsets.select("part", "source", "lane", "base"), ["part", "source"])
-    return placed.mapInArrow(cut, f"doc_id {id_type}, source string, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
+    placed = (ids.join(offsets, ["part", "source"]).withColumn("place", F.col("local") + F.col("base"))
+              .withColumn("first", F.lit(0).cast("long")).withColumn("doc_tokens", F.col("n")))
+    out = placed.where("lane is not null").select(*_PLACED)
+    if None in number:
+        out = out.unionByName(shared_pieces(placed.where("lane is null"), dict(lanes)[None], grain).select(*_PLACED))
+    return out.mapInArrow(cut, f"doc_id {id_type}, source string, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")

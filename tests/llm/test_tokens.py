@@ -166,3 +166,28 @@ def test_pack_keeps_the_mixture(spark, make_docs):
     hot = [r[2] for r in got if r[1] == "hot" and r[0] < last]
     share = sum(hot) / (256 * last)
     assert len(hot) == last and abs(share - 2 / 3) < 0.01 and all(abs(h - share * 256) <= 8 * 5 for h in hot)
+
+
+def test_pack_deals_small_sources_and_keeps_targets(spark, make_docs):
+    # 40 sources of 3 to 9 documents, 4 of them with a queue of their own
+    rows = [(100 * s + i, "one two three four five six seven eight " * 6, "en", f"s{s:02d}") for s in range(40) for i in range(3 + s % 7)]
+    got = pack(make_docs(rows), FILE, window=512, grain=8, queues=5).collect()
+    total, last = Counter(), max(r.sequence_id for r in got)
+    for r in got:
+        total[r.source] += r.length
+    ids = sum(total.values())
+    for w in range(1, last + 1):
+        given = Counter()
+        for r in got:
+            if r.sequence_id < w:
+                given[r.source] += r.length
+        assert all(abs(given[s] - t * 512 * w / ids) <= 8 * 4 for s, t in total.items()), w
+    # the least source has a target of its own: three quarters of a window as long as it lasts
+    least = min(total, key=lambda s: (total[s], s))
+    aimed = pack(make_docs(rows), FILE, window=64, grain=8, queues=5, target={least: 3.0, None: 1.0}).where("sequence_id = 0").collect()
+    assert abs(sum(r.length for r in aimed if r.source == least) - 48) <= 8
+    # a length-1 grain per document and more sources than ids in a window
+    many = [(i, "one", "en", f"t{i}") for i in range(300)]
+    packed = pack(make_docs(many), FILE, window=64, grain=8, queues=2).collect()
+    assert Counter(r.doc_id for r in packed for _ in range(r.length)) == Counter({i: packed[0].doc_tokens for i in range(300)})
+    assert sorted((r.sequence_id * 64 + r.offset + k) for r in packed for k in range(r.length)) == list(range(300 * packed[0].doc_tokens))
