@@ -4,10 +4,11 @@ A rule is a regular expression with the literal tokens (runs of a-z and 0-9) tha
 tokens. The rarest of them in the URLs at hand is the rule's index key. A URL's tokens fetch candidate rules by a join,
 and only candidates run their expression. Rules without a whole token have the key '', which every URL carries.
 
-Two rule forms:
+Three rule forms:
 * ``SiteRule(action, host, path)`` fits the host and all subdomains if the path starts with ``path``;
 * ``PatternRule(action, pattern)`` on host + path, any case: ``||`` begins at the host or one of its parent domains,
-  ``|`` is the begin or end, ``*`` is any run, ``^`` is a separator or the end.
+  ``|`` is the begin or end, ``*`` is any run, ``^`` is a separator or the end;
+* ``HostWordRule(action, word)`` fits a host that has ``word`` between two of ``.``, ``-`` and its ends.
 
 Of the site rules that fit, the longest wins; without one, allowing patterns beat blocking ones; else ``allow``.
 """
@@ -21,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duotower.llm.common import columns
+from duotower.llm.url_words import ALLOWED, HOST_WORDS, PATH_WORDS
 
 _TOKEN = "[a-z0-9]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -75,15 +77,30 @@ class PatternRule:
         return out
 
 
+@dataclass(frozen=True)
+class HostWordRule:
+    action: str
+    word: str
+
+    name = property(lambda self: f"host:{self.word}")
+    rank = property(lambda self: 1 if self.action == "allow" else 0)
+
+    def regex(self) -> str:
+        return r"(?is)^(?:[^/]*[.-])?" + _literal(self.word) + "(?:[./-]|$)"
+
+    def tokens(self) -> list[str]:
+        return re.findall(_TOKEN, self.word.lower())
+
+
 def _literal(text: str) -> str:
     return "".join(c if c.isalnum() else f"\\x{{{ord(c):X}}}" for c in text)
 
 
-# The rules of the registered query: fixed values of its contract, and patterns for hosts that only sell or track.
+# The rules of the registered query: fixed values of its contract, and a general block list.
 SITE_RULES = (SiteRule("allow", "org", "/"), SiteRule("block", "example.org", "/es/"), SiteRule("block", "example.org", "/en/1"),
               SiteRule("allow", "com", "/fr/"), SiteRule("block", "com", "/de/"))
-PATTERN_RULES = (PatternRule("block", "||casino-*."), PatternRule("block", "||free-bets."), PatternRule("block", "||cheap-pills."),
-                 PatternRule("block", "||ads-track."))
+PATTERN_RULES = (*[HostWordRule("block", w) for words in HOST_WORDS.values() for w in dict.fromkeys(words.split())],
+                 *[PatternRule("block", f"/{w}^") for w in PATH_WORDS], *[HostWordRule("allow", w) for w in ALLOWED])
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
