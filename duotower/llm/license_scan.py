@@ -1,9 +1,14 @@
 """Operator 3, license scans, with DataFrame functions only.
 
-Evidence: every sentence of a file, and the whole text of a licence file, is compared with notice templates by the
-cosine of TF-IDF vectors. Document frequencies are counted over all files. A vector can only reach the threshold
-if it shares one of a template's heaviest terms (the rest of the template's vector is shorter than the threshold), so
-one regular expression over those terms skips all other texts and sentences without losing a match.
+Evidence of a file, by sentences: every sentence is compared with notice templates by the cosine of TF-IDF vectors, both
+within its line and with the lines of its paragraph joined (comment marks stripped). Document frequencies are counted
+over all files. A vector can only reach the threshold if it shares one of a template's heaviest terms (the rest of the
+template's vector is shorter than the threshold), so one regular expression over those terms skips all other texts and
+sentences without losing a match.
+
+Evidence of a licence file, as a whole: its text is compared with the full licence texts (``license_texts``) by the cosine
+of word-pair counts, which line breaks, years and names hardly change. Such a match comes before any sentence (a licence's
+title, or a licence that its text names).
 
 Inheritance: a file without evidence of its own takes the licence of the nearest ancestor directory that has a licence
 file with evidence, found by joining the directories' ancestors to the licensed directories.
@@ -13,6 +18,8 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,10 +44,23 @@ TEMPLATES = (
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    # the sentence of the standard file headers
+    *[(name, "This program is free software; you can redistribute it and/or modify it under the terms of the " + title + " as published by the "
+       "Free Software Foundation; either version " + version + " of the License, or (at your option) any later version.")
+      for name, title, version in (("AGPL-3.0", "GNU Affero General Public License", "3"), ("GPL-2.0", "GNU General Public License", "2"),
+                                   ("GPL-3.0", "GNU General Public License", "3"), ("LGPL-2.1", "GNU Lesser General Public License", "2.1"),
+                                   ("LGPL-3.0", "GNU Lesser General Public License", "3"))],
 )
+# AGPL-3.0 is GPL-3.0 under its own name with this paragraph in section 13; its full text is made from these two.
+_AGPL_13 = """Remote Network Interaction; Use with the GNU General Public License. Notwithstanding any other provision of this License, if
+you modify the Program, your modified version must prominently offer all users interacting with it remotely through a computer network (if your
+version supports such interaction) an opportunity to receive the Corresponding Source of your version by providing access to the Corresponding
+Source from a network server at no charge, through some standard or customary means of facilitating copying of software."""
 LICENSE_FILE = r"(?i)^(?:un)?(?:licen[cs]e|copying|notice)(?:[.-][a-z0-9.-]*)?$"
 _TERM = r"[\p{L}\p{N}]+"
 _SENTENCE_END = r"(?<=[.!?;])\s+|\n+"
+_MARK = r"(?m)^[ \t]*(?:/\*+|\*+/|\*+|//+!?|#+|;+|--+|%+|<!--|dnl\b|REM\b)?[ \t]*|[ \t\r]*(?:\*+/|-->)?[ \t\r]*$"
+_PARAGRAPH_END = r"(?<=[.!?])\s+|\n\s*\n"
 
 
 def terms(text: Column) -> Column:
@@ -51,6 +71,34 @@ def template_terms(text: str) -> list[str]:
     return re.findall(r"[^\W_]+", text.lower())
 
 
+def full_texts() -> list[tuple[str, str]]:
+    """(license, text) of the full licence texts, read on the driver."""
+    texts = {f.stem: f.read_text(encoding="utf-8") for f in sorted(Path(__file__).with_name("license_texts").glob("*.txt"))}
+    own = re.sub(r"(?i)\bGNU\s+General\s+Public\s+License", "GNU Affero General Public License", texts["GPL-3.0"])
+    return [*texts.items(), ("AGPL-3.0", own + _AGPL_13)]
+
+
+def whole_matches(licenses: DataFrame, min_cosine: float) -> DataFrame:
+    """(row, whole): struct(cosine, license) of the full text nearest to a licence file (row, text), from ``min_cosine`` on."""
+    weights = []
+    for name, text in full_texts():
+        words = template_terms(text)
+        pairs = Counter(zip(words, words[1:]))
+        norm = math.sqrt(sum(n * n for n in pairs.values()))
+        weights += [(f"{a} {b}", name, n / norm) for (a, b), n in pairs.items()]
+    table = licenses.sparkSession.createDataFrame(weights, "pair string, license string, weight double")
+    ts = terms(F.col("text"))
+    words = licenses.select("row", ts.alias("ts")).where(F.size("ts") > 1)
+    pairs = F.zip_with(F.slice("ts", 1, F.size("ts") - 1), F.slice("ts", 2, F.size("ts") - 1), lambda a, b: F.concat_ws(" ", a, b))
+    counts = words.select("row", F.explode(pairs).alias("pair")).groupBy("row", "pair").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    counts = written(counts, "license_pairs")
+    norms = counts.groupBy("row").agg(F.sqrt(F.sum(F.col("n") * F.col("n"))).alias("norm"))
+    dots = counts.join(F.broadcast(table), "pair").groupBy("row", "license").agg(F.sum(F.col("n") * F.col("weight")).alias("dot"))
+    # at most as many rows as licence files times full texts
+    cosine = dots.join(norms, "row").select("row", F.struct(F.round(F.col("dot") / F.col("norm"), 9).alias("cosine"), "license").alias("whole"))
+    return cosine.where(F.col("whole.cosine") >= min_cosine).groupBy("row").agg(F.max("whole").alias("whole"))
+
+
 class Model:
     """TF-IDF vectors of the templates for given document frequencies."""
 
@@ -113,7 +161,8 @@ def scan(files: DataFrame, id_col: str = "doc_id", path_col: str = "path", text_
          ) -> DataFrame:
     """One row per file: id, path, license, cosine, found ('own', 'inherited' or null), license_dir.
 
-    ``own``: the file's best template at or above ``min_cosine`` (ties: the greater licence name). ``inherited``: that of
+    ``own``: for a licence file the best full text, else the best template, at or above ``min_cosine`` (ties: the greater
+    licence name). ``inherited``: that of
     the best licence file in the nearest ancestor directory (the file's own directory first). Paths are separated by
     ``/``; a licence file's name is LICENSE, COPYING or NOTICE with any ending.
 
@@ -134,15 +183,20 @@ def scan(files: DataFrame, id_col: str = "doc_id", path_col: str = "path", text_
     text = F.col("text")
     sentences = F.filter(F.split(text, _SENTENCE_END, -1), lambda s: F.regexp_like(F.lower(s), heavy))
     whole = F.when(F.regexp_like(name, F.lit(LICENSE_FILE)), F.array(text)).otherwise(F.array().cast("array<string>"))
-    units = F.when(F.regexp_like(F.lower(text), heavy), F.concat(sentences, whole))
+    joined = F.filter(F.split(F.regexp_replace(text, _MARK, ""), _PARAGRAPH_END, -1), lambda s: s.contains("\n") & F.regexp_like(F.lower(s), heavy))
+    units = F.when(F.regexp_like(F.lower(text), heavy), F.concat(sentences, joined, whole))
     evidence = F.array_max(F.transform(units, lambda u: best_match(u, model, min_cosine)))
     slash = F.col("path").contains("/")
     directory = F.when(F.col("path").isNotNull(), F.when(slash, F.regexp_replace("path", "/[^/]*$", "")).otherwise(F.lit("")))
     scanned = files.select("doc_id", "path", directory.alias("dir"), F.coalesce(F.regexp_like(name, F.lit(LICENSE_FILE)), F.lit(False)).alias("is_license"),
-                           evidence.alias("evidence"))
+                           evidence.alias("evidence"), F.when(F.regexp_like(name, F.lit(LICENSE_FILE)), text).alias("text"),
+                           F.monotonically_increasing_id().alias("row"))
     scanned = written(scanned, "license_evidence")
+    found = whole_matches(scanned.where("is_license and text is not null").select("row", "text"), min_cosine)
+    scanned = scanned.drop("text").join(found, "row", "left").withColumn("from_whole", F.col("whole").isNotNull())
+    scanned = scanned.withColumn("evidence", F.coalesce("whole", "evidence")).drop("whole", "row")
 
-    licensed = scanned.where("is_license and evidence is not null").groupBy("dir").agg(F.max("evidence").alias("granted"))
+    licensed = scanned.where("is_license and evidence is not null").groupBy("dir").agg(F.max_by("evidence", F.struct("from_whole", "evidence")).alias("granted"))
     # ancestors of every distinct directory, the directory itself first, the root ('') last
     dirs = scanned.where("dir is not null").select("dir").distinct()
     parts = F.split("dir", "/")

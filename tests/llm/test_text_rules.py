@@ -123,6 +123,22 @@ def test_license_scan(spark):
     assert license_scan.scan(files.limit(0)).count() == 0
 
 
+def test_license_files_and_wrapped_headers(spark):
+    import textwrap
+    texts = dict(license_scan.full_texts())
+    header = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
+              "the Free Software Foundation, either version 3 of the License, or (at your option) any later version.")
+    wrapped = textwrap.wrap(header, 70)
+    rows = [(name, f"{name}/LICENSE", text.replace("<year>", "2021")) for name, text in texts.items()]
+    rows += [("x" + name, f"x{name}/COPYING", "\n".join(textwrap.wrap(text, 50))) for name, text in texts.items()]
+    rows += [("c", "c.py", "\n".join(f"# {w}" for w in wrapped) + "\n\nimport os\n"), ("j", "j.c", "/*\n" + "\n".join(f" * {w}" for w in wrapped) + "\n */\nint x;"),
+             ("s", "s.txt", header), ("g", "GPL-2.0/src/a.c", "int y;"), ("n", "n.py", "import os")]
+    rows += [(f"f{i}", f"f/{i}.txt", f"plain words number {i} of a file that says the least") for i in range(300)]
+    got = {r.doc_id: (r.license, r.found) for r in license_scan.scan(spark.createDataFrame(rows, "doc_id string, path string, text string")).collect()}
+    assert len(got) == len(rows) and {n: got[n] for n in texts} == {n: (n, "own") for n in texts} == {n: got["x" + n] for n in texts}
+    assert got["c"] == got["j"] == got["s"] == ("GPL-3.0", "own") and got["g"] == ("GPL-2.0", "inherited") and got["n"] == (None, None)
+
+
 # ---------------------------------------------------------------- 4 URL filters
 
 URLS = ["http://a.example.org/es/1", "https://EXAMPLE.org/en/12?x#y", "http://x.com/fr/a", "http://x.com/de/a?b", "http://m.casino-win.example.com/en/4", "http://org", "http://org/",
