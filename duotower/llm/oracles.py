@@ -82,5 +82,17 @@ SELECT d.doc_id, class.class_id, coalesce(links.k, 0) AS n_links
 FROM d JOIN class ON d.uid = class.uid LEFT JOIN links ON d.uid = links.uid"""
 
 
+def _warc_sql() -> str:
+    """The digest's 40 hex digits are 8 numbers of 20 bits, each of which gives 4 base-32 digits."""
+    digits = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, {5 * g + 1}, 5))::BIGINT >> {b}) & 31)::INTEGER + 1, 1)"
+                         for g in range(8) for b in (15, 10, 5, 0))
+    return f"""WITH p AS (SELECT page_id, coalesce(html, '') AS html, row_number() OVER () AS r FROM pages),
+d AS (SELECT page_id, html, strlen(html) AS n, sha1(html) AS h, row_number() OVER (PARTITION BY html ORDER BY page_id DESC NULLS LAST, r DESC) AS k,
+             first(page_id) OVER (PARTITION BY html ORDER BY page_id DESC NULLS LAST, r DESC) AS top FROM p)
+SELECT page_id, n AS payload_bytes, {digits} AS payload_digest, CASE WHEN k = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN k > 1 THEN top END AS refers_to FROM d"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_quality_rules": _quality_sql(), "op5_ngram_jaccard": _near_join_sql(), "op4_url_filters": rules_sql(), "op7_decontamination": _decontaminate_sql()}
+    return {"op2_quality_rules": _quality_sql(), "op5_ngram_jaccard": _near_join_sql(), "op4_url_filters": rules_sql(), "op7_decontamination": _decontaminate_sql(),
+            "op13_warc": _warc_sql()}

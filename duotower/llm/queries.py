@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from duotower.llm import license_scan, oracles, quality, secrets
 from duotower.llm.common import read_table
+from duotower.llm.conversation_repair import audit_conversations
 from duotower.llm.decontaminate import decontaminate
 from duotower.llm.html_text import extract_text
 from duotower.llm.near_join import near_join
@@ -16,6 +17,8 @@ from duotower.llm.packing import pack
 from duotower.llm.token_counts import token_counts
 from duotower.llm.token_file import token_file_round_trip
 from duotower.llm.url_filter import judge_urls
+from duotower.llm.warc import warc_round_trip
+from duotower.llm.whitening import whitened_rows
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -93,6 +96,23 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secrets.span_text(F.col("spans")).alias("spans"), count("random"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of every embedding. A deviation beyond a long is null (the operator has it as a decimal)."""
+    rows = whitened_rows(read_table(spark, sf_dir, "embeddings"))
+    return rows.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, least edits and repaired hash of every conversation after damage."""
+    return audit_conversations(read_table(spark, sf_dir, "conversations"))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as dictionary-compressed WARC archives and read back."""
+    back = warc_round_trip(read_table(spark, sf_dir, "pages"), payloads=False)
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline over documents."""
     import corpus_pipeline
@@ -102,7 +122,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_token_counts, op2_quality_rules, op3_license_scan, op4_url_filters, op5_ngram_jaccard, op6_token_file,
-                                    op7_decontamination, op8_packing, op9_html_text, op10_secret_scan, pipeline)}
+                                    op7_decontamination, op8_packing, op9_html_text, op10_secret_scan, op11_embedding_whitening,
+                                    op12_conversation_repair, op13_warc, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
