@@ -39,6 +39,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from duotower.llm.common import columns, written
+from duotower.session import default_parallelism
 
 BLOCK_BITS = 8
 FAN = 256
@@ -243,7 +244,8 @@ def search_runs(narrow: DataFrame, block_bits: int = BLOCK_BITS) -> DataFrame:
                 yield _run(block[lo:hi], lo == 0 or hi == len(block))
 
     rows = (narrow.where("alive").select("conv_id", F.shiftright("pos", block_bits).alias("block"), "pos", "initial", "fault")
-            .repartition("block").sortWithinPartitions("block", "pos"))
+            # few bytes, much work: a fixed number of tasks, as small partitions would be put together by size
+            .repartition(default_parallelism(narrow.sparkSession), "block").sortWithinPartitions("block", "pos"))
     return written(rows.mapInArrow(lambda batches: _batched(results(batches), schema), ddl), "conversation_runs")
 
 
