@@ -394,6 +394,8 @@ def q_init_model_eval(spark, d):
 # checked by row count and by the unit tests. One prepared export and one
 # training run per (session, sf) are shared by the queries below.
 
+SYNC_FREQ = 16
+SYNC_ARGS = TrainArgs(epochs=1, validation_freq=SYNC_FREQ)
 TRAIN_ARGS = TrainArgs(epochs=1)   # reference sizes: dim 128, layers [128, 64], batch 1024, lr 0.01
 
 
@@ -489,6 +491,16 @@ def q_train_loop_metrics(spark, d):
     return _trained(spark, d)[1]
 
 
+def q_train_sync_steps(spark, d):
+    """M5-M8 synchronous: an epoch of mini-batches over all training rows, validated every ``SYNC_FREQ`` of them; what was logged where."""
+    k = _key(spark, d, "sync")
+    if k not in _RUNS:
+        run = workflow.prepare_and_export(spark, _ratings(spark, d), materialize=False)
+        _RUNS[k] = workflow.run_training(spark, run, SYNC_ARGS, sync=True)[1]
+    m = _RUNS[k].where(F.col("name").isin("train_rows", "train_batches", "val_rows", "test_rows"))
+    return m.select("phase", "step", "name", F.col("value").cast("long").alias("n"))
+
+
 def q_saved_model_scores(spark, d):
     _trained(spark, d)
     return workflow.score_saved_model(spark, _prepared(spark, d), "latest")
@@ -585,6 +597,7 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "block_report": q_block_report,
         "block_totals": q_block_totals,
         "train_loop_metrics": q_train_loop_metrics,
+        "train_sync_steps": q_train_sync_steps,
         "saved_model_scores": q_saved_model_scores,
         "saved_model_samples": q_saved_model_samples,
         "run_params": q_run_params,
@@ -865,6 +878,17 @@ def _oracles() -> dict[str, str]:
         "block_totals": f"""WITH {_CTE_EXAMPLES}
             SELECT count(*) AS n_rows, count(DISTINCT nullif(userId, 0)) AS n_users,
                    CAST(count(*) FILTER (WHERE userId = 0) AS BIGINT) AS rows_without_user FROM ex WHERE split = 'train'""",
+        "train_sync_steps": f"""WITH {_CTE_EXAMPLES},
+            c AS (SELECT count(*) FILTER (WHERE split = 'train') AS tr, count(*) FILTER (WHERE split = 'validation') AS va,
+                         count(*) FILTER (WHERE split = 'test') AS te FROM ex WHERE label IS NOT NULL),
+            b AS (SELECT *, (tr + {BATCH_SIZE - 1}) // {BATCH_SIZE} AS nb FROM c),
+            e AS (SELECT *, unnest(list_distinct(list_append(range({SYNC_FREQ}, nb, {SYNC_FREQ}), nb))) AS hi FROM b),
+            f AS (SELECT *, (hi - 1) // {SYNC_FREQ} * {SYNC_FREQ} AS lo FROM e)
+            SELECT 'base' AS phase, CAST(NULL AS INTEGER) AS step, 'val_rows' AS name, va AS n FROM c
+            UNION ALL SELECT 'epoch', 0, 'val_rows', va FROM c UNION ALL SELECT 'test', NULL, 'test_rows', te FROM c
+            UNION ALL SELECT 'train', CAST(hi AS INTEGER), 'train_batches', hi - lo FROM f
+            UNION ALL SELECT 'train', CAST(hi AS INTEGER), 'train_rows', least(hi * {BATCH_SIZE}, tr) - lo * {BATCH_SIZE} FROM f
+            UNION ALL SELECT 'val_step', CAST(hi AS INTEGER), 'val_rows', va FROM f WHERE hi % {SYNC_FREQ} = 0""",
         "topk_items": f"""WITH {_CTE_VEC},
             s AS (SELECT a.bucket AS user_vec, b.bucket AS item_vec, list_dot_product(a.v, b.v) AS score
                   FROM vec a CROSS JOIN vec b),

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from duotower.config import TrainArgs
 from duotower.operators.profile import distinct_with_null
 from duotower.plans.prepare import prepare
+from duotower.plans.sync_train import train_val_test_sync
 from duotower.plans.train import score_split, train_val_test
 from duotower.session import default_parallelism, new_run_id, scratch_path
 from duotower.snapshot import snapshot
@@ -66,8 +67,13 @@ def export_manifest(spark: SparkSession, run: PreparedRun) -> DataFrame:
     return read_manifest(spark, run.export_root)
 
 
-def run_training(spark: SparkSession, run: PreparedRun, args: TrainArgs, run_id: str | None = None):
+def run_training(spark: SparkSession, run: PreparedRun, args: TrainArgs, run_id: str | None = None, sync: bool = False,
+                 workers: int | None = None):
+    """The training loop over an exported run: averaged blocks, or with ``sync`` one update per mini-batch over ``workers`` tasks."""
     rid = run_id or new_run_id()
+    if sync:
+        return train_val_test_sync(spark, run.split(spark, "train"), run.split(spark, "validation"), run.split(spark, "test"),
+                                   args, run.emb_counts, run.root, rid, workers)
     return train_val_test(spark, run.split(spark, "train"), run.split(spark, "validation"), run.split(spark, "test"),
                           args, run.emb_counts, run.root, rid)
 
