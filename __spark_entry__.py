@@ -35,6 +35,7 @@ from duotower.sources.export import with_row_id
 from duotower.sources.ratings import (PROXY_RATINGS_SQL, proxy_ratings, read_parquet_table, read_ratings_csv,
                                       read_table, write_table_once)
 from duotower.sources.runs import read_params
+from duotower.sources.shards import index_frame, read_dataset, register
 from duotower.streaming.batches import assign_batches, chunk_batches, limit_batches
 
 try:    # the pipeline subpackage is optional: without it the other queries stay registered
@@ -49,6 +50,7 @@ HEAD_LIMIT = 1_000_000      # orderBy(userId, movieId).limit(1_000_000)
 NULL_BELOW = 1.0            # ratings that the null-label query treats as unknown
 HEAD_CUT = 5_000            # a limit that the smallest tables exceed
 BATCH_SIZE = 1024           # Args.batch_size
+SHARD_ROWS = 5_000          # rows in a shard of the data source
 N_SHARDS = 40               # export shard count
 SEED = 42                   # split / shuffle seed
 LIMIT_BATCHES = 10
@@ -438,6 +440,31 @@ def q_export_totals(spark, d):
     return listed.join(read, "split", "full")
 
 
+def _shard_path(spark, d):
+    """The labelled rows written once per session by the ``shards`` data source."""
+    register(spark)
+    k = _key(spark, d, "shards")
+    if k not in _RUNS:
+        _RUNS[k] = scratch_path(spark, "shards", new_run_id())
+        rows = _examples(spark, d).select("label", "userId", "movieId", "split")
+        rows.write.format("shards").mode("append").option("rows_per_shard", SHARD_ROWS).save(_RUNS[k])
+    return _RUNS[k]
+
+
+def q_shard_source(spark, d):
+    """S4-S7 as a data source: every row written to shards and read back."""
+    return spark.read.format("shards").load(_shard_path(spark, d))
+
+
+def q_shard_source_index(spark, d):
+    """The merged index against pruned reads: rows per split by the index, and by reading that split's shards and one column only."""
+    path = _shard_path(spark, d)
+    listed = index_frame(spark, path).groupBy("split").agg(F.sum("rows").alias("index_rows"))
+    parts = [read_dataset(spark, path, [name], ["movieId"]).agg(F.lit(name).alias("split"), F.count(F.lit(1)).alias("read_rows"), F.max("movieId").alias("max_item"))
+             for name in workflow.SPLITS]
+    return listed.join(parts[0].union(parts[1]).union(parts[2]), "split", "full")
+
+
 def _round_output(spark, d):
     """The output of one training round over the exported train split (run once per session)."""
     from duotower.plans.train import block_examples, choose_blocks, init_state, run_round, touched_rows
@@ -592,6 +619,8 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "table_scan": q_table_scan,
         "export_manifest": q_export_manifest,
         "export_totals": q_export_totals,
+        "shard_source": q_shard_source,
+        "shard_source_index": q_shard_source_index,
         "train_round": q_train_round,
         "train_round_touches": q_train_round_touches,
         "block_report": q_block_report,
@@ -878,6 +907,9 @@ def _oracles() -> dict[str, str]:
         "block_totals": f"""WITH {_CTE_EXAMPLES}
             SELECT count(*) AS n_rows, count(DISTINCT nullif(userId, 0)) AS n_users,
                    CAST(count(*) FILTER (WHERE userId = 0) AS BIGINT) AS rows_without_user FROM ex WHERE split = 'train'""",
+        "shard_source": f"WITH {_CTE_EXAMPLES} SELECT label, userId, movieId, split FROM ex",
+        "shard_source_index": f"""WITH {_CTE_EXAMPLES}
+            SELECT split, CAST(count(*) AS BIGINT) AS index_rows, count(*) AS read_rows, max(movieId) AS max_item FROM ex GROUP BY split""",
         "train_sync_steps": f"""WITH {_CTE_EXAMPLES},
             c AS (SELECT count(*) FILTER (WHERE split = 'train') AS tr, count(*) FILTER (WHERE split = 'validation') AS va,
                          count(*) FILTER (WHERE split = 'test') AS te FROM ex WHERE label IS NOT NULL),
