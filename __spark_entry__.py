@@ -22,6 +22,7 @@ from duotower.operators.buckets import bucket_collisions, sparse_features
 from duotower.operators.index import apply_index, fit_index
 from duotower.operators.lookup import bag_pooling, embedding_lookup
 from duotower.operators.metrics import auroc, avg_loss_compat, bce_mean, eval_summary
+from duotower.operators.pq import build_pq, recall, topk_pq_index
 from duotower.operators.profile import distinct_with_null, profile_counts, split_summary
 from duotower.operators.retrieve import build_ivf, recommend, sample_rows, topk_exact, topk_ivf, topk_ivf_index
 from duotower.operators.sort import sorted_head
@@ -59,6 +60,7 @@ VEC_DIM = 64                # embeddings table width (= reference tower output s
 TOWER_LAYERS = (16, 8)      # small towers so the oracle can run them in SQL
 LAYER_OUT = 16
 TOPK = 10
+MIN_RECALL = 0.9
 N_SAMPLES = 5
 
 
@@ -336,6 +338,27 @@ def q_topk_ivf_stored(spark, d):
                       _r6(F.col("score")).alias("score"))
 
 
+def _recall(spark, d, found):
+    """Recall against the exact top ``TOPK`` of the whole table, as a stable row."""
+    v = _vectors(spark, d)
+    row = recall(found, topk_exact(v, v, TOPK, VEC_DIM, q_id="bucket", i_id="bucket"))
+    return row.select(F.col("n").alias("n_pairs"), (F.col("recall") >= MIN_RECALL).alias("enough"))
+
+
+def q_topk_ivf_recall(spark, d):
+    """R1 approximate: recall of the IVF index with 14 of 16 lists probed."""
+    v = _vectors(spark, d)
+    return _recall(spark, d, topk_ivf(v, v, TOPK, VEC_DIM, n_lists=16, n_probe=14, q_id="bucket", i_id="bucket", seed=SEED))
+
+
+def q_topk_pq_recall(spark, d):
+    """R1 compressed: recall of 16 bytes per vector (512 as doubles) with all lists read and 100 candidates re-ranked."""
+    v = _vectors(spark, d)
+    path = scratch_path(spark, "pq", new_run_id())
+    build_pq(v, path, VEC_DIM, n_lists=16, m=16, i_id="bucket", seed=SEED)
+    return _recall(spark, d, topk_pq_index(v, path, TOPK, VEC_DIM, n_probe=16, rerank=100, q_id="bucket"))
+
+
 def q_item_vectors(spark, d):
     layers = init_mlp(SEED, "candidate_proj", VEC_DIM, TOWER_LAYERS)
     items = _bucketed(spark, d).where(F.col("item_bucket").isNotNull()).select("item_bucket").distinct()
@@ -609,6 +632,8 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "topk_blocked": q_topk_blocked,
         "topk_ivf": q_topk_ivf,
         "topk_ivf_stored": q_topk_ivf_stored,
+        "topk_ivf_recall": q_topk_ivf_recall,
+        "topk_pq_recall": q_topk_pq_recall,
         "recommend": q_recommend,
         "item_vectors": q_item_vectors,
         "sample_predictions": q_sample_predictions,
@@ -907,6 +932,8 @@ def _oracles() -> dict[str, str]:
         "block_totals": f"""WITH {_CTE_EXAMPLES}
             SELECT count(*) AS n_rows, count(DISTINCT nullif(userId, 0)) AS n_users,
                    CAST(count(*) FILTER (WHERE userId = 0) AS BIGINT) AS rows_without_user FROM ex WHERE split = 'train'""",
+        "topk_ivf_recall": f"SELECT CAST({TOPK} * count(*) AS BIGINT) AS n_pairs, true AS enough FROM embeddings",
+        "topk_pq_recall": f"SELECT CAST({TOPK} * count(*) AS BIGINT) AS n_pairs, true AS enough FROM embeddings",
         "shard_source": f"WITH {_CTE_EXAMPLES} SELECT label, userId, movieId, split FROM ex",
         "shard_source_index": f"""WITH {_CTE_EXAMPLES}
             SELECT split, CAST(count(*) AS BIGINT) AS index_rows, count(*) AS read_rows, max(movieId) AS max_item FROM ex GROUP BY split""",
