@@ -21,10 +21,11 @@ from duotower.operators.baseline import fit_fm, score_fm
 from duotower.operators.buckets import bucket_collisions, sparse_features
 from duotower.operators.index import apply_index, fit_index
 from duotower.operators.lookup import bag_pooling, embedding_lookup
-from duotower.operators.metrics import auroc, avg_loss_compat, bce_mean, eval_summary
+from duotower.operators.metrics import AUROC_ERROR, auroc, auroc_of_state, auroc_state, avg_loss_compat, bce_mean, eval_summary, merge_auroc_states
 from duotower.operators.pq import build_pq, recall, topk_pq_index
 from duotower.operators.profile import distinct_with_null, profile_counts, split_summary
 from duotower.operators.retrieve import build_ivf, recommend, sample_rows, topk_exact, topk_ivf, topk_ivf_index
+from duotower.operators.scorer import register_scorer
 from duotower.operators.sort import sorted_head
 from duotower.operators.split import hash_split, random_split, sql_split_case
 from duotower.operators.towers import init_mlp, score_columns, score_pairs, tower_table
@@ -276,6 +277,15 @@ def q_auroc(spark, d):
     return auroc(_scored(spark, d), ["split"]).withColumn("auroc", _r6(F.col("auroc")))
 
 
+def q_auroc_sketch(spark, d):
+    """A8/U4 as a mergeable state: sketches per batch number merged, against the exact value."""
+    scored = _scored_batched(spark, d)
+    states = auroc_state(scored.withColumn("part", F.col("batch_seq") % CHUNK), ["split", "part"])
+    close = auroc_of_state(merge_auroc_states(states, ["split"]), ["split"])
+    exact = auroc(scored, ["split"]).withColumnRenamed("auroc", "exact")
+    return close.join(exact, "split").select("split", (F.abs(F.col("auroc") - F.col("exact")) <= AUROC_ERROR).alias("within_bound"))
+
+
 def q_eval_summary(spark, d):
     e = eval_summary(_scored_batched(spark, d), ["split"])
     return e.select("split", "n_rows", _r6(F.col("mean_bce")).alias("mean_bce"),
@@ -395,6 +405,17 @@ def q_init_model_scores(spark, d):
                                                _r6(F.col("logit")).alias("logit"), F.col("pred"))
 
 
+def q_sql_scores(spark, d):
+    """The model's scores by a function called from SQL."""
+    from duotower.plans.train import init_state
+
+    counts = workflow.table_sizes(_ratings(spark, d))
+    register_scorer(spark, init_state(spark, MODEL_ARGS, counts, scratch_path(spark, "models", new_run_id())))
+    _examples(spark, d).createOrReplaceTempView("scored_examples")
+    return spark.sql("""SELECT userId, movieId, label, split, round(score(userId, movieId), 6) AS logit,
+                               rint(score_prob(userId, movieId)) AS pred FROM scored_examples""")
+
+
 def q_recommend(spark, d):
     """R1 end to end: all users and movies of the ratings through both towers to the best movies of every user."""
     from duotower.plans.train import init_state
@@ -626,6 +647,7 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bce_loss": q_bce_loss,
         "avg_loss_compat": q_avg_loss_compat,
         "auroc": q_auroc,
+        "auroc_sketch": q_auroc_sketch,
         "eval_summary": q_eval_summary,
         "eval_null_labels": q_eval_null_labels,
         "topk_items": q_topk_items,
@@ -635,6 +657,7 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "topk_ivf_recall": q_topk_ivf_recall,
         "topk_pq_recall": q_topk_pq_recall,
         "recommend": q_recommend,
+        "sql_scores": q_sql_scores,
         "item_vectors": q_item_vectors,
         "sample_predictions": q_sample_predictions,
         "init_model_scores": q_init_model_scores,
@@ -934,6 +957,10 @@ def _oracles() -> dict[str, str]:
                    CAST(count(*) FILTER (WHERE userId = 0) AS BIGINT) AS rows_without_user FROM ex WHERE split = 'train'""",
         "topk_ivf_recall": f"SELECT CAST({TOPK} * count(*) AS BIGINT) AS n_pairs, true AS enough FROM embeddings",
         "topk_pq_recall": f"SELECT CAST({TOPK} * count(*) AS BIGINT) AS n_pairs, true AS enough FROM embeddings",
+        "sql_scores": f"""WITH {_init_model_sql()}
+            SELECT userId, movieId, label, split, round(logit, 6) AS logit,
+                   CAST(CASE WHEN 1.0 / (1.0 + exp(-logit)) > 0.5 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS pred FROM sc""",
+        "auroc_sketch": f"WITH {_CTE_EXAMPLES} SELECT DISTINCT split, true AS within_bound FROM ex",
         "shard_source": f"WITH {_CTE_EXAMPLES} SELECT label, userId, movieId, split FROM ex",
         "shard_source_index": f"""WITH {_CTE_EXAMPLES}
             SELECT split, CAST(count(*) AS BIGINT) AS index_rows, count(*) AS read_rows, max(movieId) AS max_item FROM ex GROUP BY split""",
