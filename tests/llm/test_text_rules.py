@@ -139,6 +139,62 @@ def test_license_files_and_wrapped_headers(spark):
     assert got["c"] == got["j"] == got["s"] == ("GPL-3.0", "own") and got["g"] == ("GPL-2.0", "inherited") and got["n"] == (None, None)
 
 
+def brute_whole(text):
+    """(cosine, license) of a licence file by plain loops; license None if the title contradicts, None if there is no match."""
+    L = license_scan
+    vectors = {}
+    for name, t in L.full_texts():
+        ws = L.template_terms(re.sub(L._OWNER, "", t))
+        vectors[name] = Counter(zip(ws, ws[1:]))
+    df = Counter(p for v in vectors.values() for p in v)
+    idf = lambda p: math.log((1 + len(vectors)) / max(1, df[p]))
+    length = lambda v: math.sqrt(sum((n * idf(p)) ** 2 for p, n in v.items()))
+    ws = L.template_terms(re.sub(L._OWNER, "", text))
+    own = Counter(zip(ws, ws[1:]))
+    scores = sorted(((round(sum(n * idf(p) * v[p] * idf(p) for p, n in own.items()) / length(own) / length(v), 9), name) for name, v in vectors.items()), reverse=True)
+    head = " " + " ".join(ws[:L.HEAD_WORDS]) + " "
+    titles = sorted((head.index(f" {t} "), -len(t), name) for name, t in L.TITLES if f" {t} " in head)
+    near = [(c, name) for c, name in scores if c >= L.MIN_WHOLE and c >= scores[0][0] - L.MARGIN]
+    if titles:
+        for c, name in near:
+            if name == titles[0][2]:
+                return c, name
+        return (scores[0][0], None) if scores[0][0] >= L.MIN_COSINE and scores[0][1] != titles[0][2] else None
+    return near[0] if len(near) == 1 else None
+
+
+def test_licence_files_get_their_own_licence_or_none(spark):
+    T = dict(license_scan.full_texts())
+    named = lambda t: re.sub("<year>", "2019", re.sub("<owner>|<copyright holders>|<copyright notice>", "Copyright (c) 2019 Jane Doe and the contributors", t))
+    by = T["CC-BY-SA-4.0"]
+    files = {"by-word": (by.replace("-ShareAlike", ""), "CC-BY-4.0"), "nc-word": (by.replace("ShareAlike", "NonCommercial"), "CC-BY-NC-4.0"),
+             "nc-notice": ("Licensed under CC BY-NC 4.0.\n\n" + by.replace("ShareAlike", "NonCommercial"), "CC-BY-NC-4.0"),
+             "nd": (by.replace("ShareAlike", "NoDerivatives"), None), "nc-sa": (by.replace("ShareAlike", "NonCommercial-ShareAlike"), None),
+             "bsd4": (named(T["BSD-4-Clause"]), "BSD-4-Clause"), "bsd3": (named(T["BSD-3-Clause"]), "BSD-3-Clause"), "bsd2": (named(T["BSD-2-Clause"]), "BSD-2-Clause"),
+             "mit": (named(T["MIT"]), "MIT"), "isc": (named(T["ISC"]), "ISC"), "gpl1": (T["GPL-1.0"], "GPL-1.0"), "lgpl2": (T["LGPL-2.0"], "LGPL-2.0"),
+             "mpl11": (T["MPL-1.1"], "MPL-1.1"), "agpl": (T["AGPL-3.0"], "AGPL-3.0"), "dual": (T["MIT"] + "\n\n" + T["GPL-2.0"], {"MIT", "GPL-2.0", None}),
+             "dual2": (T["GPL-2.0"] + "\n\n" + T["Apache-2.0"], {"Apache-2.0", "GPL-2.0", None})}
+    rows = [(k, f"{k}/LICENSE", t) for k, (t, _) in files.items()] + [(f"f{i}", f"f/{i}.txt", f"plain words {i}") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id string, path string, text string").repartition(3)
+    got = {r.doc_id: r.license for r in license_scan.scan(df).collect()}
+    for k, (_, want) in files.items():
+        assert got[k] in want if isinstance(want, set) else got[k] == want, (k, got[k])
+    whole = {r.doc_id: r.whole for r in df.join(license_scan.whole_matches(df.withColumn("row", F.col("doc_id"))).withColumnRenamed("row", "doc_id"), "doc_id").collect()}
+    for k, (t, _) in files.items():
+        want = brute_whole(t)
+        assert (whole.get(k) is None) == (want is None) and (want is None or (whole[k].license == want[1] and abs(whole[k].cosine - want[0]) < 1e-6)), k
+
+
+def test_deep_and_shared_directories_inherit(spark):
+    """Every directory has the root as its ancestor; a third of the files lie in one directory, a third have no path."""
+    rows = [(1, "LICENSE", "Released under the MIT License."), (2, "a/b/LICENSE", "Licensed under CC BY-SA 4.0.")]
+    rows += [(10 + i, f"a/b/c{i % 7}/d{i}/x.py", "x") for i in range(100)] + [(200 + i, "a/z.py", "x") for i in range(100)] + [(400 + i, None, "x") for i in range(100)]
+    got = {r.doc_id: (r.license, r.found, r.license_dir) for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, path string, text string")).collect()}
+    assert len(got) == len(rows) and got[1][:2] == ("MIT", "own") and got[2][:2] == ("CC-BY-SA-4.0", "own")
+    assert {got[10 + i] for i in range(100)} == {("CC-BY-SA-4.0", "inherited", "a/b")}
+    assert {got[200 + i] for i in range(100)} == {("MIT", "inherited", "")} and {got[400 + i] for i in range(100)} == {(None, None, None)}
+
+
 # ---------------------------------------------------------------- 4 URL filters
 
 URLS = ["http://a.example.org/es/1", "https://EXAMPLE.org/en/12?x#y", "http://x.com/fr/a", "http://x.com/de/a?b", "http://m.casino-win.example.com/en/4", "http://org", "http://org/",
