@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,9 @@ nav navbar navigation menu menus breadcrumb breadcrumbs header masthead topbar f
 cookie cookies consent gdpr notice notices alert popup modal overlay toast disclaimer newsletter subscribe subscription signup login search searchbox form
 comment comments commentlist respond disqus reply replies discussion share sharing social related recommended recommendations pagination pager
 toolbar tags hidden complementary contentinfo""".split())
+# Words that make a class name say what a box holds or lacks, or that it is a wrapper, instead of what it is.
+_NEGATED = frozenset("has no not with without hide show".split())
+_WRAPPERS = frozenset("wrap wrapper wrapping container layout".split())
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""", re.S)
 _ATTR = re.compile(r"""(?:^|\s)(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I | re.S)
 _END = re.compile(r"""[.!?:;…。！？]["'”’»)\]]*$""")
@@ -53,17 +57,26 @@ def _furniture(name: str, attrs: str) -> bool:
         key, value = key.lower(), value.strip("\"'").lower()
         if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             return True
-        if key in ("class", "id", "role") and not _FURNITURE_WORDS.isdisjoint(re.split(r"[^a-z]+", value)):
+        if key in ("class", "id", "role") and any(_names_furniture(word) for word in value.split()):
             return True
     return False
 
 
+def _names_furniture(word: str) -> bool:
+    """Whether a class or id names furniture: ``sidebar-left`` does; ``no-sidebar``, ``has-header`` and ``content-sidebar-wrap`` do not."""
+    parts = [p for p in re.split(r"[^a-z]+", word) if p]
+    if not _WRAPPERS.isdisjoint(parts):
+        return False
+    return any(p in _FURNITURE_WORDS and (not k or parts[k - 1] not in _NEGATED) for k, p in enumerate(parts))
+
+
 def blocks_of(page: str | None) -> list[Block]:
     """The flat text blocks of a page, in order; blocks without text are left out."""
     out: list[Block] = []
     text: list[str] = []
     linked: list[str] = []
     stack: list[tuple[str, bool, bool, bool]] = []      # name, in article, in furniture, skipped
+    opened: Counter[str] = Counter()                    # how often a name is on the stack: end tags without a partner cost nothing
     article = furniture = skipped = False
     in_link = 0
     heading = False
@@ -107,11 +120,10 @@ def blocks_of(page: str | None) -> list[Block]:
         if not skipped or closing:
             close()
         if closing:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    # what stood inside ends with it, except that a paragraph's end closes nothing around it
-                    article, furniture, skipped = stack[k][1:]
-                    del stack[k:]
+            while opened[name]:     # what stood inside ends with it
+                last, article, furniture, skipped = stack.pop()
+                opened[last] -= 1
+                if last == name:
                     break
             heading = heading and name not in _HEADINGS
             in_link = 0
@@ -120,9 +132,13 @@ def blocks_of(page: str | None) -> list[Block]:
             continue
         if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and stack and stack[-1][0] == name:
             article, furniture, skipped = stack.pop()[1:]      # their end tags may be left out
+            opened[name] -= 1
         stack.append((name, article, furniture, skipped))
-        article = article or name in ("article", "main")
-        furniture = furniture or (name not in ("body", "html", "article", "main") and _furniture(name, attrs))
+        opened[name] += 1
+        if name in ("article", "main") and not article:
+            article, furniture = True, False        # the outermost one is the main text, whatever its wrappers are called
+        else:
+            furniture = furniture or (name not in ("body", "html") and _furniture(name, attrs))
         skipped = skipped or name in _SKIPPED
         heading = name in _HEADINGS
         if name == "body":

@@ -4,6 +4,8 @@ Each piece holds whole blocks, so the label holds for every block in it. A conta
 a later one.
 """
 
+import random
+
 _LONG = ("The river had risen for three days before anyone in the valley thought of moving the animals to the upper fields, and by then "
          "the lower road was already gone.")
 _MID = "Nobody had expected the bridge to hold, but it did, and the first carts crossed it at noon."
@@ -54,3 +56,59 @@ _TERSE = [
 ]
 
 LABELLED_PAGES = [_SEMANTIC, _MAIN, _NAMED, _BARE, _BARE_LONG, _TERSE]
+
+
+# More pages by rule: the same parts in other lengths and under other names, among them wrappers whose names mislead and pages
+# that name nothing, so that only words, links and neighbours tell. The rule is the label: article parts are 1, all else 0.
+
+_WORDS = ("river valley bridge cart morning road field winter letter paper garden window market stone horse village summer kitchen teacher "
+          "engine harbour forest number reason evening mountain station doctor season corner answer island").split()
+_WRAPPER_NAMES = ("content-sidebar-wrap", "has-header", "no-sidebar", "page-header-wrap", "post no-share", "site-container", "with-sidebar layout", "x1")
+_BOX_NAMES = ("sidebar", "nav-top", "footer", "ad-box", "cookie-notice", "share", "related", "comments", "newsletter")
+
+
+def _sentence(r: random.Random, low: int, high: int) -> str:
+    words = [r.choice(_WORDS) for _ in range(r.randint(low, high))]
+    return " ".join(words).capitalize() + r.choice("..!?")
+
+
+def _article(r: random.Random) -> str:
+    """A heading, then paragraphs; tiny ones stand between long ones."""
+    tag = r.choice(("p", "p", "div"))
+    out = [f"<{h}>{_sentence(r, 2, 7)[:-1]}</{h}>" for h in [r.choice(("h1", "h2"))]]
+    for k in range(r.randint(4, 9)):
+        low, high = (1, 6) if k % 3 == 2 else (18, 70)
+        link = f' <a href="/{k}">{r.choice(_WORDS)}</a> {_sentence(r, 3, 6)}' if r.random() < 0.2 else ""
+        out.append(f"<{tag}>{_sentence(r, low, high)[:r.choice((None, None, -1))]}{link}</{tag}>")
+    return "".join(out) + f"<{tag}>{_sentence(r, 18, 50)}</{tag}>"
+
+
+def _links(r: random.Random, n: int) -> str:
+    return "".join(f'<div><a href="/{k}">{_sentence(r, 1, 3)[:-1]}</a></div>' for k in range(n))
+
+
+def _boxes(r: random.Random) -> str:
+    """Named furniture of any length."""
+    return "".join(f'<div class="{r.choice(_BOX_NAMES)}"><p>{_sentence(r, 3, 40)}</p></div>' for _ in range(r.randint(1, 2)))
+
+
+def _short_lines(r: random.Random) -> str:
+    """Unnamed lines of few words, as at the head and foot of a page."""
+    return "".join(f"<div>{_sentence(r, 2, 9)[:r.choice((None, -1))]}</div>" for _ in range(r.randint(1, 4)))
+
+
+def made_page(seed: int) -> list[tuple[int, str]]:
+    """Three kinds by turn: an article element, a named box, nothing named."""
+    r = random.Random(seed)
+    kind, name = ("element", "named", "bare")[seed % 3], r.choice(_WRAPPER_NAMES)
+    if kind == "bare":
+        return [(0, f'<body class="{name}">{_links(r, r.randint(2, 6))}{_short_lines(r)}{_links(r, 1)}'), (1, _article(r)),
+                (0, f"{_links(r, r.randint(1, 4))}{_short_lines(r)}</body>")]
+    open_, close = ("<article>", "</article>") if kind == "element" else ('<div class="story">', "</div>")
+    outside = "".join(f"<p>{_sentence(r, 2, 60)}</p>" for _ in range(r.randint(4, 8))) if kind == "element" else ""
+    return [(0, f'<body><div class="{name}">{_boxes(r)}{_links(r, 3)}{outside}'), (1, open_ + _article(r) + close),
+            (0, f"{_links(r, 2)}{outside}{_boxes(r)}</div></body>")]
+
+
+MADE_PAGES = 60
+LABELLED_PAGES += [made_page(seed) for seed in range(MADE_PAGES)]
