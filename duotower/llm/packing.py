@@ -1,7 +1,7 @@
 """Operator 8, packing: mixture-controlled windows by deficit round-robin over source queues.
 
 Each source is a queue of ids, its documents one after the other. In every round a queue earns ``window`` times its
-target share; what it has earned but not yet given is its deficit and stays with it. It gives only whole grains of
+target share, exactly; what it has earned but not yet given is its deficit and stays with it. It gives only whole grains of
 ``grain`` ids (and its last rest), so pieces do not become tiny, and gives nothing any more once it is empty. The
 rounds follow each other in one stream, and the stream is cut into windows of exactly ``window`` ids, so only the very
 last window can be short.
@@ -22,6 +22,9 @@ number of ids before it, summed in ranges of the queue.
 
 from __future__ import annotations
 
+import math
+from fractions import Fraction
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -33,30 +36,52 @@ from duotower.llm.wordbpe import word_bpe
 
 WINDOW = 4096
 GRAIN = 128
-QUEUES = 64         # the sources with most ids, and those with a target, have a queue each; all others share the last queue
-_UNIT = 1 << 16     # resolution of the target shares
-_RANGE = 4096       # grains in a range of the shared queue
+QUEUES = 512        # the sources with most ids, and those with a target, have a queue each; all others share the last queue
+_RANGE = 4096       # grains in a range of the shared queue, and ranges in a group of them
+_INT64 = 1 << 62
 _PLACED = ("doc_id", "source", "lane", "place", "first", "n", "doc_tokens", "ids")
 
 
+def exact_weights(lanes: list[tuple[str | None, int]], target: dict[str | None, float]) -> list[int]:
+    """Whole weights in exactly the asked-for proportions: a named queue's target, or its part of the others' by its ids."""
+    unnamed = max(1, sum(t for name, t in lanes if name is None or name not in target))
+    rest = Fraction(str(target.get(None, 1.0)))
+    share = [rest * t / unnamed if name is None or name not in target else Fraction(str(target[name])) for name, t in lanes]
+    scale = math.lcm(*[s.denominator for s in share])
+    whole = [max(1, int(s * scale)) for s in share]
+    common = math.gcd(*whole)
+    return [w // common for w in whole]
+
+
 class RoundRobin:
-    """Closed form of the deficit round-robin: totals T_s and integer weights w_s per queue."""
+    """Closed form of the deficit round-robin: totals T_s and integer weights w_s per queue.
+
+    Weights are of any size: products are taken in 64 bits where they fit, else in Python's whole numbers.
+    """
 
     def __init__(self, totals, weights, window: int, grain: int):
         self.totals = np.asarray(totals, np.int64)
-        self.weights = np.asarray(weights, np.int64)
-        self.window, self.grain, self.sum = window, grain, int(self.weights.sum())
+        self.weights = [int(w) for w in weights]
+        self.window, self.grain, self.sum = window, grain, sum(self.weights)
+        self.top = window * max(self.weights, default=1)
+        kind = np.int64 if max(self.top, self.sum * grain) < _INT64 else object
+        self.per = np.array([window * w for w in self.weights], kind)
 
     def given(self, rounds, queue) -> np.ndarray:
         """Ids that queue ``queue`` has given before each round."""
-        whole = self.grain * (rounds * (self.window * self.weights[queue]) // (self.sum * self.grain))
-        return np.minimum(whole, self.totals[queue])
+        rounds = np.asarray(rounds, np.int64)
+        if self.per.dtype == object or len(rounds) and int(rounds.max()) * self.top >= _INT64:
+            rounds = rounds.astype(object)
+        whole = self.grain * (rounds * self.per[queue] // (self.sum * self.grain))
+        return np.minimum(whole, self.totals[queue]).astype(np.int64)
 
     def round_of(self, place, queue) -> np.ndarray:
         """Round in which a queue gives its id number ``place``."""
-        need = (place // self.grain + 1) * (self.sum * self.grain)
-        per = self.window * self.weights[queue]
-        return -(-need // per) - 1
+        grains = np.asarray(place, np.int64) // self.grain + 1
+        if self.per.dtype == object or len(grains) and int(grains.max()) * self.sum * self.grain >= _INT64:
+            grains = grains.astype(object)
+        need = grains * (self.sum * self.grain)
+        return (-(-need // self.per[queue]) - 1).astype(np.int64)
 
     def pieces(self, queue, place, size):
         """Cut documents (queue, place of the first id, number of ids > 0) into pieces that lie in one window each.
@@ -162,8 +187,12 @@ def shared_pieces(docs: DataFrame, total: int, grain: int) -> DataFrame:
 
     # one row per range of the queue, without the ids
     sums = cut(False).groupBy("range").agg(F.sum("length").alias("sum"))
-    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    before = sums.select("range", F.coalesce(F.sum("sum").over(earlier), F.lit(0)).alias("before"))
+    sums = sums.withColumn("group", F.floor(F.col("range") / _RANGE))
+    within = Window.partitionBy("group").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.orderBy("group").rowsBetween(Window.unboundedPreceding, -1)       # a row for 2**31 ids of the queue
+    groups = sums.groupBy("group").agg(F.sum("sum").alias("all")).select("group", F.coalesce(F.sum("all").over(earlier), F.lit(0)).alias("base"))
+    before = (sums.withColumn("part", F.coalesce(F.sum("sum").over(within), F.lit(0))).join(groups, "group")
+              .select("range", (F.col("base") + F.col("part")).alias("before")))
     inside = Window.partitionBy("range").orderBy("at", "source", "a").rowsBetween(Window.unboundedPreceding, -1)
     pieces = cut(True).withColumn("inside", F.coalesce(F.sum("length").over(inside), F.lit(0)))
     return pieces.join(before, "range").select("doc_id", "source", "lane", (F.col("before") + F.col("inside")).alias("place"), "first", F.col("length").alias("n"),
@@ -189,10 +218,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int | None = 2, id_col: str =
     lanes = offsets.select("lane", "source", "total").distinct().groupBy("lane").agg(F.sum("total").alias("total")).collect()
     lanes = sorted(((r["lane"], r["total"]) for r in lanes if r["total"]), key=lambda x: (x[0] is None, x[0] or ""))
     target = {None: 1.0} if target is None else target
-    unnamed = max(1, sum(t for name, t in lanes if name is None or name not in target))
-    share = [float(target.get(None, 1.0)) * t / unnamed if name is None or name not in target else float(target[name]) for name, t in lanes]
-    scale = _UNIT / (sum(share) or 1.0)
-    robin = RoundRobin([t for _, t in lanes], [max(1, round(s * scale)) for s in share], window, grain)
+    robin = RoundRobin([t for _, t in lanes], exact_weights(lanes, target), window, grain)
     number = {name: k for k, (name, _) in enumerate(lanes)}
     id_type = docs.schema["doc_id"].dataType.simpleString()
 

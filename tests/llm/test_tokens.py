@@ -2,6 +2,7 @@
 
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -10,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from duotower.llm.packing import RoundRobin, pack
+from duotower.llm.packing import RoundRobin, exact_weights, pack
 from duotower.llm.token_counts import token_counts
 from duotower.llm.token_file import read_documents, token_file_round_trip, write_token_file
 from duotower.llm.wavelet import WaveletMatrix
@@ -134,6 +135,39 @@ def test_round_robin_equals_played_rounds(queues, grain):
     assert (at // window == (at + length - 1) // window).all()
 
 
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.integers(1, 400), min_size=1, max_size=6), st.integers(2, 9))
+def test_round_robin_with_weights_beyond_64_bits(totals, grain):
+    """The same pieces with weights scaled far past 64 bits, and as played."""
+    scaled = RoundRobin(totals, [t * 10 ** 25 for t in totals], 16, grain)
+    plain = RoundRobin(totals, totals, 16, grain)
+    args = (np.arange(len(totals)), np.zeros(len(totals), np.int64), np.array(totals))
+    for a, b in zip(scaled.pieces(*args), plain.pieces(*args)):
+        assert (a == b).all()
+
+
+@pytest.mark.parametrize("totals", [[50_000_000, 50, 151, 40_000], [3_000_000, *range(1000, 1500)], [10 ** 13, 10 ** 7, 3 * 10 ** 6]])
+def test_every_window_has_the_mixture_to_one_grain(totals):
+    """Shares of 1e-6 and 500 sources: at the end of every round each queue has given its part, short of less than a grain."""
+    lanes = [(str(k), t) for k, t in enumerate(totals)]
+    weights = exact_weights(lanes, {None: 1.0})
+    robin, whole = RoundRobin(totals, weights, 4096, 128), sum(totals)
+    assert [Fraction(w, sum(weights)) for w in weights] == [Fraction(t, whole) for t in totals]
+    last = whole // 4096
+    rounds = np.unique(np.linspace(0, last, 400).astype(np.int64))
+    for s, t in enumerate(totals):
+        due = [Fraction(int(r) * 4096 * t, whole) for r in rounds]
+        given = robin.given(rounds, s).tolist()
+        assert all(0 <= d - g < 128 for d, g in zip(due, given))
+
+
+def test_targets_are_kept_exactly():
+    lanes = [("a", 10 ** 9), ("b", 10 ** 6), ("c", 5), (None, 10 ** 7)]
+    weights = exact_weights(lanes, {"a": 0.3, "b": 0.000001, None: 0.7})
+    share = [Fraction(w, sum(weights)) for w in weights]
+    assert share[0] / share[1] == 300_000 and share[3] / share[2] == 2_000_000 and share[0] / (share[2] + share[3]) == Fraction(3, 7)
+
+
 @pytest.mark.parametrize("queues,target", [(64, None), (2, None), (64, {"a": 3.0, None: 1.0})])
 def test_pack(spark, make_docs, tok, queues, target):
     rows = [(i, t, "en", ["a", "b", None, "c"][i % 4]) for i, t in enumerate(TEXTS)] + [(2, TEXTS[2], "en", "a")]
