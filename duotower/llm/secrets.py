@@ -4,7 +4,8 @@ Ordinary words need few tokens under a public vocabulary; random strings need ma
 low. A run of at least ``min_chars`` characters of ``[A-Za-z0-9+/_=-]`` that holds a letter, and that is no known digest
 or identifier of token-efficient words, is reported as ``random`` if it has fewer than ``max_ratio`` characters per
 token. If the words around a random string lift the run's ratio (a path before a token), its segments between ``/=+_-``
-are tested by themselves: neighbouring segments that are no words form a group, reported by the same rule.
+are tested by themselves: neighbouring segments that are no words form a group, reported by the same rule. Base64 contents
+of data URIs and of certificates are left alone.
 
 Everything is a function of one text, so the scan is one pass without a shuffle.
 """
@@ -12,6 +13,8 @@ Everything is a function of one text, so the scan is one pass without a shuffle.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -29,6 +32,8 @@ _NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")      # maximal runs of 24 and more
 _CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
+_DATA_URI = re.compile(r"data:[A-Za-z0-9.+-]++/[A-Za-z0-9.+-]++(?:;(?!base64,)[A-Za-z0-9=.-]++)*+;base64,[A-Za-z0-9+/=_-]*+")
+_CERTIFICATE = re.compile(r"-----BEGIN CERTIFICATE-----[A-Za-z0-9+/=\s]*+-----END CERTIFICATE-----")
 # Not secrets although they look random: digests by their length in hex digits, UUIDs, DNA, and plain numbers or dates.
 _KNOWN = re.compile(r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128}"
                     r"|[0-9A-F]{32}|[0-9A-F]{40}|[0-9A-F]{56}|[0-9A-F]{64}|[0-9A-F]{96}|[0-9A-F]{128}"
@@ -82,20 +87,42 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
+def excluded_spans(text: str) -> list[tuple[int, int, int]]:
+    """Encoded contents that are no secrets: inline data and certificates."""
+    out = [(m.start(), 3, m.end()) for m in _DATA_URI.finditer(text)] if ";base64," in text else []
+    if "-----BEGIN CERTIFICATE-----" in text:
+        out += [(m.start(), 3, m.end()) for m in _CERTIFICATE.finditer(text)]
+    return out
+
+
+class Covers:
+    """Whether a span lies within one of some others, by their starts and the greatest end so far."""
+
+    def __init__(self, spans: list[tuple[int, int, int]]):
+        spans = sorted(spans)
+        self.starts = [a for a, _, _ in spans]
+        self.ends = list(accumulate((b for _, _, b in spans), max))
+
+    def __call__(self, start: int, end: int) -> bool:
+        k = bisect_right(self.starts, start) - 1
+        return k >= 0 and self.ends[k] >= end
+
+
 def random_spans(text: str, base: list[tuple[int, int, int]], enc, min_chars: int, max_ratio: float) -> list[tuple[int, int, int]]:
-    """Runs, or else groups of their segments, with few characters per token that no base span covers."""
+    """Runs, or else groups of their segments, with few characters per token that no base span, inline data or certificate covers."""
     out = []
+    covered = Covers(base + excluded_spans(text))
 
     def is_random(start: int, end: int) -> bool:
         s = text[start:end]
-        if len(s) < min_chars or not re.search("[A-Za-z]", s) or any(a <= start and end <= b for a, _, b in base):
+        if len(s) < min_chars or not re.search("[A-Za-z]", s) or covered(start, end):
             return False
         return len(s) < max_ratio * len(enc.encode_ordinary(s)) and not _KNOWN.fullmatch(s) and not word_parts(s, enc, max_ratio)
 
     for m in _CANDIDATE.finditer(text):
         if is_random(*m.span()):
             out.append((m.start(), 3, m.end()))
-        elif len(m[0]) > min_chars and not _KNOWN.fullmatch(m[0]) and not any(a <= m.start() and m.end() <= b for a, _, b in base):
+        elif len(m[0]) > min_chars and not _KNOWN.fullmatch(m[0]) and not covered(*m.span()):
             out += [(a, 3, b) for a, b in odd_groups(text, m.start(), m.end(), enc, max_ratio) if is_random(a, b)]
     return out
 

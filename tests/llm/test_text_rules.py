@@ -334,3 +334,46 @@ def test_random_strings_beside_words_and_without_digits():
     # a group keeps its inner separators, and the path before it stays
     token = path + path + "x9Kq2LmZ7vRt4+s/Y8bNc1Jd"
     assert secrets.redact(token, secrets.scan_text(token, enc), "[SECRET]") == path + path + "[SECRET]"
+
+
+def test_many_matches_and_encoded_contents():
+    import random
+    import time
+
+    enc, r = secrets.encoding(secrets.VOCABULARY), random.Random(4)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    run = lambda n: "".join(r.choice(letters) for _ in range(n))
+    uri = f"<img src='data:image/png;charset=x;base64,{run(4000)}/{run(300)}+{run(50)}=='>"
+    pem = "-----BEGIN CERTIFICATE-----\n" + "\n".join(run(64) for _ in range(20)) + "\n-----END CERTIFICATE-----"
+    assert secrets.scan_text(uri + " plain words " + pem, enc) == []
+    key = run(32)
+    text = f"{uri} {key} {pem}"
+    assert secrets.scan_text(text, enc) == [(text.index(key), 3, text.index(key) + 32)]
+    private = pem.replace("CERTIFICATE", "PRIVATE KEY")
+    assert len(secrets.scan_text(private, enc)) >= 18
+    many = " ".join(f"password={run(12)} {run(28)}" for _ in range(8000))
+    began = time.process_time()
+    assert len(secrets.scan_text(many, enc)) >= 15_500
+    assert time.process_time() - began < 20
+
+    # covering by brute force
+    for _ in range(200):
+        spans = [(a, 0, a + r.randint(1, 9)) for a in (r.randint(0, 30) for _ in range(r.randint(0, 6)))]
+        covered = secrets.Covers(spans)
+        for start in range(35):
+            end = start + r.randint(1, 6)
+            assert covered(start, end) == any(a <= start and end <= b for a, _, b in spans)
+
+
+@pytest.mark.parametrize("alphabet, low, length", [("base62", 0.97, 20), ("base32", 0.9, 32), ("lower", 0.85, 20), ("base64", 0.97, 24)])
+def test_recall_of_planted_random_strings(alphabet, low, length):
+    import random
+
+    chars = {"base62": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+             "lower": "abcdefghijklmnopqrstuvwxyz", "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"}[alphabet]
+    enc, r, found = secrets.encoding(secrets.VOCABULARY), random.Random(9), 0
+    for _ in range(1000):
+        key = "".join(r.choice(chars) for _ in range(length))
+        text = f"The value is {key} as the note said."
+        found += any(a <= 14 and 12 + length <= b for a, _, b in secrets.scan_text(text, enc))
+    assert found >= low * 1000
