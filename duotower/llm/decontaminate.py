@@ -179,7 +179,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """
     docs = columns(docs, doc_id=id_col, text=text_col)
     bench = columns(benchmark, item_id=item_col, text=item_text_col).select(
-        F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), "text")
+        F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), "text").distinct()     # repeated rows would fill one block
     total = bench.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = max(1, -(-total // block_bytes))
     spark = docs.sparkSession

@@ -84,3 +84,15 @@ def test_empty_tables(spark, make_docs):
     assert decontaminate(docs.limit(0), bench).count() == 0
     got = decontaminate(docs, bench.limit(0)).collect()
     assert sorted((r.doc_id, r.n_words, r.spans, r["items"]) for r in got) == [(1, 2, [], []), (2, 0, [], [])]
+
+
+def test_repeated_benchmark_rows_count_once(spark, make_docs):
+    """A third of the table being one item does not fill one block, and the hits are those of the distinct items."""
+    words = [f"w{k}" for k in range(60)]
+    items = [("a", " ".join(words[:15]))] * 400 + [(str(k), " ".join(words[k:k + 12])) for k in range(20, 40)] + [(None, "w1")]
+    bench = spark.createDataFrame([(i, t) for i, t in items], "item_id string, text string")
+    docs = make_docs([(1, "x " + " ".join(words[:30])), (2, "clean text"), (3, None)])
+    size = sum(len(t) for _, t in set(items))
+    got = {r.doc_id: (r.n_words, r["items"]) for r in decontaminate(docs, bench, block_bytes=size // 3).collect()}
+    want = {i: brute(t or "", [(n or "", x) for n, x in set(items)], 10) for i, t in ((1, "x " + " ".join(words[:30])), (2, "clean text"), (3, None))}
+    assert got == {i: (n, names) for i, (n, _, names) in want.items()}
