@@ -57,6 +57,8 @@ N_SHARDS = 40               # export shard count
 SEED = 42                   # split / shuffle seed
 LIMIT_BATCHES = 10
 CHUNK = 4
+HOT_USER = "Customer#000000001"
+HEAVY_SHARE = 0.01
 VEC_DIM = 64                # embeddings table width (= reference tower output size)
 TOWER_LAYERS = (16, 8)      # small towers so the oracle can run them in SQL
 LAYER_OUT = 16
@@ -140,6 +142,14 @@ def q_index_skip(spark, d):
     return apply_index(test, model, handle_invalid="skip")
 
 
+def q_index_heavy(spark, d):
+    """W2 where one user has a third of the ratings: heavy ids joined apart."""
+    r = _ratings(spark, d)
+    model = fit_index(r, "userId", _np(spark))
+    hot = r.withColumn("userId", F.when(F.col("movieId") % 3 == 0, F.lit(HOT_USER)).otherwise(F.col("userId")))
+    return apply_index(hot, model, handle_invalid="keep", heavy_share=HEAVY_SHARE).select("userId", "movieId", "rating")
+
+
 def q_labelled(spark, d):
     return _examples(spark, d).select("userId", "movieId", "label")
 
@@ -628,6 +638,7 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "user_index": q_user_index,
         "index_unseen": q_index_unseen,
         "index_skip": q_index_skip,
+        "index_heavy": q_index_heavy,
         "labelled": q_labelled,
         "hash_split": q_hash_split,
         "split_summary": q_split_summary,
@@ -883,6 +894,12 @@ def _oracles() -> dict[str, str]:
                    FROM sp WHERE split = 'train' AND userId IS NOT NULL GROUP BY userId)
             SELECT CAST(coalesce(tr._idx, (SELECT count(*) FROM tr)) AS BIGINT) AS userId, sp.movieId
             FROM sp LEFT JOIN tr ON sp.userId = tr._key WHERE sp.split = 'test'""",
+        "index_heavy": f"""WITH {_CTE_RATINGS},
+            ix AS (SELECT userId AS _key, row_number() OVER (ORDER BY count(*) DESC, userId) - 1 AS _idx
+                   FROM ratings WHERE userId IS NOT NULL GROUP BY userId),
+            h AS (SELECT CASE WHEN movieId % 3 = 0 THEN '{HOT_USER}' ELSE userId END AS u, movieId, rating FROM ratings)
+            SELECT CAST(coalesce(ix._idx, (SELECT count(*) FROM ix)) AS BIGINT) AS userId, h.movieId, h.rating
+            FROM h LEFT JOIN ix ON h.u = ix._key""",
         "index_skip": f"""WITH {_CTE_RATINGS},
             sp AS (SELECT *, {_SPLIT} AS split FROM ratings),
             tr AS (SELECT userId AS _key, row_number() OVER (ORDER BY count(*) DESC, userId) - 1 AS _idx

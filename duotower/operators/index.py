@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duotower.functions.ranking import global_row_index
+from duotower.operators.skew import skew_left_join
 
 
 @dataclass
@@ -37,20 +38,24 @@ def fit_index(df: DataFrame, col: str, n_partitions: int) -> IndexModel:
     return IndexModel(table.select(col, "index", "freq"), col)
 
 
-def apply_index(df: DataFrame, model: IndexModel, handle_invalid: str = "error", out: str | None = None) -> DataFrame:
+def apply_index(df: DataFrame, model: IndexModel, handle_invalid: str = "error", out: str | None = None,
+                heavy_share: float | None = None) -> DataFrame:
     """W2 + P2 + P3: replace ``col`` by its long index.
 
     ``handle_invalid``: ``error`` raises on an unseen or null id, ``skip`` drops
-    such rows, ``keep`` gives them index = number of labels.
+    such rows, ``keep`` gives them index = number of labels. With ``heavy_share``, ids above that share of the rows are
+    joined apart (see ``skew.py``); without it, hot ids are left to AQE.
     """
     col = model.col
     out = out or col
     lookup = model.table.select(F.col(col).alias("_key"), F.col("index").alias("_idx"))
+    if heavy_share is not None:
+        found = skew_left_join(df, col, lookup, "_key", "_found", heavy_share).withColumn("_idx", F.col("_found._idx")).drop("_found")
     if handle_invalid == "skip":
-        joined = df.join(lookup, df[col] == lookup["_key"], "inner")
+        joined = found.where(F.col("_idx").isNotNull()) if heavy_share is not None else df.join(lookup, df[col] == lookup["_key"], "inner")
         idx = F.col("_idx")
     elif handle_invalid in ("keep", "error"):
-        joined = df.join(lookup, df[col] == lookup["_key"], "left")
+        joined = found if heavy_share is not None else df.join(lookup, df[col] == lookup["_key"], "left")
         if handle_invalid == "keep":
             idx = F.coalesce(F.col("_idx"), model.size())
         else:

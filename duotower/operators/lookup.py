@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from duotower.functions.vectors import to_double_array, zeros
 from duotower.operators.buckets import to_bucket
+from duotower.operators.skew import skew_left_join
 
 NULL_SPREAD = 4096
 
@@ -24,8 +25,15 @@ def _spread_null_key(df: DataFrame, bucket_col: str) -> F.Column:
 
 
 def embedding_lookup(df: DataFrame, bucket_col: str, table: DataFrame, out: str, dim: int,
-                     table_key: str = "bucket", table_vec: str = "vec") -> DataFrame:
-    """Attach ``table[bucket_col]`` as ``out`` (array<double>); missing -> zeros(dim)."""
+                     table_key: str = "bucket", table_vec: str = "vec", heavy_share: float | None = None) -> DataFrame:
+    """Attach ``table[bucket_col]`` as ``out`` (array<double>); missing -> zeros(dim).
+
+    With ``heavy_share``, buckets above that share of the rows are joined apart (see ``skew.py``); without it, hot buckets are left to AQE.
+    """
+    if heavy_share is not None:
+        vectors = table.select(F.col(table_key).alias("_key"), to_double_array(F.col(table_vec)).alias("_vec"))
+        found = skew_left_join(df, bucket_col, vectors, "_key", "_found", heavy_share)
+        return found.withColumn(out, F.coalesce("_found._vec", zeros(dim))).drop("_found")
     t = table.select(F.col(table_key).alias("_tk"), to_double_array(F.col(table_vec)).alias(out))
     left = df.withColumn("_lk", _spread_null_key(df, bucket_col))
     joined = left.join(t, left["_lk"] == t["_tk"], "left").drop("_lk", "_tk")

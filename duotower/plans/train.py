@@ -248,17 +248,6 @@ def batch_caps(limit: int, batches: dict[int, int]) -> dict[int, int]:
     return caps
 
 
-def task_keys(spark: SparkSession, n: int) -> list[int]:
-    """n numbers, the k-th of which Spark's hash partitioner sends to partition k of n."""
-    if n == 1:
-        return [0]
-    tries, found = 16 * n, {}
-    while len(found) < n:
-        rows = spark.range(tries).groupBy(F.pmod(F.hash("id"), F.lit(n)).alias("p")).agg(F.min("id").alias("id")).collect()
-        found, tries = {r["p"]: r["id"] for r in rows}, tries * 4
-    return [found[k] for k in range(n)]
-
-
 def _round_fn(args: TrainArgs, template: DenseParams, start, t: int, caps: dict | None):
     """``mapInArrow`` body: blocks arrive contiguous, each as its table rows then its examples in order.
 
@@ -404,8 +393,7 @@ def run_round(state: ModelState, blocked: DataFrame, keys: DataFrame, part: int,
         sizes = {r["block"]: math.ceil(r["count"] / args.batch_size) for r in ex.groupBy("block").count().collect()}
         caps = batch_caps(limit, sizes)
     fn = _round_fn(args, state.dense, start, state.adam_t, caps)
-    task = F.array(*[F.lit(k).cast("long") for k in task_keys(spark, n_blocks)])[F.col("block")]
-    rows = (round_input(ex, params, order_seed).withColumn("_task", task).repartition(n_blocks, "_task")
+    rows = (round_input(ex, params, order_seed).repartitionById(n_blocks, "block")
             .sortWithinPartitions("block", "kind", "ord", "row_id").select(*STREAM_COLS))
     out = rows.mapInArrow(fn, ROUND_SCHEMA)
     out.write.mode("overwrite").partitionBy("kind").parquet(f"{out_path}/_round_output")
