@@ -42,7 +42,9 @@ from duotower.streaming.batches import assign_batches, chunk_batches, limit_batc
 
 try:    # the pipeline subpackage is optional: without it the other queries stay registered
     from duotower.llm import queries as llm_queries
-except ImportError:
+except ImportError as e:
+    if e.name not in ("duotower.llm", "duotower.llm.queries"):      # it is there, but broken
+        raise
     llm_queries = None
 
 SF0001 = "/root/testdata/sf0.001"
