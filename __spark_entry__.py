@@ -10,6 +10,7 @@ tiny negative number gives 0.0 (not -0.0), as Spark's decimal rounding does.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from duotower.functions.hashing import sql_md5_u32
 from duotower.functions.vectors import checksum, concat_features, dense_layer, to_double_array
 from duotower.operators.baseline import fit_fm, score_fm
 from duotower.operators.buckets import bucket_collisions, sparse_features
-from duotower.operators.index import apply_index, fit_index
+from duotower.operators.index import apply_index, fit_index, grow_index
 from duotower.operators.lookup import bag_pooling, embedding_lookup
 from duotower.operators.metrics import AUROC_ERROR, auroc, auroc_of_state, auroc_state, avg_loss_compat, bce_mean, eval_summary, merge_auroc_states
 from duotower.operators.pq import build_pq, recall, topk_pq_index
@@ -34,6 +35,8 @@ from duotower.plans.prepare import prepare
 from duotower.session import default_parallelism, new_run_id, scratch_path, ship_package
 from duotower.snapshot import snapshot
 from duotower.sources.export import with_row_id
+from duotower.sources.index_store import append_version, index_meta, load_index
+from duotower.sources.model_store import step_tables
 from duotower.sources.ratings import (PROXY_RATINGS_SQL, proxy_ratings, read_parquet_table, read_ratings_csv,
                                       read_table, write_table_once)
 from duotower.sources.runs import read_params
@@ -144,6 +147,45 @@ def q_index_skip(spark, d):
     return apply_index(test, model, handle_invalid="skip")
 
 
+def _two_batches(spark, d):
+    """All ratings as two batches: the training rows of the training users, then the rest (new users, and more rows of known ones)."""
+    r = hash_split(hash_split(_ratings(spark, d), ["userId"], out="user_split"), ["userId", "movieId"])
+    first = (F.col("user_split") == "train") & (F.col("split") == "train")
+    return r.where(first), r.where(~first)
+
+
+def q_index_grown(spark, d):
+    """W1 in two batches: old numbers stay, new users follow; applied to all ratings, with the counts over both."""
+    first, rest = _two_batches(spark, d)
+    model = grow_index(fit_index(first, "userId", _np(spark)), rest, _np(spark))
+    return model.table.select(F.col("userId").alias("user_key"), F.col("index").alias("user_index"), "freq")
+
+
+def _index_root(spark, d):
+    """The two batches appended to a stored index, the second one tried twice."""
+    k = _key(spark, d, "index_store")
+    if k not in _RUNS:
+        root = scratch_path(spark, "index_store", new_run_id())
+        for name, batch in zip(("first", "rest", "rest"), (*_two_batches(spark, d), _two_batches(spark, d)[1])):
+            append_version(batch, "userId", root, _np(spark), name)
+        _RUNS[k] = root
+    return _RUNS[k]
+
+
+def q_index_versions(spark, d):
+    """W1 stored: every user's number, count and first version, as of the last version."""
+    return load_index(spark, _index_root(spark, d)).table.select(
+        F.col("userId").alias("user_key"), F.col("index").alias("user_index"), "freq", F.col("version").cast("long").alias("version"))
+
+
+def q_index_version_log(spark, d):
+    """W1 stored: first number and new users of every version, beside the users that its own state has."""
+    root = _index_root(spark, d)
+    states = [load_index(spark, root, k).table.agg(F.lit(k).alias("version"), F.count(F.lit(1)).alias("users")) for k in (0, 1)]
+    return (index_meta(spark, root).join(states[0].union(states[1]), "version")
+            .select(F.col("version").cast("long").alias("version"), F.col("first").alias("first_index"), "n_new", "users"))
+
+
 def q_index_heavy(spark, d):
     """W2 where one user has a third of the ratings: heavy ids joined apart."""
     r = _ratings(spark, d)
@@ -454,6 +496,8 @@ def q_init_model_eval(spark, d):
 
 SYNC_FREQ = 16
 SYNC_ARGS = TrainArgs(epochs=1, validation_freq=SYNC_FREQ)
+DELTA_ARGS = TrainArgs(embedding_dim=16, layer_sizes=(16, 8), full_every=3)
+DELTA_STEPS = 4
 TRAIN_ARGS = TrainArgs(epochs=1)   # reference sizes: dim 128, layers [128, 64], batch 1024, lr 0.01
 
 
@@ -556,6 +600,26 @@ def q_train_round_touches(spark, d):
         F.sum("n_rows").alias("rows_trained"))
 
 
+def q_delta_steps(spark, d):
+    """S8/S9 with deltas: rows written and rows read back per saved step and table; every third save is a full one."""
+    from duotower.plans.train import block_examples, choose_blocks, init_state, run_round, touched_rows
+
+    run = _prepared(spark, d)
+    n_blocks = choose_blocks(DELTA_ARGS)
+    blocked = snapshot(block_examples(run.split(spark, "train"), DELTA_ARGS, run.emb_counts, n_blocks), "blocked")
+    keys = touched_rows(blocked).checkpoint()
+    root = scratch_path(spark, "delta_steps", new_run_id())
+    state, rows = init_state(spark, DELTA_ARGS, run.emb_counts, root), []
+    for step in range(DELTA_STEPS):
+        state = run_round(state, blocked, keys, 0, n_blocks, f"{root}/step={step}", None, DELTA_ARGS.seed + step).state
+        for name, table in zip(("user", "item"), step_tables(spark, state.path)):
+            saved = spark.read.parquet(f"{state.path}/{name}_{'delta' if state.depth else 'table'}")
+            rows.append(table.agg(F.lit(step).cast("long").alias("step"), F.lit(name).alias("side"), F.lit(state.depth).cast("long").alias("depth"),
+                                  F.count_distinct("bucket").alias("table_rows"))
+                        .withColumn("written_rows", saved.agg(F.count_distinct("bucket")).scalar()))
+    return reduce(DataFrame.unionByName, rows)
+
+
 def q_block_report(spark, d):
     from duotower.plans.train import block_examples, block_report, choose_blocks
 
@@ -641,6 +705,9 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "index_unseen": q_index_unseen,
         "index_skip": q_index_skip,
         "index_heavy": q_index_heavy,
+        "index_grown": q_index_grown,
+        "index_versions": q_index_versions,
+        "index_version_log": q_index_version_log,
         "labelled": q_labelled,
         "hash_split": q_hash_split,
         "split_summary": q_split_summary,
@@ -684,6 +751,7 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "shard_source_index": q_shard_source_index,
         "train_round": q_train_round,
         "train_round_touches": q_train_round_touches,
+        "delta_steps": q_delta_steps,
         "block_report": q_block_report,
         "block_totals": q_block_totals,
         "train_loop_metrics": q_train_loop_metrics,
@@ -708,6 +776,12 @@ _SPLIT = sql_split_case(["userId", "movieId"])
 _CTE_RATINGS = f"ratings AS ({PROXY_RATINGS_SQL})"
 _CTE_NULL_RATINGS = (f"ratings AS (SELECT userId, movieId, CASE WHEN rating >= {NULL_BELOW} THEN rating END AS rating "
                      f"FROM ({PROXY_RATINGS_SQL}))")
+_CTE_GROWN = f"""{_CTE_RATINGS},
+two AS (SELECT userId, {sql_split_case(["userId"])} = 'train' AND {_SPLIT} = 'train' AS early FROM ratings WHERE userId IS NOT NULL),
+seen AS (SELECT userId, count(*) AS freq, count(*) FILTER (WHERE early) AS n_early FROM two GROUP BY userId),
+grown AS (SELECT userId AS user_key, freq, CASE WHEN n_early > 0 THEN 0 ELSE 1 END AS version,
+                 row_number() OVER (ORDER BY n_early > 0 DESC, CASE WHEN n_early > 0 THEN n_early ELSE freq END DESC, userId) - 1 AS user_index
+          FROM seen)"""
 _CTE_EXAMPLES = f"""{_CTE_RATINGS},
 sp AS (SELECT *, {_SPLIT} AS split FROM ratings),
 uidx AS (SELECT userId AS _key, row_number() OVER (ORDER BY count(*) DESC, userId) - 1 AS _idx
@@ -902,6 +976,11 @@ def _oracles() -> dict[str, str]:
             h AS (SELECT CASE WHEN movieId % 3 = 0 THEN '{HOT_USER}' ELSE userId END AS u, movieId, rating FROM ratings)
             SELECT CAST(coalesce(ix._idx, (SELECT count(*) FROM ix)) AS BIGINT) AS userId, h.movieId, h.rating
             FROM h LEFT JOIN ix ON h.u = ix._key""",
+        "index_grown": f"WITH {_CTE_GROWN} SELECT user_key, user_index, freq FROM grown",
+        "index_versions": f"WITH {_CTE_GROWN} SELECT user_key, user_index, freq, CAST(version AS BIGINT) AS version FROM grown",
+        "index_version_log": f"""WITH {_CTE_GROWN},
+            v AS (SELECT version, min(user_index) AS first_index, count(*) AS n_new FROM grown GROUP BY version)
+            SELECT CAST(version AS BIGINT) AS version, first_index, n_new, first_index + n_new AS users FROM v""",
         "index_skip": f"""WITH {_CTE_RATINGS},
             sp AS (SELECT *, {_SPLIT} AS split FROM ratings),
             tr AS (SELECT userId AS _key, row_number() OVER (ORDER BY count(*) DESC, userId) - 1 AS _idx
@@ -971,6 +1050,13 @@ def _oracles() -> dict[str, str]:
                    CAST(count(*) FILTER (WHERE movieId <> 0) AS BIGINT) AS item_touches, count(DISTINCT nullif(userId, 0)) AS users,
                    count(DISTINCT nullif(movieId, 0) % (SELECT count(*) FROM (SELECT DISTINCT movieId FROM ratings))) AS items,
                    count(*) AS rows_trained FROM ex WHERE split = 'train'""",
+        "delta_steps": f"""WITH {_CTE_EXAMPLES}, {_CTE_CNT},
+            t AS (SELECT 'user' AS side, count(DISTINCT nullif(userId, 0)) AS touched, (SELECT user_count FROM cnt) AS n FROM ex WHERE split = 'train'
+                  UNION ALL
+                  SELECT 'item', count(DISTINCT nullif(movieId, 0) % (SELECT movie_count FROM cnt)), (SELECT movie_count FROM cnt)
+                  FROM ex WHERE split = 'train'),
+            s AS (SELECT range AS step, (range + 1) % {DELTA_ARGS.full_every} AS depth FROM range({DELTA_STEPS}))
+            SELECT step, side, depth, n AS table_rows, CASE WHEN depth > 0 THEN touched ELSE n END AS written_rows FROM s, t""",
         "block_totals": f"""WITH {_CTE_EXAMPLES}
             SELECT count(*) AS n_rows, count(DISTINCT nullif(userId, 0)) AS n_users,
                    CAST(count(*) FILTER (WHERE userId = 0) AS BIGINT) AS rows_without_user FROM ex WHERE split = 'train'""",

@@ -30,6 +30,10 @@ class IndexModel:
         """Number of labels as a lazy scalar column."""
         return self.table.agg(F.count(F.lit(1))).scalar()
 
+    def next_index(self):
+        """The number after the last one as a lazy scalar column (0 for an empty index)."""
+        return self.table.agg(F.coalesce(F.max("index") + 1, F.lit(0).cast("long"))).scalar()
+
 
 def fit_index(df: DataFrame, col: str, n_partitions: int) -> IndexModel:
     """Index 0 for the most frequent id, ties by id ascending. Nulls get no index."""
@@ -38,6 +42,28 @@ def fit_index(df: DataFrame, col: str, n_partitions: int) -> IndexModel:
     return IndexModel(table.select(col, "index", "freq"), col)
 
 
+def grow_index(model: IndexModel, df: DataFrame, n_partitions: int) -> IndexModel:
+    """W1 over a further batch: ids already numbered keep their number, new ones follow after the last.
+
+    New ids are ordered like ``fit_index`` (most frequent in this batch first, ties by id); ``freq`` becomes the count over
+    all batches. The batch is counted per id before it meets the table, so a hot id is one row in the joins, and
+    nothing is numbered again: table rows trained under an old number stay valid (see ``model_store.grow_model``).
+    """
+    col = model.col
+    counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
+    old = (model.table.join(counts, col, "left")
+           .select(col, "index", (F.col("freq") + F.coalesce("_n", F.lit(0))).alias("freq")))
+    fresh = number_new(model, counts, "_n", n_partitions)
+    return IndexModel(old.unionByName(fresh.select(col, "index", F.col("_n").alias("freq"))), col)
+
+
+def number_new(model: IndexModel, counts: DataFrame, count_col: str, n_partitions: int) -> DataFrame:
+    """The rows of ``counts`` (one per id) whose id ``model`` does not have, with ``index`` after the model's last number."""
+    fresh = counts.join(model.table.select(model.col), model.col, "left_anti")
+    numbered = global_row_index(fresh, [F.desc(count_col), F.asc(model.col)], n_partitions, out="index")
+    return numbered.withColumn("index", F.col("index") + model.next_index())
+
+
 def apply_index(df: DataFrame, model: IndexModel, handle_invalid: str = "error", out: str | None = None,
                 heavy_share: float | None = None) -> DataFrame:
     """W2 + P2 + P3: replace ``col`` by its long index.

@@ -49,7 +49,7 @@ from duotower.functions.gradients import Adam, flatten_grads, rowwise_adagrad, t
 from duotower.operators.buckets import sparse_features
 from duotower.operators.metrics import eval_summary
 from duotower.operators.towers import DenseParams, _arrow_lists, init_table, referenced_rows, score_pairs
-from duotower.sources.model_store import ModelState, list_steps, load_model, save_model
+from duotower.sources.model_store import ModelState, list_steps, load_model, save_model, save_step, step_tables
 from duotower.snapshot import snapshot
 from duotower.sources.runs import log_metrics, log_params, read_metrics
 from duotower.streaming.batches import assign_batches, limit_batches
@@ -324,8 +324,8 @@ def round_input(blocked: DataFrame, params: DataFrame, order_seed: int) -> DataF
 
 # ------------------------------------------------------------------ reduce
 
-def apply_deltas(table: DataFrame, deltas: DataFrame, dim: int) -> DataFrame:
-    """Step 4 for one table: touch-weighted mean delta per bucket.
+def apply_deltas(table: DataFrame, deltas: DataFrame, dim: int, how: str = "left") -> DataFrame:
+    """Step 4 for one table: touch-weighted mean delta per bucket. ``how="inner"`` gives the changed rows only.
 
     Spark ML's ``Summarizer.mean`` with a weight column: an aggregate with one
     vector buffer per bucket, combined map-side before the shuffle, so a row
@@ -339,7 +339,7 @@ def apply_deltas(table: DataFrame, deltas: DataFrame, dim: int) -> DataFrame:
            .groupBy("bucket").agg(Summarizer.mean(F.col("_v"), F.col("_w")).alias("_m"),
                                   F.sum("_w").alias("_sw"), F.sum("_wg").alias("_sg")))
     upd = agg.select("bucket", vector_to_array("_m").alias("_dv"), (F.col("_sg") / F.col("_sw")).alias("_dg"))
-    j = table.join(upd, "bucket", "left")
+    j = table.join(upd, "bucket", how)
     return j.select("bucket",
                     F.when(F.col("_dv").isNull(), F.col("vec")).otherwise(
                         F.zip_with("vec", "_dv", lambda a, b: a + b)).alias("vec"),
@@ -412,15 +412,17 @@ def run_round(state: ModelState, blocked: DataFrame, keys: DataFrame, part: int,
         steps = stats["steps"] or 0
     else:
         dense, m_new, v_new, steps = state.dense, state.adam_m, state.adam_v, 0
-    new = ModelState(apply_deltas(state.user_table, o.where(F.col("kind") == "u"), dim),
-                     apply_deltas(state.item_table, o.where(F.col("kind") == "i"), dim),
+    touched = {"user": o.where(F.col("kind") == "u"), "item": o.where(F.col("kind") == "i")}
+    tables = {"user": state.user_table, "item": state.item_table}
+    new = ModelState(*[apply_deltas(tables[t], touched[t], dim) for t in tables],
                      dense, m_new, v_new, state.adam_t + int(steps), args, state.cat_cols, state.emb_counts, state.step)
     step = out_path.rsplit("=", 1)[1]
-    path = save_model(new, out_path.rsplit("/", 1)[0], step)
+    changed = {t: apply_deltas(tables[t], touched[t], dim, "inner") for t in tables}
+    path = save_step(new, state, changed, out_path.rsplit("/", 1)[0], step, args.full_every)
     # read the tables back (cuts the lineage); the small parts are already in memory
-    reloaded = ModelState(spark.read.parquet(f"{path}/user_table"), spark.read.parquet(f"{path}/item_table"),
-                          new.dense, new.adam_m, new.adam_v, new.adam_t, args, state.cat_cols, state.emb_counts,
-                          int(step) if step.isdigit() else step)
+    users, items, depth = step_tables(spark, path)
+    reloaded = ModelState(users, items, new.dense, new.adam_m, new.adam_v, new.adam_t, args, state.cat_cols, state.emb_counts,
+                          int(step) if step.isdigit() else step, path, depth)
     loss = (stats["l"] / n_rows) if n_rows else None
     compat = (stats["bm"] / n_rows) if n_rows else 0.0
     return RoundResult(reloaded, loss, compat, n_rows, int(stats["nb"] or 0))
