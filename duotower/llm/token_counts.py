@@ -2,16 +2,19 @@
 
 1. Every task totals its pre-tokens; a shuffle merges them, so each distinct pre-token reaches the tokenizer once.
    The result (pre-token, occurrences, pieces) is written as a table.
-2. The most frequent pre-tokens, at most ``head_size`` of them, are broadcast. They are found by a frequency level
-   from a histogram of at most 64 rows, not by a global sort.
+2. The most frequent pre-tokens, at most ``head_size`` of them, are broadcast, those of more than 64 characters under
+   their SHA-256, so the size of the broadcast does not depend on their length. They are found by a frequency level from
+   a histogram of at most 64 rows, not by a global sort.
 3. Every document is split again. The broadcast head answers most of its frequencies in place; the rest
    (pre-token, frequency) is joined to the table by a shuffle and summed per document. No id is ever materialised.
 
-A word that occurs everywhere is in the head, so the shuffled join has no hot key.
+A pre-token that occurs everywhere is in the head, however long it is, so the shuffled join has no hot key: more than
+``head_size`` pre-tokens are at least half as frequent as one that is left to it.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 
 import pyarrow as pa
@@ -23,7 +26,7 @@ from duotower.llm.common import columns, text_slices, written
 from duotower.llm.wordbpe import word_bpe
 
 HEAD_SIZE = 400_000         # most pre-tokens in the broadcast head
-HEAD_CHARS = 64             # longer pre-tokens are never part of it
+HEAD_CHARS = 64             # longer pre-tokens stand in it by their digest
 _FLUSH = 300_000            # distinct pre-tokens that a task holds before it hands its totals on
 
 
@@ -55,9 +58,8 @@ def pretoken_table(texts: DataFrame, tokenizer: str) -> DataFrame:
 
 
 def frequent_head(table: DataFrame, head_size: int) -> dict[str, int]:
-    """Pieces of the most frequent pre-tokens; at most ``head_size`` entries of at most ``HEAD_CHARS`` characters."""
-    short = table.where(F.length("pretoken") <= HEAD_CHARS)
-    levels = short.groupBy(F.floor(F.log2("n")).cast("int").alias("level")).agg(F.count(F.lit(1)).alias("k")).collect()
+    """Pieces of the most frequent pre-tokens by ``head_key``; at most ``head_size`` entries."""
+    levels = table.groupBy(F.floor(F.log2("n")).cast("int").alias("level")).agg(F.count(F.lit(1)).alias("k")).collect()
     least, total = None, 0
     for level, k in sorted(((r["level"], r["k"]) for r in levels), reverse=True):
         total += k
@@ -66,8 +68,14 @@ def frequent_head(table: DataFrame, head_size: int) -> dict[str, int]:
         least = 1 << level
     if least is None:
         return {}
-    head = short.where(F.col("n") >= least).select("pretoken", "pieces").toArrow()
-    return dict(zip(head["pretoken"].to_pylist(), head["pieces"].to_pylist()))
+    key = F.when(F.length("pretoken") <= HEAD_CHARS, F.col("pretoken")).otherwise(F.concat(F.lit(" "), F.sha2("pretoken", 256)))
+    head = table.where(F.col("n") >= least).select(key.alias("key"), "pieces").toArrow()
+    return dict(zip(head["key"].to_pylist(), head["pieces"].to_pylist()))
+
+
+def head_key(pretoken: str) -> str:
+    """The pre-token itself, or, if it is long, a blank (which no pre-token holds) and its SHA-256."""
+    return pretoken if len(pretoken) <= HEAD_CHARS else " " + hashlib.sha256(pretoken.encode()).hexdigest()
 
 
 def token_counts(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", over: int = 2048,
@@ -94,7 +102,7 @@ def token_counts(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
                 counts.update(words)
                 total = special
                 for word, n in counts.items():
-                    pieces = known.get(word)
+                    pieces = known.get(word if len(word) <= HEAD_CHARS else head_key(word))
                     if pieces is None:
                         uid.append(row), key.append(word), freq.append(n), sizes.append(None), at.append(None)
                     else:

@@ -6,6 +6,10 @@ pieces of each distinct word are computed once by the library itself and then lo
 Texts made only of common Latin characters (``_PLAIN``) take that path. All other texts, and texts that may hold a
 special token's string, go whole through the library's own normalizer, splitter or encoder. Both paths give the
 library's ids (tests compare every plain code point and random texts).
+
+That holds for files with the normalizer and splitter that are stated below, which is looked up in the file. Of a plain
+byte-level file the pre-tokens come from the library's own splitter, and texts are encoded by the library. Any other
+file's texts go whole through the library.
 """
 
 from __future__ import annotations
@@ -37,6 +41,26 @@ _PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 _BYTE_CHARS = {b: chr(0x100 + k) for k, b in enumerate(b for b in range(0x100) if b not in _PRINTABLE)}
 
 
+# What a file must state for its words to be looked up (fixed values of the file format).
+_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+_SPLITTER = {"type": "Sequence", "pretokenizers": [{"type": "Split", "pattern": {"Regex": _PATTERN}, "behavior": "Removed", "invert": True},
+                                                   {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+_BYTE_SPLITTER = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+
+WORDS, BYTES, WHOLE = "words", "bytes", "whole"
+
+
+def file_kind(spec: dict) -> str:
+    """How a tokenizer file can be used: by looked-up words, by byte-level pre-tokens, or by whole texts only."""
+    model, added = spec["model"], spec["added_tokens"]
+    if model["type"] != "BPE" or model.get("dropout") or any(t[flag] for t in added for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+        return WHOLE
+    if spec["normalizer"] == _NORMALIZER and spec["pre_tokenizer"] == _SPLITTER and all(t["content"].startswith("<|") for t in added):
+        return WORDS
+    return BYTES if spec["normalizer"] is None and spec["pre_tokenizer"] == _BYTE_SPLITTER else WHOLE
+
+
 def plain(text: str) -> bool:
     return "<|" not in text and _PLAIN.match(text) is not None
 
@@ -49,9 +73,11 @@ class WordBpe:
 
         self.tok = Tokenizer.from_file(tokenizer_file(file))
         spec = json.loads(self.tok.to_str())
-        pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self.splitter = pre_tokenizers.Split(Regex(pattern), "removed", invert=True)
-        special = [re.escape(t["content"]) for t in spec["added_tokens"]]
+        self.tok.no_truncation()
+        self.tok.no_padding()
+        self.kind = file_kind(spec)
+        self.splitter = pre_tokenizers.Split(Regex(_PATTERN), "removed", invert=True)
+        special = [re.escape(c) for c in sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)]
         self.special = re.compile("|".join(special)) if special else None
         self.cache_words = cache_words
         self._clear()
@@ -64,18 +90,24 @@ class WordBpe:
         self.size = np.zeros(1 << 12, np.int64)
 
     def pretokens(self, text: str) -> tuple[list[str], int]:
-        """Pre-tokens of a text, and how many special tokens the library finds in it."""
-        if plain(text):
+        """Pre-tokens of a text, and how many tokens it has beside their pieces: special ones, or all of a whole text's."""
+        if self.kind == WHOLE:
+            return [], len(self.tok.encode(text, add_special_tokens=False).ids)
+        if self.kind == WORDS and plain(text):
             return _PRETOKEN.findall(text.lower()), 0
         parts = self.special.split(text) if self.special else [text]
         out = []
         for part in parts:
-            if part:
+            if part and self.kind == BYTES:
+                out += [p for p, _ in self.tok.pre_tokenizer.pre_tokenize_str(part)]
+            elif part:
                 out += [p for p, _ in self.splitter.pre_tokenize_str(self.tok.normalizer.normalize_str(part))]
         return out, len(parts) - 1
 
     def piece_counts(self, pretokens: list[str]) -> list[int]:
         pieces = self.tok.model.tokenize
+        if self.kind == BYTES:
+            return [len(pieces(p)) for p in pretokens]
         return [len(pieces(p if p.isascii() else p.encode().decode("latin-1").translate(_BYTE_CHARS))) if plain(p)
                 else len(self.tok.encode(p, add_special_tokens=False).ids) for p in pretokens]
 
@@ -120,7 +152,7 @@ class WordBpe:
         counts = np.zeros(len(texts), np.int64)     # words of each plain text
         whole: dict[int, list[int]] = {}            # ids of the texts that went through the library
         for i, text in enumerate(texts):
-            if plain(text):
+            if self.kind == WORDS and plain(text):
                 own = text.lower().split()
                 counts[i] = len(own)
                 words += own

@@ -12,10 +12,10 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from duotower.llm.packing import RoundRobin, exact_weights, pack
-from duotower.llm.token_counts import token_counts
+from duotower.llm.token_counts import frequent_head, head_key, pretoken_table, token_counts
 from duotower.llm.token_file import read_documents, token_file_round_trip, write_token_file
 from duotower.llm.wavelet import WaveletMatrix
-from duotower.llm.wordbpe import _CHARS, WordBpe, word_bpe
+from duotower.llm.wordbpe import _CHARS, BYTES, WHOLE, WORDS, WordBpe, word_bpe
 
 FILE = "word_bpe_49k.json"
 TEXTS = ["", None, "Hello world, it's 2024!", "a  b\n\tc", "x <|endoftext|> y <|ENDOFTEXT|> <|startoftext|>", "Größe ß ŉ İstanbul", "é Å ẛ̣",
@@ -76,6 +76,41 @@ def test_token_counts(spark, make_docs, tok, head):
     assert token_counts(docs.limit(0), FILE).count() == 0
 
 
+def test_long_frequent_pretokens_are_answered_from_the_head(spark, make_docs, tok):
+    """A ruler line, a long line in another script and a very long run, each in every document."""
+    rulers = ["=" * 80, "語" * 90, "-" * 5000]
+    rows = [(i, "\n".join([f"word{i} only", *rulers, "x" * (70 + i)])) for i in range(60)]
+    docs = make_docs(rows)
+    table = pretoken_table(docs, FILE).cache()
+    head = frequent_head(table, 40)
+    assert len(head) <= 40 and all(len(k) <= 65 for k in head)
+    for r in rulers:
+        assert head[head_key(r)] == len(ids_of(tok, r))
+    assert {r["n"] for r in table.collect() if head_key(r["pretoken"]) not in head} <= {1, 2, 3, 4, 5, 6, 7}     # a run of "x" once each, digits a few times
+    got = {r.doc_id: r.n_tokens for r in token_counts(docs, FILE, head_size=40).collect()}
+    assert got == {i: len(ids_of(tok, t)) for i, t in rows}
+
+
+@pytest.mark.parametrize("kind", [WORDS, BYTES, WHOLE])
+def test_other_tokenizer_files(spark, make_docs, tmp_path, kind):
+    name = public_tokenizers.path(FILE if kind == WORDS else "byte_bpe_50k.json")
+    if kind == WHOLE:       # the same vocabulary behind another normalizer, with truncation asked for
+        from tokenizers import normalizers
+
+        other = Tokenizer.from_file(name)
+        other.normalizer = normalizers.Lowercase()
+        other.enable_truncation(4)
+        name = str(tmp_path / "other.json")
+        other.save(name)
+    library = Tokenizer.from_file(name)
+    library.no_truncation()
+    assert WordBpe(name).kind == kind
+    flat, sizes = WordBpe(name).encode([t or "" for t in TEXTS])
+    assert flat.tolist() == [i for t in TEXTS for i in ids_of(library, t)] and sizes.tolist() == [len(ids_of(library, t)) for t in TEXTS]
+    got = {r.doc_id: r.n_tokens for r in token_counts(make_docs(list(enumerate(TEXTS))), name).collect()}
+    assert got == {i: len(ids_of(library, t)) for i, t in enumerate(TEXTS)}
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(0, 70), max_size=200))
 def test_wavelet_matrix(numbers):
