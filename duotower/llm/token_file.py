@@ -10,7 +10,9 @@ shards of about ``shard_tokens`` ids at document ends. A shard is one row of a P
   planes           the bit-planes of the wavelet matrix, one after the other, each ceil(n_tokens / 8) bytes
   doc_ids, doc_tokens   documents in order and the number of ids of each, end id included
 
-``WaveletMatrix.load`` gives access, counts and occurrence lookup on a shard; ``read_documents`` decodes all of them.
+``read_documents`` decodes all of them. ``token_at`` (which id stands at a position), ``token_counts`` (how often ids
+occur) and ``token_occurrences`` (where) answer from the bit-planes by rank and select, without decoding a shard. Positions count
+all ids of the file in id order, from 0, as ``start`` of ``read_documents`` does.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from duotower.llm.wordbpe import word_bpe
 from duotower.session import default_parallelism, new_run_id, scratch_path
 
 SHARD_TOKENS = 4 << 20
+BLOCK_BITS = 20             # positions meet the list of shards in blocks of 2^20
 
 
 def write_token_file(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text",
@@ -82,6 +85,91 @@ def write_token_file(docs: DataFrame, path: str, tokenizer: str, end_id: int, id
      .write.option("compression", "zstd").parquet(path))
 
 
+def _bases(shards: DataFrame) -> DataFrame:
+    """(part, base): ids before each range partition. One row per partition of the writer's shuffle: small enough to broadcast."""
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    return shards.groupBy("part").agg(F.sum("n_tokens").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+
+
+def _placed_shards(spark: SparkSession, path: str) -> DataFrame:
+    """Shards without their documents, with ``at``: the position of a shard's first id in the file."""
+    shards = spark.read.parquet(path)
+    return (shards.join(F.broadcast(_bases(shards)), "part")
+            .select("part", "shard", (F.col("base") + F.col("first")).alias("at"), "n_tokens", "alphabet", "planes"))
+
+
+def _matrix(batch: pa.RecordBatch, i: int) -> WaveletMatrix:
+    row = {name: batch.column(batch.schema.get_field_index(name))[i].as_py() for name in ("alphabet", "planes", "n_tokens")}
+    return WaveletMatrix.load(row["alphabet"], row["planes"], row["n_tokens"])
+
+
+def token_counts(spark: SparkSession, path: str, ids: list[int]) -> DataFrame:
+    """(id, n): how often each of ``ids`` occurs in the file, 0 included; repeated ids are answered once.
+
+    A shard that lacks an id is passed over by its alphabet; in the others an id's count is one rank per bit-plane.
+    """
+    wanted = np.unique(np.asarray(ids, np.uint32))
+
+    def count(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                held = np.intersect1d(wanted, np.frombuffer(b.column(b.schema.get_field_index("alphabet"))[i].as_py(), np.uint32))
+                if len(held):
+                    w = _matrix(b, i)
+                    n = w.rank_code(w.code_of(held)[0], np.full(len(held), w.n))
+                    yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int64)), pa.array(n, pa.int64())], ["id", "n"])
+
+    found = spark.read.parquet(path).select("n_tokens", "alphabet", "planes").mapInArrow(count, "id long, n long")
+    asked = spark.createDataFrame([(int(x),) for x in wanted], "id long")       # the caller's list
+    return asked.join(found.groupBy("id").agg(F.sum("n").alias("n")), "id", "left").select("id", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def token_occurrences(spark: SparkSession, path: str, ids: list[int]) -> DataFrame:
+    """(id, position) of every occurrence of ``ids`` in the file; an id that does not occur gives no row.
+
+    Each shard walks its occurrences up from the last bit-plane by select, so the work grows with the hits.
+    """
+    wanted = np.unique(np.asarray(ids, np.uint32))
+
+    def locate(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                held = np.intersect1d(wanted, np.frombuffer(b.column(b.schema.get_field_index("alphabet"))[i].as_py(), np.uint32))
+                if len(held):
+                    w, at = _matrix(b, i), b.column(b.schema.get_field_index("at"))[i].as_py()
+                    for x in held.tolist():
+                        pos = w.occurrences(x)
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(pos), x, np.int64)), pa.array(pos + at, pa.int64())], ["id", "position"])
+
+    return _placed_shards(spark, path).mapInArrow(locate, "id long, position long")
+
+
+def token_at(positions: DataFrame, path: str, col: str = "position") -> DataFrame:
+    """(position, id): the id at every distinct position of ``positions``; null outside the file and for a null position.
+
+    A position finds its shard through the list of shard starts (without their data), by blocks of positions. Each shard
+    answers its positions together, plane by plane; they are distinct, so at most as many as its ids.
+    """
+    shards = _placed_shards(positions.sparkSession, path)
+    end = F.col("at") + F.col("n_tokens")
+    starts = shards.select("part", "shard", "at", end.alias("end"), F.explode(F.sequence(F.shiftright("at", BLOCK_BITS), F.shiftright(end - 1, BLOCK_BITS))).alias("block"))
+    rows = positions.select(F.col(f"`{col}`").cast("long").alias("position")).distinct().withColumn("asked_block", F.shiftright("position", BLOCK_BITS))
+    inside = (F.col("asked_block") == F.col("block")) & (F.col("position") >= F.col("at")) & (F.col("position") < F.col("end"))
+    met = rows.join(starts, inside, "left").select("position", "part", "shard")
+    outside = met.where(F.col("part").isNull()).select("position", F.lit(None).cast("long").alias("id"))
+    asked = met.where(F.col("part").isNotNull()).groupBy("part", "shard").agg(F.collect_list("position").alias("asked"))
+
+    def access(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                at = b.column(b.schema.get_field_index("at"))[i].as_py()
+                pos = b.column(b.schema.get_field_index("asked"))[i].values.to_numpy()
+                ids = _matrix(b, i).access(pos - at).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(pos), pa.array(ids)], ["position", "id"])
+
+    return shards.join(asked, ["part", "shard"]).mapInArrow(access, "position long, id long").unionByName(outside)
+
+
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids) of every document in the shards: ``ids`` is little-endian uint32 binary."""
     shards = spark.read.parquet(path)
@@ -101,10 +189,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
                                                  ["part", "doc_id", "local", "n_tokens", "ids"])
 
     docs = shards.mapInArrow(decode, f"part int, doc_id {id_type}, local long, n_tokens long, ids binary")
-    # one row per range partition, so at most as many as the writer's shuffle partitions: small enough to broadcast
-    parts = (shards.groupBy("part").agg(F.sum("n_tokens").alias("n"))
-             .select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base")))
-    return (docs.join(F.broadcast(parts), "part")
+    return (docs.join(F.broadcast(_bases(shards)), "part")
             .select("doc_id", (F.col("base") + F.col("local")).alias("start"), "n_tokens", "ids"))
 
 

@@ -13,7 +13,8 @@ from tokenizers import Tokenizer
 
 from duotower.llm.packing import RoundRobin, exact_weights, pack
 from duotower.llm.token_counts import frequent_head, head_key, pretoken_table, token_counts
-from duotower.llm.token_file import read_documents, token_file_round_trip, write_token_file
+from duotower.llm import token_file
+from duotower.llm.token_file import read_documents, token_at, token_file_round_trip, token_occurrences, write_token_file
 from duotower.llm.wavelet import WaveletMatrix
 from duotower.llm.wordbpe import _CHARS, BYTES, WHOLE, WORDS, WordBpe, word_bpe
 
@@ -142,6 +143,34 @@ def test_token_file(spark, make_docs, tok, tmp_path):
     assert token_file_round_trip(docs.limit(0), FILE).count() == 0
 
 
+@pytest.mark.parametrize("shard_tokens,bits", [(300, 8), (1 << 22, 20)])
+def test_token_file_lookups_equal_the_decoded_ids(spark, make_docs, tmp_path, monkeypatch, shard_tokens, bits):
+    """Access, counts and occurrences from the planes of the file, over shards smaller and larger than a block of positions."""
+    monkeypatch.setattr(token_file, "BLOCK_BITS", bits)
+    path = str(tmp_path / "f")
+    write_token_file(make_docs(list(enumerate(TEXTS)) + [(3, TEXTS[3])]), path, FILE, 1, shard_tokens=shard_tokens)
+    flat = np.concatenate([np.frombuffer(r.ids, "<u4") for r in read_documents(spark, path).orderBy("start").collect()]).tolist()
+    asked = list(dict.fromkeys(flat))[::3] + [1, 1, 49_000, 4_000_000_000]
+    counts = {r.id: r.n for r in token_file.token_counts(spark, path, asked).collect()}
+    assert counts == {x: flat.count(x) for x in asked} and counts[4_000_000_000] == 0
+    found = Counter((r.id, r.position) for r in token_occurrences(spark, path, asked).collect())
+    assert found == Counter((x, k) for k, x in enumerate(flat) if x in set(asked))
+    spots = [0, 0, 7, None, -1, len(flat) - 1, len(flat), *range(3, len(flat), 11)]
+    frame = spark.createDataFrame([(p, "x") for p in spots], "position long, id string").repartition(3)
+    got = Counter((r.position, r.id) for r in token_at(frame, path).collect())
+    assert got == Counter((p, flat[p] if p is not None and 0 <= p < len(flat) else None) for p in set(spots))
+    whole = token_at(spark.range(len(flat)), path, "id").orderBy("position").collect()
+    assert [r.id for r in whole] == flat
+
+
+def test_token_file_lookups_in_an_empty_file(spark, make_docs, tmp_path):
+    path = str(tmp_path / "f")
+    write_token_file(make_docs([(1, "x")]).limit(0), path, FILE, 1)
+    assert [tuple(r) for r in token_file.token_counts(spark, path, [5]).collect()] == [(5, 0)]
+    assert token_occurrences(spark, path, [5]).count() == 0 and token_file.token_counts(spark, path, []).count() == 0
+    assert [tuple(r) for r in token_at(spark.range(1), path, "id").collect()] == [(0, None)]
+
+
 def brute_round_robin(totals, weights, window, grain):
     """The stream of (queue, place) by playing every round."""
     earned, given, out, r = [0] * len(totals), [0] * len(totals), [], 0
