@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from duotower.llm.common import columns, text_slices, written
 from duotower.llm.components import components
 from duotower.llm.decontaminate import words_of
+from duotower.operators.skew import skew_left_join
 
 WIDTH = 5
 THRESHOLD = (4, 5)          # as a fraction, so the exact test stays in integers
@@ -276,15 +277,19 @@ def near_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
     sigs = _join(base.select(F.col("uid").alias("rid"), "sig"), reps.select("rid"), "rid", "left_semi")
     bands = written(band_rows(sigs), "near_bands")
     sizes = bands.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = written(_join(bands, sizes, "key"), "near_members")
+    # a band key, and the home below, can hold a third of all rows: such keys are joined apart, dealt evenly
+    members = written(skew_left_join(bands, "key", sizes, "key", "found").where(F.col("found").isNotNull())
+                      .select(*bands.columns, F.col("found.size").alias("size")), "near_members")
 
     # first the largest bucket; then what most members of that bucket chose, so that one group is not cut into many homes
-    first_home = members.groupBy("rid").agg(F.max(F.struct("size", "key"))["key"].alias("key"))
+    first_home = written(members.groupBy("rid").agg(F.max(F.struct("size", "key"))["key"].alias("key")), "near_first")
     votes = _join(members.select("key", "rid"), first_home.withColumnRenamed("key", "home"), "rid").groupBy("key", "home").count()
     chosen = votes.groupBy("key").agg(F.max(F.struct("count", "home"))["home"].alias("home"))
-    homes = _join(_join(first_home, chosen, "key").select("rid", "home"), reps.select("rid", "n", "copies"), "rid")
+    moved = skew_left_join(first_home, "key", chosen, "key", "found").select("rid", F.col("found.home").alias("home"))
+    homes = written(_join(moved, reps.select("rid", "n", "copies"), "rid"), "near_homes")
     parts = homes.groupBy("home").agg(F.greatest(F.ceil(F.count(F.lit(1)) / chunk), F.ceil(F.sum("n") / CHUNK_SHINGLES)).alias("parts"))
-    chunks = written(_join(homes, parts, "home").select("rid", "copies", F.xxhash64("home", F.pmod(F.xxhash64("rid"), "parts")).alias("chunk")), "near_chunks")
+    cut = skew_left_join(homes, "home", parts.where("parts > 1"), "home", "found")
+    chunks = written(cut.select("rid", "copies", F.xxhash64("home", F.pmod(F.xxhash64("rid"), F.coalesce("found.parts", F.lit(1).cast("long")))).alias("chunk")), "near_chunks")
 
     met = _join(members, chunks, "rid").select("key", "chunk").distinct()
     pairs = (_join(met.select("key", F.col("chunk").alias("a")), met.select("key", F.col("chunk").alias("b")), "key").where("a <= b")
