@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from duotower.functions.vectors import checksum
-from duotower.operators.lookup import bag_pooling, embedding_lookup
+from duotower.operators.lookup import bag_pooling, embedding_lookup, embedding_lookups
 from duotower.operators.retrieve import topk_exact
 
 
@@ -141,3 +141,28 @@ def test_recommend_lists_movies_of_a_shared_row_and_missing_ids(spark):
         got.setdefault(r.userId, []).append((r["rank"], r.movieId))
     want = {x: list(enumerate(sorted(c, key=lambda m: (-round(float(u[x] @ c[m]), 12), m))[:4], 1)) for x in u}
     assert {x: sorted(v) for x, v in got.items()} == want
+
+
+def test_two_lookups_in_cells(spark):
+    """Both lookups at once, by broadcast, in cells (some cut) and by joins, equal one after the other: nulls, misses, repeated keys."""
+    table = spark.createDataFrame([(b, None if b == 5 else [float(b), None if b == 6 else b / 3]) for b in [*range(30), 4, 4]] + [(None, [9.0, 9.0])],
+                                  "bucket long, vec array<float>")
+    rows = [(k, None if k % 11 == 0 else (3 if k % 2 else k % 35), k % 33, f"t{k % 3}") for k in range(400)]
+    df = spark.createDataFrame(rows + rows[:20], "k long, a long, b long, s string")
+    one = embedding_lookup(embedding_lookup(df, "a", table, "u", 2), "b", table, "i", 2)
+    want = sorted(map(repr, one.collect()))
+    for kw in ({}, {"small_bytes": 0}, {"small_bytes": 0, "block_bytes": 200, "cell_rows": 30}, {"small_bytes": 0, "block_bytes": 30}):
+        got = embedding_lookups(df, [("a", table, "u"), ("b", table, "i")], 2, **kw)
+        assert got.columns == one.columns
+        assert sorted(map(repr, got.collect())) == want, kw
+
+
+def test_lookups_do_not_shuffle_vectors_with_rows(spark):
+    """Spark's own estimate would broadcast a table of any width, and the second join would carry the first vector along."""
+    wide = spark.range(2000).select(F.col("id").alias("bucket"), F.array_repeat(F.lit(1.0), 64).alias("vec"))
+    df = spark.range(20_000).select((F.col("id") % 2000).alias("a"), (F.col("id") % 1999).alias("b"))
+    one = embedding_lookup(df, "a", wide, "u", 64)._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=merge" in one
+    cells = embedding_lookups(df, [("a", wide, "u"), ("b", wide, "i")], 64, small_bytes=0)
+    assert "MapInArrow" in cells._jdf.queryExecution().optimizedPlan().toString()
+    assert cells.where((F.size("u") == 64) & (F.size("i") == 64)).count() == 20_000
