@@ -1,5 +1,7 @@
 """Lookup, pooling and exact top-K against brute force."""
 
+import re
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -166,3 +168,24 @@ def test_lookups_do_not_shuffle_vectors_with_rows(spark):
     cells = embedding_lookups(df, [("a", wide, "u"), ("b", wide, "i")], 64, small_bytes=0)
     assert "MapInArrow" in cells._jdf.queryExecution().optimizedPlan().toString()
     assert cells.where((F.size("u") == 64) & (F.size("i") == 64)).count() == 20_000
+
+
+def test_bags_pooled_in_cells(spark):
+    """Pooling in cells (hot bags by joins) equals pooling by a join: null keys and ids, misses, repeated and null vectors."""
+    table = spark.createDataFrame([(b, None if b == 5 else [float(b), None if b == 6 else b / 2]) for b in [*range(30), 4]]
+                                  + [(None, [9.0, 9.0])], "bucket long, vec array<float>")
+    rows = [(None if k % 50 == 0 else (7 if k % 3 == 0 else k // 4), f"s{k % 2}", None if k % 11 == 0 else k % 40) for k in range(3000)]
+    bags = spark.createDataFrame(rows, "bag long, s string, id long")
+    want = sorted(map(repr, bag_pooling(bags, ["bag", "s"], "id", table, 35, 2).collect()))
+    for cell_rows in (40, 100_000):
+        cells = bag_pooling(bags, ["bag", "s"], "id", table, 35, 2, small_bytes=0, cell_rows=cell_rows)
+        assert "MapInArrow" in cells._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted(map(repr, cells.collect())) == want
+
+
+def test_small_blocks_do_not_copy_every_row_to_every_block(spark):
+    """A small budget cuts what is scored at a time; it must not set how often rows are shuffled."""
+    t = _table(spark, np.random.default_rng(5).normal(size=(600, 4)))
+    plan = topk_exact(t, t, 3, 4, q_id="bucket", i_id="bucket", budget_bytes=80)._jdf.queryExecution().analyzed().toString()
+    chunks = [int(n) for n in re.findall(r"explode\(sequence\(0, (\d+)", plan)]
+    assert chunks and max(chunks) < 16
