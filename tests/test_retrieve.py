@@ -170,6 +170,18 @@ def test_lookups_do_not_shuffle_vectors_with_rows(spark):
     assert cells.where((F.size("u") == 64) & (F.size("i") == 64)).count() == 20_000
 
 
+def test_cells_read_their_blocks_and_shuffle_no_vectors(spark):
+    """Copies of the vectors in the shuffle grow with the cells times the table; float vectors, a null one and empty blocks are read back."""
+    table = spark.range(2000).select(F.col("id").alias("bucket"), F.when(F.col("id") != 7, F.array(F.col("id"), F.lit(0.5)).cast("array<float>")).alias("vec"))
+    df = spark.range(20_000).select((F.col("id") % 2100).alias("a"), (F.col("id") % 1999).alias("b"))
+    for block_bytes in (10_000, 1 << 20):
+        cells = embedding_lookups(df, [("a", table, "u"), ("b", table, "i")], 2, small_bytes=0, block_bytes=block_bytes)
+        plan = cells._jdf.queryExecution().optimizedPlan().toString()
+        assert "MapInArrow" in plan and "_vec" not in plan and "Union" not in plan
+        one = embedding_lookup(embedding_lookup(df, "a", table, "u", 2), "b", table, "i", 2)
+        assert sorted(map(repr, cells.collect())) == sorted(map(repr, one.collect()))
+
+
 def test_bags_pooled_in_cells(spark):
     """Pooling in cells (hot bags by joins) equals pooling by a join: null keys and ids, misses, repeated and null vectors."""
     table = spark.createDataFrame([(b, None if b == 5 else [float(b), None if b == 6 else b / 2]) for b in [*range(30), 4]]
