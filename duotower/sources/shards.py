@@ -11,7 +11,8 @@ Options of a read: ``path``; ``columns`` (comma-separated): only these are read
 user; ``splits`` (a JSON list; null for rows without one): only their entries; ``between`` (JSON: column to [low, high], either
 may be null): entries whose range does not meet it are left out. ``read_dataset`` sets them and filters the rows as well.
 
-A read has one input partition per index entry that is left, and rows go between Parquet and Spark in Arrow batches. Pruning is
+A read has one input partition per index entry that is left, or, of more than ``PARTITIONS`` entries, runs of them (a task with a
+Python worker for every small shard would cost more than its rows), and rows go between Parquet and Spark in Arrow batches. Pruning is
 asked for by options, not by ``pushFilters``: a DataFrame of Spark 4.1 keeps the reader that one query's filters have pruned
 for its later queries, which would then miss rows.
 
@@ -40,6 +41,8 @@ from duotower.session import ship_package
 
 INDEX = "index.json"
 OPEN_SHARDS = 16        # shards that a task writes at a time
+PARTITIONS = 200        # input partitions of a read up to which every shard is one of its own
+PARTITION_BYTES = 64 << 20      # bytes of several shards in one partition
 WHOLE = (pa.int8(), pa.int16(), pa.int32(), pa.int64())
 
 
@@ -66,13 +69,13 @@ def index_frame(spark: SparkSession, path: str) -> DataFrame:
 
 
 @dataclass
-class Shard(InputPartition):
-    """One input partition: an index entry."""
-    entry: dict
+class Shards(InputPartition):
+    """One input partition: index entries."""
+    entries: list
 
-    def __init__(self, entry: dict):
-        super().__init__(entry)
-        self.entry = entry
+    def __init__(self, entries: list):
+        super().__init__(entries)
+        self.entries = entries
 
 
 @dataclass
@@ -114,19 +117,35 @@ class ShardReader(DataSourceReader):
                        and all(c not in s["ranges"] or may_hold(s["ranges"][c], *bounds) for c, bounds in between.items())]
 
     def partitions(self) -> list[InputPartition]:
-        return [Shard(s) for s in self.shards]
+        return [Shards(some) for some in grouped(self.shards)]
 
-    def read(self, partition: Shard) -> Iterator[pa.RecordBatch]:
-        if not isinstance(partition, Shard):     # no entry is left: Spark asks once without one
+    def read(self, partition: Shards) -> Iterator[pa.RecordBatch]:
+        if not isinstance(partition, Shards):     # no entry is left: Spark asks once without one
             return
         fs, base = _located(self.path)
         target = to_arrow_schema(self.schema)
         stored = [n for n in target.names if n != self.split]
-        with fs.open_input_file(f"{base}/{partition.entry['file']}") as f:
-            for batch in pq.ParquetFile(f).iter_batches(columns=stored):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([partition.entry["split"]] * batch.num_rows, target.field(n).type) if n == self.split
-                     else batch.column(n).cast(target.field(n).type) for n in target.names], schema=target)
+        for entry in partition.entries:
+            with fs.open_input_file(f"{base}/{entry['file']}") as f:
+                for batch in pq.ParquetFile(f).iter_batches(columns=stored):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([entry["split"]] * batch.num_rows, target.field(n).type) if n == self.split
+                         else batch.column(n).cast(target.field(n).type) for n in target.names], schema=target)
+
+
+def grouped(shards: list) -> list[list]:
+    """Index entries dealt to input partitions: one each up to ``PARTITIONS``, beyond that runs of up to ``PARTITION_BYTES``."""
+    if len(shards) <= PARTITIONS:
+        return [[s] for s in shards]
+    most = min(PARTITION_BYTES, sum(s["bytes"] for s in shards) // PARTITIONS + 1)
+    groups, size = [], most
+    for s in shards:
+        if size + s["bytes"] > most:
+            groups.append([])
+            size = 0
+        groups[-1].append(s)
+        size += s["bytes"]
+    return groups
 
 
 def may_hold(bounds: list | None, low, high) -> bool:

@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from duotower.sources.shards import index_frame, may_hold, read_dataset, read_index, register
+from duotower.sources.shards import grouped, index_frame, may_hold, read_dataset, read_index, register
 
 ROWS = "label int, userId long, movieId long, name string, vec array<double>, split string"
 
@@ -40,6 +40,18 @@ def test_round_trip_with_an_entry_per_partition(source, tmp_path):
     assert all(os.path.getsize(os.path.join(path, e["file"])) == e["bytes"] for e in entries)
 
 
+def test_many_small_shards_share_partitions(source, tmp_path):
+    """A task for every small shard makes the tasks grow with the rows, at any size of a task."""
+    path, df = str(tmp_path / "many"), table(source).repartition(3)
+    df.write.format("shards").mode("append").option("rows_per_shard", 1).save(path)
+    back = source.read.format("shards").load(path)
+    assert len(read_index(path)["shards"]) == 500 and back.rdd.getNumPartitions() <= 2 * 200 < 500
+    assert same(back, df)
+    sizes = [{"bytes": b, "file": k} for k, b in enumerate([10, 1 << 30, 20, 30] * 100)]
+    groups = grouped(sizes)
+    assert [s for g in groups for s in g] == sizes and all(len(g) == 1 or sum(s["bytes"] for s in g) <= 64 << 20 for g in groups)
+
+
 def test_pruning_of_splits_columns_and_ranges(source, tmp_path):
     path = str(tmp_path / "b")
     table(source).repartitionByRange(4, "userId").write.format("shards").mode("append").save(path)
