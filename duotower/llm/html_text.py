@@ -96,8 +96,8 @@ def blocks_of(page: str | None) -> list[Block]:
     def add(s: str):
         if s and not skipped:
             text.append(s)
-            if in_link:
-                linked.append(s)
+            # white space between two links keeps their words apart
+            linked.append(s if in_link else " " if any(map(str.isspace, s)) else "")
 
     at, raw_end = 0, None
     while True:
