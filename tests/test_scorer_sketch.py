@@ -35,6 +35,28 @@ def test_sql_scores_equal_the_join(spark, tmp_path, zero_is_missing):
         register_scorer(spark, state, "no name")
 
 
+def test_scores_by_blocks_carry_no_vectors(spark):
+    """Tables of many blocks, rows dealt or not, held by few or all: the scores of the join, without a join or a vector in the plan."""
+    args = TrainArgs(embedding_dim=6, layer_sizes=(5, 3), seed=2)
+    state = init_state(spark, args, [37, 53])
+    rows = [(None if k % 11 == 0 else k * 7 % 90, None if k % 13 == 0 else k * k % 60, 1) for k in range(400)] * 2
+    df = spark.createDataFrame(rows, PAIRS).repartition(3)
+    want = sorted((str((r.userId, r.movieId)), r.logit, r.prob) for r in
+                  score_pairs(with_buckets(df, [37, 53]), state.user_table, state.item_table, state.dense, 6).collect())
+    for held, dealt in ((10, False), (10**6, False), (10, True)):
+        scorer = register_scorer(spark, state, "blockwise", block_bytes=10 * 32, held_rows=held)
+        assert min(scorer.blocks) > 3
+        (scorer.deal(df, cell_rows=20) if dealt else df).createOrReplaceTempView("block_pairs")
+        out = spark.sql("SELECT userId, movieId, label, blockwise(userId, movieId) AS l, blockwise_prob(userId, movieId) AS p FROM block_pairs")
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "array<" not in plan and "blockwise_users" not in plan and plan.count("Join") == (1 if dealt else 0)     # the deal joins its cells
+        got = sorted((str((r.userId, r.movieId)), r.l, r.p) for r in out.collect())
+        assert [g[0] for g in got] == [w[0] for w in want]
+        assert np.allclose([g[1:] for g in got], [w[1:] for w in want], atol=1e-12)
+    empty = scorer.deal(df.where("userId > 1000"))
+    assert empty.columns == df.columns and empty.count() == 0
+
+
 def test_auroc_of_merged_sketches(spark):
     rng = np.random.default_rng(1)
     rows = []
